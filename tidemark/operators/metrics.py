@@ -33,6 +33,11 @@ def _completed_sum(column: str) -> Column:
     return F.sum(_completed(F.col(column)))
 
 
+def _mean(column: str) -> Column:
+    """Average of a decimal column with one rounding, at the end."""
+    return ratio(F.sum(column), F.count(column))
+
+
 DATASETS: dict[str, Dataset] = {
     "orders": Dataset(
         "order_date",
@@ -49,14 +54,14 @@ DATASETS: dict[str, Dataset] = {
     ),
     "daily": Dataset("order_date", {"mart_revenue": lambda: F.sum("net_revenue")}),
     "funnel": Dataset("event_date", {"sessions": lambda: F.sum("sessions")}),
-    "retention": Dataset(None, {"avg_retention": lambda: F.avg("retention_rate")}),
+    "retention": Dataset(None, {"avg_retention": lambda: _mean("retention_rate")}),
     "rfm": Dataset(None, {"customers": lambda: F.count(F.lit(1))}),
     "loads": Dataset(
         "started_at",
         {
             "rows_loaded": lambda: F.coalesce(F.sum("rows_inserted"), F.lit(0).cast("long")),
             "failed_loads": lambda: F.count(F.when(F.col("status") == "failed", 1)),
-            "avg_seconds": lambda: F.avg("duration_seconds"),
+            "avg_seconds": lambda: _mean("duration_seconds"),
         },
     ),
     "dq": Dataset(
