@@ -63,9 +63,16 @@ def rfm_segment(r: Column, f: Column) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Elapsed seconds between two wall-clock timestamps, with microseconds."""
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return (micros / F.lit(1_000_000)).cast(T.DecimalType(18, 6))
+    """Elapsed seconds between two wall-clock timestamps, with microseconds; no time zone involved."""
+    gap = end - start
+    parts = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
+    seconds = [F.date_part(F.lit(p), gap).cast("decimal(18,6)") * F.lit(n) for p, n in parts.items()]
+    return reduce(lambda a, b: a + b, seconds).cast("decimal(18,6)")
+
+
+def utc_instant(ts: Column) -> Column:
+    """A UTC wall-clock ``timestamp_ntz`` as the instant it names, in any session time zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
 
 
 def with_doubles(df: DataFrame) -> DataFrame:

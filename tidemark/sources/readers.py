@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.specs import TableSpec
 
@@ -34,9 +34,29 @@ def read_jdbc(
     return reader.load()
 
 
-def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
-    """Landed files as a stream."""
+def stream_files(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    names: str | None = None,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Files landing in a folder as a stream; ``names`` is a glob on the file name."""
     reader = spark.readStream.format(fmt).schema(schema)
+    if names is not None:
+        reader = reader.option("pathGlobFilter", names)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    return reader.load(folder)
+
+
+def utc_wall_clock(df: DataFrame) -> DataFrame:
+    """Zoned timestamps, as JDBC and CSV readers return them, as UTC wall-clock ``timestamp_ntz``."""
+    zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns(
+        {
+            c: F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+            for c in zoned
+        }
+    )
