@@ -10,6 +10,7 @@ from tidemark.catalog.oracle_views import VIEWS, _FCT_ORDERS, _FUNNEL, _SESSIONS
 from tidemark.functions import with_doubles
 from tidemark.operators import merge, ranks, versions
 from tidemark.plans import marts, staging
+from tidemark.session import checkpointed
 
 ORDER_CUTOFF = "1998-01-01 00:00:00"
 EVENT_CUTOFF = "2024-01-25 00:00:00"
@@ -41,9 +42,10 @@ def at_cutoff(df: DataFrame, cursor: str, cutoff: str) -> DataFrame:
 
 
 def old_fct_orders(shop: Shop) -> DataFrame:
+    """Stored, like any target of an incremental model: merging reads it more than once."""
     orders = staging.stg_orders(at_cutoff(shop.raw("orders"), "updated_at", ORDER_CUTOFF))
     items = staging.stg_order_items(at_cutoff(shop.raw("order_items"), "updated_at", ORDER_CUTOFF))
-    return marts.fct_orders(orders, items, shop.products, shop.history)
+    return checkpointed(marts.fct_orders(orders, items, shop.products, shop.history))
 
 
 def merged_fct_orders(shop: Shop) -> DataFrame:
@@ -53,7 +55,8 @@ def merged_fct_orders(shop: Shop) -> DataFrame:
 
 
 def old_funnel(shop: Shop) -> DataFrame:
-    return marts.mart_funnel_daily(staging.stg_web_events(at_cutoff(shop.raw("web_events"), "ingested_at", EVENT_CUTOFF)))
+    events = staging.stg_web_events(at_cutoff(shop.raw("web_events"), "ingested_at", EVENT_CUTOFF))
+    return checkpointed(marts.mart_funnel_daily(events))
 
 
 def merged_funnel(shop: Shop) -> DataFrame:
@@ -260,8 +263,7 @@ def global_ntile(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = Shop(spark, sf_dir).raw("order_items")
     rows = raw.groupBy("order_item_id", "updated_at").agg(F.max("quantity").alias("quantity"))
     order = [("quantity", False), ("order_item_id", True), ("updated_at", True)]
-    # Chunks far below the default, so that the ranks really cross chunk borders on this data.
-    return ranks.global_ntile(rows, order, 7, "tile", chunk_rows=10_000)
+    return ranks.global_ntile(rows, order, 7, "tile")
 
 
 # --- materialization -----------------------------------------------------------------------------

@@ -3,89 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-CHUNK_ROWS = 250_000
-MAX_CHUNKS = 4_096
-SAMPLES_PER_CHUNK = 20
+from tidemark.session import checkpointed
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
 
+# monotonically_increasing_id() keeps the partition number above this bit and the row number below it.
+_ROW_BITS = 33
 
-def _before_or_at(split: Column, order: Order) -> Column:
-    """split <= row in the given order, column by column."""
-    result: Column = F.lit(True)
-    for name, ascending in reversed(order):
-        s, r = split[name], F.col(name)
-        ahead = (s < r) if ascending else (s > r)
-        result = ahead | ((s == r) & result)
-    return result
 
+def global_rank(df: DataFrame, order: Order, alias: str) -> tuple[DataFrame, int]:
+    """Add the 0-based position of every row in the order; also returns the row count.
 
-def _chunk_number(splits: list, order: Order, schema: T.StructType) -> Column:
-    """How many splits are at or before the row: first among groups of splits, then inside one group."""
-    if not splits:
-        return F.lit(0)
-
-    def literal(row) -> Column:
-        return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-    step = max(1, round(len(splits) ** 0.5))
-    groups = [splits[i : i + step] for i in range(0, len(splits), step)]
-    heads = F.array(*[literal(g[0]) for g in groups])
-    inside = F.array(*[F.array(*[literal(r) for r in g]) for g in groups])
-
-    def count(options: Column) -> Column:
-        return F.size(F.filter(options, lambda s: _before_or_at(s, order)))
-
-    group = count(heads)
-    return F.when(group == 0, F.lit(0)).otherwise(
-        (group - 1) * step + count(F.element_at(inside, F.greatest(group, F.lit(1))))
-    )
-
-
-def global_rank(
-    df: DataFrame,
-    order: Order,
-    alias: str,
-    rows: int,
-    chunk_rows: int = CHUNK_ROWS,
-    seed: int = 7,
-) -> DataFrame:
-    """0-based position of every row in the total order given by ``order``.
-
-    ``order`` must be a unique, non-null key of ``df``, ``rows`` its row count, and ``df`` must return the
-    same rows each time it is read (checkpoint it when its inputs can change). Split points come from a
-    sample and only decide how even the chunks are. They are literals, so a row keeps its chunk when a
-    lost task runs again.
+    A global sort range-partitions the rows, so each task numbers its own slice. The slices are frozen
+    by a checkpoint (a sort that runs again may cut them elsewhere), counted, and each row's number is
+    shifted by the size of the slices before its own. Only one count per slice reaches the driver.
+    Ties are broken arbitrarily unless ``order`` ends in a unique column.
     """
-    names = [name for name, _ in order]
-    chunks = min(MAX_CHUNKS, max(1, ceil(rows / chunk_rows)))
-    splits: list = []
-    if chunks > 1:
-        wanted = chunks * SAMPLES_PER_CHUNK
-        sort_cols = [F.col(n).asc() if up else F.col(n).desc() for n, up in order]
-        sample = (
-            df.select(*names).sample(min(1.0, wanted / rows), seed=seed).orderBy(*sort_cols).collect()
-        )
-        step = max(1, ceil(len(sample) / chunks))
-        splits = sample[step::step]
-    tagged = df.withColumn(
-        "_chunk", _chunk_number(splits, order, df.select(*names).schema)
-    )
-    offsets = [0] * (len(splits) + 1)
-    if splits:
-        counts = dict(tagged.groupBy("_chunk").count().collect())
-        for i in range(1, len(offsets)):
-            offsets[i] = offsets[i - 1] + counts.get(i - 1, 0)
-    window = Window.partitionBy("_chunk").orderBy(
-        *[F.col(n).asc() if up else F.col(n).desc() for n, up in order]
-    )
-    start = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_chunk") + 1)
-    return tagged.withColumn(alias, F.row_number().over(window).cast("long") - 1 + start).drop("_chunk")
+    sort = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_first() for c, up in order]
+    frozen = checkpointed(df.orderBy(*sort).withColumn("_id", F.monotonically_increasing_id()))
+    piece = F.shiftright("_id", _ROW_BITS).cast("int")
+    sizes = dict(frozen.groupBy(piece.alias("piece")).count().collect())
+    starts, rows = [], 0
+    for i in range(max(sizes, default=-1) + 1):
+        starts.append(rows)
+        rows += sizes.get(i, 0)
+    start = F.lit(0) if not starts else F.element_at(F.lit(starts).cast("array<long>"), piece + 1)
+    inside = F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1)
+    return frozen.withColumn(alias, (start + inside).cast("long")).drop("_id"), rows
 
 
 def tile_of(rank: Column, rows: int, n: int) -> Column:
@@ -99,24 +46,7 @@ def tile_of(rank: Column, rows: int, n: int) -> Column:
     return F.when(rank < border, big).otherwise(small).cast("int")
 
 
-def global_ntile(
-    df: DataFrame,
-    order: Order,
-    n: int,
-    alias: str,
-    rows: int | None = None,
-    chunk_rows: int = CHUNK_ROWS,
-) -> DataFrame:
+def global_ntile(df: DataFrame, order: Order, n: int, alias: str) -> DataFrame:
     """``ntile(n)`` over the whole table; same result as an un-partitioned window."""
-    total = df.count() if rows is None else rows
-    ranked = global_rank(df, order, "_rank", total, chunk_rows)
-    return ranked.withColumn(alias, tile_of(F.col("_rank"), total, n)).drop("_rank")
-
-
-def global_ntiles(
-    df: DataFrame, scores: dict[str, Order], n: int, rows: int, chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
-    """Several ntile columns over different orders of one table."""
-    return reduce(
-        lambda acc, item: global_ntile(acc, item[1], n, item[0], rows, chunk_rows), scores.items(), df
-    )
+    ranked, rows = global_rank(df, order, "_rank")
+    return ranked.withColumn(alias, tile_of(F.col("_rank"), rows, n)).drop("_rank")

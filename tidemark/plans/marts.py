@@ -14,10 +14,9 @@ from tidemark.functions import (
     stage_label,
 )
 from tidemark.operators.merge import incremental_merge
-from tidemark.operators.ranks import CHUNK_ROWS, global_ntiles
+from tidemark.operators.ranks import global_ntile
 from tidemark.operators.versions import asof_join, scd2
 from tidemark.plans.staging import stg_order_items, stg_orders
-from tidemark.session import checkpointed
 from tidemark.specs import FUNNEL_LOOKBACK_DAYS
 
 
@@ -266,9 +265,13 @@ def mart_cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def mart_customer_rfm(orders: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Recency, frequency and monetary quintiles per customer; ties broken by customer_id."""
-    per_customer = checkpointed(
+def mart_customer_rfm(orders: DataFrame) -> DataFrame:
+    """Recency, frequency and monetary quintiles per customer; ties broken by customer_id.
+
+    Ranking by the last order date is ranking by recency, so the newest date of the data is only needed
+    once the per-customer rows are stored.
+    """
+    scored = (
         orders.filter("is_completed")
         .groupBy("customer_id")
         .agg(
@@ -277,19 +280,16 @@ def mart_customer_rfm(orders: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFr
             money(F.sum("net_revenue")).alias("monetary"),
         )
     )
-    as_of, rows = per_customer.agg(F.max("_last"), F.count(F.lit(1))).first()
-    base = per_customer.select(
-        "customer_id", F.date_diff(F.lit(as_of), F.col("_last")).alias("recency_days"), "frequency", "monetary"
-    )
-    scored = global_ntiles(
-        base,
-        {
-            "r_score": [("recency_days", False), ("customer_id", True)],
-            "f_score": [("frequency", True), ("customer_id", True)],
-            "m_score": [("monetary", True), ("customer_id", True)],
-        },
-        5,
-        rows,
-        chunk_rows,
+    for column, score in (("_last", "r_score"), ("frequency", "f_score"), ("monetary", "m_score")):
+        scored = global_ntile(scored, [(column, True), ("customer_id", True)], 5, score)
+    newest = scored.agg(F.max("_last")).scalar()
+    return scored.select(
+        "customer_id",
+        F.date_diff(newest, F.col("_last")).alias("recency_days"),
+        "frequency",
+        "monetary",
+        "r_score",
+        "f_score",
+        "m_score",
+        rfm_segment(F.col("r_score"), F.col("f_score")).alias("rfm_segment"),
     )
-    return scored.withColumn("rfm_segment", rfm_segment(F.col("r_score"), F.col("f_score")))

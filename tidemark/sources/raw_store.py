@@ -7,6 +7,7 @@ greatest ``watermark_to`` of those rows, so data, watermark and audit appear in
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from tidemark.functions import seconds_between
 from tidemark.operators.drift import Drift
 from tidemark.operators.versions import latest_version
-from tidemark.sources.tables import list_names
+from tidemark.sources.tables import list_names, publish_text
 from tidemark.specs import TableSpec
 
 _TS = T.TimestampNTZType()
@@ -33,7 +34,6 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("status", T.StringType()),
     ]
 )
-_IN_PATH = ("table_name", "batch_id", "status")
 DRIFT_SCHEMA = (
     "detected_at timestamp_ntz, run_label string, table_name string, kind string, column_name string, "
     "detail string, severity string"
@@ -92,19 +92,22 @@ class RawStore:
         return max((int(p.rsplit("=", 1)[1]) for p in taken), default=0) + 1
 
     def publish(self, spec: TableSpec, batch_id: int, status: str, **fields) -> None:
-        """Write one audit row; a single file that appears by one rename."""
-        values = fields | {"table_name": spec.name, "batch_id": batch_id, "status": status}
-        row = tuple(values.get(f.name) for f in AUDIT_SCHEMA.fields)
+        """Publish one audit row; a single file that appears by one rename."""
+        values = {k: v.isoformat(sep=" ") if isinstance(v, datetime) else v for k, v in fields.items()}
         path = f"{self.root}/ops/load_audit/table_name={spec.name}/batch_id={batch_id}/status={status}"
-        self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).drop(*_IN_PATH).write.parquet(path)
+        publish_text(self.spark, f"{path}/row.json", json.dumps(values))
+
+    def _states(self, path: str) -> DataFrame:
+        reader = self.spark.read.schema(AUDIT_SCHEMA).option("basePath", f"{self.root}/ops/load_audit")
+        return reader.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").json(path)
 
     def audit(self) -> DataFrame:
         """One row per load attempt in its latest state."""
         base = f"{self.root}/ops/load_audit"
-        if not list_names(self.spark, f"{base}/table_name=*/batch_id=*/status=*/*.parquet"):
+        if not list_names(self.spark, f"{base}/table_name=*/batch_id=*/status=*/*.json"):
             states = self.spark.createDataFrame([], AUDIT_SCHEMA)
         else:
-            states = self.spark.read.schema(AUDIT_SCHEMA).parquet(base)
+            states = self._states(base)
         ended = F.col("status").isin(SUCCESS, FAILED)
         newest = latest_version(states.withColumn("_ended", ended), ["table_name", "batch_id"], ["_ended"])
         return newest.select(
@@ -117,9 +120,9 @@ class RawStore:
         """(batch_id, run_label, watermark_to) of the visible batches that hold rows: one row per load."""
         base = f"{self.root}/ops/load_audit"
         mine = f"{base}/table_name={spec.name}"
-        if not list_names(self.spark, f"{mine}/batch_id=*/status={SUCCESS}/*.parquet"):
+        if not list_names(self.spark, f"{mine}/batch_id=*/status={SUCCESS}/*.json"):
             return []
-        states = self.spark.read.schema(AUDIT_SCHEMA).option("basePath", base).parquet(mine)
+        states = self._states(mine)
         done = states.filter((F.col("status") == SUCCESS) & F.col("watermark_to").isNotNull())
         rows = done.select("batch_id", "run_label", "watermark_to").collect()
         kept = [r for r in rows if seen_since is None or r.watermark_to >= seen_since]

@@ -9,8 +9,10 @@ from tidemark.specs import TableSpec
 FILE_FORMATS = ("parquet", "csv", "json", "orc")
 
 
-def read_files(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None, **options) -> DataFrame:
-    """A file source. Parquet and ORC carry their own schema, which the drift check must see as it is."""
+def read_files(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None, **options
+) -> DataFrame:
+    """A file source. Without a schema, Parquet and ORC show their own, which is what a drift check needs."""
     if fmt not in FILE_FORMATS:
         raise ValueError(f"format {fmt!r} is not one of {FILE_FORMATS}")
     reader = spark.read.format(fmt).options(**options)
@@ -37,7 +39,7 @@ def read_jdbc(
 def stream_files(
     spark: SparkSession,
     folder: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     fmt: str = "parquet",
     names: str | None = None,
     max_files: int | None = None,

@@ -6,164 +6,144 @@ complete, and some customers move country or segment, so every job has real vers
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-HOUR = "INTERVAL 1 HOUR"
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.sources.readers import read_files
+
+# Seen by the hourly poll that follows the change.
+LOADED = "updated_at + INTERVAL 1 HOUR AS _loaded_at"
+
+
+# Declared, so that planning a query needs no job that looks into file footers.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_type string, p_retailprice double",
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string",
+}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _ts(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
+    return read_files(spark, f"{sf_dir}/{name}.parquet", schema=SCHEMAS[name])
 
 
-def _loaded(cursor: str) -> Column:
-    """Seen by the hourly poll that follows the change."""
-    return (F.col(cursor) + F.expr(HOUR)).alias("_loaded_at")
+def _versions(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return _read(spark, sf_dir, name).selectExpr(*columns)
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    here = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country_1"))
-    there = nation.select(F.col("n_nationkey").alias("_next"), F.col("n_name").alias("country_2"))
-    cid = F.col("customer_id")
+    nation = _read(spark, sf_dir, "nation")
+    here = nation.selectExpr("n_nationkey AS c_nationkey", "n_name AS country_1")
+    there = nation.selectExpr("n_nationkey AS next_nationkey", "n_name AS country_2")
+    versions = (
+        "explode(array_compact(array(1, IF(c_custkey % 7 = 0, 2, NULL), IF(c_custkey % 10 = 0, 3, NULL), "
+        "IF(c_custkey % 30 = 0, 4, NULL)))) AS n"
+    )
     base = (
         _read(spark, sf_dir, "customer")
         .join(here, "c_nationkey")
-        .withColumn("_next", (F.col("c_nationkey") + 1) % 25)
-        .join(there, "_next")
-        .withColumnRenamed("c_custkey", "customer_id")
-    )
-    versions = F.array_compact(
-        F.array(F.lit(1), F.when(cid % 7 == 0, 2), F.when(cid % 10 == 0, 3), F.when(cid % 30 == 0, 4))
-    )
-    n = F.col("n")
-    seen = F.array(*[F.lit(t) for t in (
-        "1994-01-01 00:00:00", "1996-01-01 00:00:00", "1998-01-01 12:00:00", "1999-06-01 13:00:00")])
-    channels = F.array(*[F.lit(c) for c in ("organic", "paid_search", "email", "social", "affiliate")])
-    signups = F.array(*[F.lit(d) for d in ("1994-06-15", "1995-03-01", "1996-01-31", "1996-12-31")])
-    out = base.withColumn("n", F.explode(versions)).select(
-        cid,
-        F.when(n == 2, F.concat("c_name", F.lit(" II"))).otherwise(F.col("c_name")).alias("full_name"),
-        F.concat("c_name", F.lit("@Example.com")).alias("email"),
-        F.when(n >= 3, F.col("country_2")).otherwise(F.col("country_1")).alias("country"),
-        F.when(n < 4, F.col("c_mktsegment"))
-        .when(F.col("c_mktsegment") == "BUILDING", "MACHINERY")
-        .otherwise("BUILDING")
-        .alias("segment"),
-        F.element_at(channels, (cid % 5 + 1).cast("int")).alias("acquisition_channel"),
-        F.element_at(signups, (cid % 4 + 1).cast("int")).cast("date").alias("signup_date"),
-        F.element_at(seen, n).cast("timestamp_ntz").alias("updated_at"),
-        n.cast("long").alias("_batch_id"),
+        .withColumn("next_nationkey", F.expr("(c_nationkey + 1) % 25"))
+        .join(there, "next_nationkey")
     )
-    return out.withColumn("created_at", F.col("signup_date").cast("timestamp_ntz")).select(
+    return base.select("*", F.expr(versions)).selectExpr(
+        "c_custkey AS customer_id",
+        "IF(n = 2, c_name || ' II', c_name) AS full_name",
+        "c_name || '@Example.com' AS email",
+        "IF(n >= 3, country_2, country_1) AS country",
+        "CASE WHEN n < 4 THEN c_mktsegment WHEN c_mktsegment = 'BUILDING' THEN 'MACHINERY' ELSE 'BUILDING' END AS segment",
+        "elt(CAST(c_custkey % 5 AS INT) + 1, 'organic', 'paid_search', 'email', 'social', 'affiliate')"
+        " AS acquisition_channel",
+        "CAST(elt(CAST(c_custkey % 4 AS INT) + 1, '1994-06-15', '1995-03-01', '1996-01-31', '1996-12-31') AS DATE)"
+        " AS signup_date",
+        "CAST(elt(n, '1994-01-01 00:00:00', '1996-01-01 00:00:00', '1998-01-01 12:00:00', '1999-06-01 13:00:00')"
+        " AS TIMESTAMP_NTZ) AS updated_at",
+        "CAST(n AS BIGINT) AS _batch_id",
+    ).selectExpr(
         "customer_id", "full_name", "email", "country", "segment", "acquisition_channel", "signup_date",
-        "created_at", "updated_at", "_batch_id", _loaded("updated_at"),
+        "CAST(signup_date AS TIMESTAMP_NTZ) AS created_at", "updated_at", "_batch_id", LOADED,
     )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("p_retailprice").cast("decimal(10,2)")
-    return (
-        _read(spark, sf_dir, "part")
-        .select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            price.alias("unit_price"),
-            (price * F.lit("0.60").cast("decimal(4,2)")).cast("decimal(10,2)").alias("unit_cost"),
-            _ts("1994-01-01 00:00:00").alias("created_at"),
-            _ts("1994-01-01 00:00:00").alias("updated_at"),
-            F.lit(1).cast("long").alias("_batch_id"),
-        )
-        .withColumn("_loaded_at", F.col("updated_at") + F.expr(HOUR))
-    )
+    return _versions(
+        spark, sf_dir, "part",
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price",
+        "CAST(CAST(p_retailprice AS DECIMAL(10,2)) * CAST('0.60' AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS unit_cost",
+        "TIMESTAMP_NTZ'1994-01-01 00:00:00' AS created_at",
+        "TIMESTAMP_NTZ'1994-01-01 00:00:00' AS updated_at",
+        "1L AS _batch_id",
+    ).selectExpr("*", LOADED)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
-    final = (
-        F.when(status == "F", "completed")
-        .when(status == "O", "pending")
-        .when(key % 2 == 0, "refunded")
-        .otherwise("cancelled")
-    )
-    channel = (
-        F.when(key % 97 == 0, F.lit(None).cast("string"))
-        .when(priority == "1-URGENT", "paid_search")
-        .when(priority == "2-HIGH", "email")
-        .when(priority == "3-MEDIUM", "organic")
-        .when(priority == "4-NOT SPECIFIED", "social")
-        .otherwise("affiliate")
-    )
-    discount = F.when(key % 10 < 7, "0.00").when(key % 10 < 9, "0.10").otherwise("0.30")
-    delay = F.make_dt_interval(hours=(key % 120 + 1).cast("int"))
-    ts, n = F.col("o_orderdate"), F.col("n")
-    versions = F.when(final == "pending", F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2)))
-    return (
-        _read(spark, sf_dir, "orders")
-        .withColumn("n", F.explode(versions))
-        .select(
-            key.alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            ts.alias("order_ts"),
-            F.when(n == 1, "pending").otherwise(final).alias("status"),
-            channel.alias("channel"),
-            discount.cast("decimal(4,2)").alias("discount_pct"),
-            ts.alias("created_at"),
-            F.when(n == 1, ts).otherwise(ts + delay).alias("updated_at"),
-            n.cast("long").alias("_batch_id"),
-        )
-        .withColumn("_loaded_at", F.col("updated_at") + F.expr(HOUR))
+    heads = _versions(
+        spark, sf_dir, "orders",
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "o_orderdate AS order_ts",
+        "CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'pending'"
+        " WHEN o_orderkey % 2 = 0 THEN 'refunded' ELSE 'cancelled' END AS final_status",
+        "CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderpriority = '1-URGENT' THEN 'paid_search'"
+        " WHEN o_orderpriority = '2-HIGH' THEN 'email' WHEN o_orderpriority = '3-MEDIUM' THEN 'organic'"
+        " WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'social' ELSE 'affiliate' END AS channel",
+        "CAST(CASE WHEN o_orderkey % 10 < 7 THEN '0.00' WHEN o_orderkey % 10 < 9 THEN '0.10' ELSE '0.30' END"
+        " AS DECIMAL(4,2)) AS discount_pct",
     )
+    versions = heads.selectExpr("*", "explode(IF(final_status = 'pending', array(1), array(1, 2))) AS n")
+    return versions.selectExpr(
+        "order_id",
+        "customer_id",
+        "order_ts",
+        "IF(n = 1, 'pending', final_status) AS status",
+        "channel",
+        "discount_pct",
+        "order_ts AS created_at",
+        "IF(n = 1, order_ts, order_ts + make_dt_interval(0, CAST(order_id % 120 AS INT) + 1)) AS updated_at",
+        "CAST(n AS BIGINT) AS _batch_id",
+    ).selectExpr("*", LOADED)
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _read(spark, sf_dir, "lineitem")
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("unit_price"),
-            F.col("l_shipdate").alias("created_at"),
-            F.col("l_shipdate").alias("updated_at"),
-            F.lit(1).cast("long").alias("_batch_id"),
-        )
-        .withColumn("_loaded_at", F.col("updated_at") + F.expr(HOUR))
-    )
-
-
-def web_event_columns(ts: str = "ts") -> list[Column]:
-    """One session per user and day; every 50th event is ingested one to eight days late."""
-    eid, kind, at = F.col("event_id"), F.col("event_type"), F.col(ts)
-    late = F.make_dt_interval(days=(F.floor(eid / 50) % 8 + 1).cast("int"))
-    soon = F.expr("INTERVAL 5 MINUTES")
-    return [
-        eid.alias("event_id"),
-        (F.col("user_id") * 100 + F.dayofmonth(at)).alias("session_id"),
-        F.when(eid % 3 == 0, F.col("user_id")).alias("customer_id"),
-        at.alias("event_ts"),
-        F.when(kind == "view", "page_view")
-        .when(kind == "click", "product_view")
-        .when(kind == "signup", "add_to_cart")
-        .when(kind == "error", "begin_checkout")
-        .otherwise("purchase")
-        .alias("event_type"),
-        F.when(eid % 3 == 0, "mobile").when(eid % 3 == 1, "desktop").otherwise("tablet").alias("device"),
-        F.when(eid % 50 == 0, at + late).otherwise(at + soon).alias("ingested_at"),
-    ]
+    return _versions(
+        spark, sf_dir, "lineitem",
+        "l_orderkey * 10 + l_linenumber AS order_item_id",
+        "l_orderkey AS order_id",
+        "l_partkey AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        "CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price",
+        "l_shipdate AS created_at",
+        "l_shipdate AS updated_at",
+        "1L AS _batch_id",
+    ).selectExpr("*", LOADED)
+
+
+# One session per user and day; every 50th event is ingested one to eight days late.
+WEB_EVENT_COLUMNS = (
+    "event_id",
+    "user_id * 100 + day(ts) AS session_id",
+    "IF(event_id % 3 = 0, user_id, NULL) AS customer_id",
+    "ts AS event_ts",
+    "CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_view' WHEN 'signup' THEN 'add_to_cart'"
+    " WHEN 'error' THEN 'begin_checkout' ELSE 'purchase' END AS event_type",
+    "elt(CAST(event_id % 3 AS INT) + 1, 'mobile', 'desktop', 'tablet') AS device",
+    "IF(event_id % 50 = 0, ts + make_dt_interval(CAST(floor(event_id / 50) % 8 AS INT) + 1),"
+    " ts + INTERVAL 5 MINUTES) AS ingested_at",
+)
 
 
 def raw_web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _read(spark, sf_dir, "events")
-        .select(*web_event_columns())
-        .withColumn("_batch_id", F.lit(1).cast("long"))
-        .withColumn("_loaded_at", F.col("ingested_at") + F.expr(HOUR))
+    return _versions(spark, sf_dir, "events", *WEB_EVENT_COLUMNS, "1L AS _batch_id").selectExpr(
+        "*", "ingested_at + INTERVAL 1 HOUR AS _loaded_at"
     )
 
 

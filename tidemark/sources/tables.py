@@ -22,6 +22,19 @@ def list_names(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (fs.globStatus(path) or []))
 
 
+def publish_text(spark: SparkSession, target: str, text: str) -> None:
+    """Write a small file so that it appears complete: to a temporary name first, then one rename."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(target)
+    temporary = hadoop.Path(path.getParent(), f".{path.getName()}.tmp")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(temporary, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if not fs.rename(temporary, path):
+        raise OSError(f"could not publish {target}")
+
+
 def delete_path(spark: SparkSession, target: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
