@@ -32,7 +32,8 @@ class Warehouse:
 
     @property
     def fct_orders(self) -> PartitionedTable:
-        return PartitionedTable(self.spark, f"{self.root}/fct_orders", F.date_format("order_ts", "yyyy-MM"))
+        month = F.date_format("order_ts", "yyyy-MM")
+        return PartitionedTable(self.spark, f"{self.root}/fct_orders", month, FCT_ORDERS_CONTRACT)
 
     def build(self, raw: Mapping[str, DataFrame], full_refresh: bool = False) -> dict[str, DataFrame]:
         """Build every model; staging stays lazy, marts are written once and read back by their consumers.

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.merge import incremental_merge
 from tidemark.session import checkpointed
@@ -41,7 +41,7 @@ def delete_path(spark: SparkSession, target: str) -> None:
 
 
 def _versions(paths: list[str], depth: int) -> list[int]:
-    return sorted(int(p.rstrip("/").split("/")[-depth].removeprefix("v=")) for p in paths)
+    return sorted(int(p.rstrip("/").split("/")[-depth].rsplit("=", 1)[1]) for p in paths)
 
 
 class SnapshotTable:
@@ -68,8 +68,9 @@ class SnapshotTable:
         return self.spark.read.parquet(f"{self.path}/v={version}")
 
     def write(self, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{self.path}/v={self.next_version()}")
-        return self.read()
+        target = f"{self.path}/v={self.next_version()}"
+        df.write.parquet(target)
+        return self.spark.read.schema(df.schema).parquet(target)
 
     def merge(self, delta: DataFrame, key: Sequence[str]) -> DataFrame:
         return self.write(incremental_merge(self.read(), delta, key))
@@ -82,13 +83,16 @@ class PartitionedTable:
     snapshot is the commit.
     """
 
-    PART = "_part"
+    PART, VERSION = "_part", "_version"
 
-    def __init__(self, spark: SparkSession, path: str, part: Column):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, part: Column, schema: T.StructType):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self._part = F.coalesce(part.cast("string"), F.lit("none")).alias(self.PART)
         self._parts = SnapshotTable(spark, f"{self.path}/parts")
 
+    def _data(self, version: int | str) -> str:
+        return f"{self.path}/data/{self.VERSION}={version}"
+
     def exists(self) -> bool:
         """An empty table counts as missing, so the next write is a first build."""
         return bool(self.partitions())
@@ -103,19 +107,22 @@ class PartitionedTable:
 
     def _read(self, parts: dict[str, int], only: Sequence[str] | None = None) -> DataFrame:
         chosen = parts if only is None else {p: v for p, v in parts.items() if p in set(only)}
-        schema_of = chosen or parts  # an empty choice still needs the columns
-        paths = [f"{self.path}/data/v={v}/{self.PART}={p}" for p, v in sorted(schema_of.items())]
-        df = self.spark.read.option("basePath", f"{self.path}/data").parquet(*paths)
-        df = df.withColumn(self.PART, F.col(self.PART).cast("string")).drop("v")
-        return df if chosen else df.filter(F.lit(False))
+        schema = T.StructType(
+            [*self.schema.fields, T.StructField(self.VERSION, T.IntegerType()), T.StructField(self.PART, T.StringType())]
+        )
+        if not chosen:
+            return self.spark.createDataFrame([], schema).drop(self.VERSION)
+        paths = [f"{self._data(v)}/{self.PART}={p}" for p, v in sorted(chosen.items())]
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
+        return reader.parquet(*paths).drop(self.VERSION)
 
     def _publish(self, df: DataFrame, keep: dict[str, int]) -> None:
-        started = _versions(list_names(self.spark, f"{self.path}/data/v=*"), 1)
+        started = _versions(list_names(self.spark, self._data("*")), 1)
         version = started[-1] + 1 if started else 1
         # Rows of one partition meet in few tasks, so each leaves few files; AQE splits the large ones.
         spread = df.withColumn(self.PART, self._part).hint("rebalance", self.PART)
-        spread.write.partitionBy(self.PART).parquet(f"{self.path}/data/v={version}")
-        written = list_names(self.spark, f"{self.path}/data/v={version}/{self.PART}=*")
+        spread.write.partitionBy(self.PART).parquet(self._data(version))
+        written = list_names(self.spark, f"{self._data(version)}/{self.PART}=*")
         parts = keep | {p.rsplit("=", 1)[1]: version for p in written}
         rows = self.spark.createDataFrame(sorted(parts.items()), "part string, version int")
         self._parts.write(rows.coalesce(1))

@@ -154,3 +154,15 @@ FCT_ORDERS_CONTRACT = _schema(
     is_completed=T.BooleanType(),
     order_updated_at=_TS,
 )
+
+SESSION_SCHEMA = _schema(
+    session_id=T.LongType(), event_date=T.DateType(), device=T.StringType(), furthest_stage=T.IntegerType()
+)
+FUNNEL_SCHEMA = _schema(
+    funnel_key=T.StringType(),
+    event_date=T.DateType(),
+    device=T.StringType(),
+    stage=T.StringType(),
+    stage_order=T.IntegerType(),
+    sessions=T.LongType(),
+)

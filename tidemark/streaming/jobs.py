@@ -14,7 +14,7 @@ from tidemark.plans.load import load_batch
 from tidemark.plans.marts import funnel_of_sessions
 from tidemark.sources.raw_store import RawStore
 from tidemark.sources.tables import PartitionedTable
-from tidemark.specs import FUNNEL_LOOKBACK_DAYS, TableSpec
+from tidemark.specs import FUNNEL_LOOKBACK_DAYS, FUNNEL_SCHEMA, SESSION_SCHEMA, TableSpec
 
 
 def _start(df: DataFrame, checkpoint: str, write_batch, mode: str) -> StreamingQuery:
@@ -49,8 +49,8 @@ class FunnelTables:
 
     def __init__(self, spark, root: str):
         day = F.col("event_date")
-        self.sessions = PartitionedTable(spark, f"{root}/sessions", day)
-        self.funnel = PartitionedTable(spark, f"{root}/funnel", day)
+        self.sessions = PartitionedTable(spark, f"{root}/sessions", day, SESSION_SCHEMA)
+        self.funnel = PartitionedTable(spark, f"{root}/funnel", day, FUNNEL_SCHEMA)
 
     def upsert(self, delta: DataFrame) -> None:
         """Replace the given sessions, then recount the days they were or are on."""
