@@ -141,7 +141,5 @@ def test_latest_version_and_ties(spark):
 def test_latest_version_combines_before_the_shuffle(spark):
     df = spark.range(0, 20_000, 1, 8).selectExpr("0L AS k", "id AS t", "id AS v")
     latest = versions.latest_version(df, ["k"], ["t"])
-    latest.collect()
-    plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("SortAggregate") == 2 or plan.count("HashAggregate") >= 2
+    assert "partial_max" in latest._jdf.queryExecution().executedPlan().toString()
     assert rows(latest) == [(0, 19_999, 19_999)]

@@ -219,12 +219,14 @@ def mart_funnel_daily(events: DataFrame) -> DataFrame:
 def funnel_delta(events: DataFrame, first_day: Column) -> DataFrame:
     """The funnel of sessions that start on or after ``first_day``.
 
-    A session's day is known only after grouping. Sessions without any event from that day on cannot
-    qualify and are dropped before the grouping; straddling sessions stay whole.
+    These are the sessions with events from that day on and none before it, so only the recent events are
+    grouped, and of the older ones only the distinct session ids are compared. Both sides are reduced per
+    session before they meet, so one very long session costs no more than any other.
     """
-    recent = events.filter(F.to_date("event_ts") >= first_day).select("session_id").distinct()
-    sessions = sessionize(events.join(recent, "session_id", "left_semi"))
-    return funnel_of_sessions(sessions.filter(F.col("event_date") >= first_day))
+    day = F.to_date("event_ts")
+    recent = sessionize(events.filter(day >= first_day))
+    started_before = events.filter(day < first_day).select("session_id").distinct()
+    return funnel_of_sessions(recent.join(started_before, "session_id", "left_anti"))
 
 
 def funnel_incremental(

@@ -19,7 +19,12 @@ def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) ->
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split a hot key's join partition even when an aggregation on the same key follows.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # The planner broadcasts on its size estimate, AQE on the measured size; both up to this bound.
+        .config("spark.sql.autoBroadcastJoinThreshold", "32m")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
