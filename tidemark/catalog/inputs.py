@@ -27,6 +27,14 @@ class Shop:
     def products(self) -> DataFrame:
         return staging.stg_products(self.raw("products"))
 
+    @cached_property
+    def product_costs(self) -> DataFrame:
+        return staging.stg_products(self.raw("products"), ["product_id", "unit_cost"])
+
+    @cached_property
+    def signups(self) -> DataFrame:
+        return staging.stg_customers(self.raw("customers"), ["customer_id", "signup_date"])
+
     @cached_property
     def orders(self) -> DataFrame:
         return staging.stg_orders(self.raw("orders"))
@@ -46,11 +54,11 @@ class Shop:
     @cached_property
     def order_money(self) -> DataFrame:
         """The order fact without its as-of columns, for consumers that do not read them."""
-        return marts.order_money(self.orders, self.items, self.products)
+        return marts.order_money(self.orders, self.items, self.product_costs)
 
     @cached_property
     def fct_orders(self) -> DataFrame:
-        return marts.fct_orders(self.orders, self.items, self.products, self.history)
+        return marts.fct_orders(self.orders, self.items, self.product_costs, self.history)
 
     @cached_property
     def fct_order_items(self) -> DataFrame:
@@ -66,7 +74,7 @@ class Shop:
 
     @cached_property
     def retention(self) -> DataFrame:
-        return marts.mart_cohort_retention(self.customers, self.order_money)
+        return marts.mart_cohort_retention(self.signups, self.order_money)
 
     @cached_property
     def rfm(self) -> DataFrame:

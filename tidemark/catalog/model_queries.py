@@ -45,12 +45,12 @@ def old_fct_orders(shop: Shop) -> DataFrame:
     """Stored, like any target of an incremental model: merging reads it more than once."""
     orders = staging.stg_orders(at_cutoff(shop.raw("orders"), "updated_at", ORDER_CUTOFF))
     items = staging.stg_order_items(at_cutoff(shop.raw("order_items"), "updated_at", ORDER_CUTOFF))
-    return checkpointed(marts.fct_orders(orders, items, shop.products, shop.history))
+    return checkpointed(marts.fct_orders(orders, items, shop.product_costs, shop.history))
 
 
 def merged_fct_orders(shop: Shop) -> DataFrame:
     return marts.fct_orders_incremental(
-        old_fct_orders(shop), shop.raw("orders"), shop.raw("order_items"), shop.products, shop.history
+        old_fct_orders(shop), shop.raw("orders"), shop.raw("order_items"), shop.product_costs, shop.history
     )
 
 
@@ -281,7 +281,7 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = Shop(spark, sf_dir)
     orders = staging.stg_orders(at_cutoff(shop.raw("orders"), "updated_at", ORDER_CUTOFF))
     items = staging.stg_order_items(at_cutoff(shop.raw("order_items"), "updated_at", ORDER_CUTOFF))
-    before = marts.mart_daily_channel(marts.order_money(orders, items, shop.products))
+    before = marts.mart_daily_channel(marts.order_money(orders, items, shop.product_costs))
     return with_doubles(merge.incremental_merge(before, shop.daily_channel, ["order_date", "channel"]))
 
 

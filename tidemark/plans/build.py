@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,11 +12,15 @@ from tidemark.operators.drift import enforce_contract
 from tidemark.plans import marts, reconcile, staging
 from tidemark.plans.load import LoadResult, load_all, utc_now
 from tidemark.plans.suite import declared_tests
+from tidemark.session import run_parallel
 from tidemark.sources.raw_store import RawStore
 from tidemark.sources.tables import PartitionedTable, SnapshotTable
 from tidemark.specs import FCT_ORDERS_CONTRACT, TABLES
 
 
+BUILD_THREADS = 4
+
+
 class DataTestError(RuntimeError):
     """At least one declared data test of severity error found rows."""
 
@@ -49,18 +53,32 @@ class Warehouse:
             "stg_customer_versions": staging.stg_customer_versions(raw["customers"]),
         }
 
-        def store(name: str, df: DataFrame) -> None:
-            m[name] = self.snapshot(name).write(df)
-
-        store("dim_customers", marts.dim_customers(m["stg_customers"]))
-        store("dim_products", marts.dim_products(m["stg_products"]))
-        store("dim_customers_history", marts.dim_customers_history(m["stg_customer_versions"]))
-        m["fct_orders"] = self._build_fct_orders(m, raw, full_refresh)
-        store("fct_order_items", marts.fct_order_items(m["stg_order_items"], m["fct_orders"], m["dim_products"]))
-        store("mart_daily_channel", marts.mart_daily_channel(m["fct_orders"]))
-        m["mart_funnel_daily"] = self._build_funnel(m, full_refresh)
-        store("mart_cohort_retention", marts.mart_cohort_retention(m["dim_customers"], m["fct_orders"]))
-        store("mart_customer_rfm", marts.mart_customer_rfm(m["fct_orders"]))
+        def build(*jobs: tuple[str, Callable[[], DataFrame]]) -> None:
+            results = run_parallel(self.spark, [make for _, make in jobs], BUILD_THREADS)
+            m.update((name, df) for (name, _), df in zip(jobs, results))
+
+        def table(name: str, make: Callable[[], DataFrame]) -> tuple[str, Callable[[], DataFrame]]:
+            return name, lambda: self.snapshot(name).write(make())
+
+        build(
+            table("dim_customers", lambda: marts.dim_customers(m["stg_customers"])),
+            table("dim_products", lambda: marts.dim_products(m["stg_products"])),
+            table("dim_customers_history", lambda: marts.dim_customers_history(m["stg_customer_versions"])),
+            ("mart_funnel_daily", lambda: self._build_funnel(m, full_refresh)),
+        )
+        build(("fct_orders", lambda: self._build_fct_orders(m, raw, full_refresh)))
+        build(
+            table(
+                "fct_order_items",
+                lambda: marts.fct_order_items(m["stg_order_items"], m["fct_orders"], m["dim_products"]),
+            ),
+            table("mart_daily_channel", lambda: marts.mart_daily_channel(m["fct_orders"])),
+            table(
+                "mart_cohort_retention",
+                lambda: marts.mart_cohort_retention(m["dim_customers"], m["fct_orders"]),
+            ),
+            table("mart_customer_rfm", lambda: marts.mart_customer_rfm(m["fct_orders"])),
+        )
         return m
 
     def _build_fct_orders(self, m, raw, full_refresh) -> DataFrame:

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import drift
 from tidemark.operators.merge import extract_range, new_rows
+from tidemark.session import run_parallel
 from tidemark.sources.raw_store import FAILED, MONTH, RUNNING, SUCCESS, RawStore
 from tidemark.sources.tables import delete_path
 from tidemark.specs import DEFAULT_OVERLAP_SECONDS, TABLES, TableSpec
 
 ERROR_LENGTH = 1500
+PARALLEL_LOADS = 5
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,7 @@ def load_table(
     full: bool = False,
     overlap_seconds: int = DEFAULT_OVERLAP_SECONDS,
     now: datetime | None = None,
+    batch_id: int | None = None,
 ) -> LoadResult:
     """Load what changed since the watermark. Any error leaves a ``failed`` audit row and nothing else."""
 
@@ -63,7 +66,7 @@ def load_table(
         return _insert(store, spec, rows, batch_id, watermark, upper, started)
 
     started = now or utc_now()
-    return _attempt(store, spec, source, run_label, started, extract)
+    return _attempt(store, spec, source, run_label, started, extract, batch_id)
 
 
 def load_batch(
@@ -81,8 +84,8 @@ def load_batch(
     return _attempt(store, spec, rows, run_label, started, insert)
 
 
-def _attempt(store, spec, source, run_label, started, work) -> LoadResult:
-    batch_id = store.next_batch_id()
+def _attempt(store, spec, source, run_label, started, work, batch_id=None) -> LoadResult:
+    batch_id = batch_id or store.next_batch_id()
     opened = {"run_label": run_label, "started_at": started}
     store.publish(spec, batch_id, RUNNING, **opened)
     try:
@@ -142,11 +145,17 @@ def load_all(
     overlap_seconds: int = DEFAULT_OVERLAP_SECONDS,
     now: datetime | None = None,
 ) -> list[LoadResult]:
-    """Load the tables in order."""
-    return [
-        load_table(store, spec, sources[spec.name], run_label, full=full, overlap_seconds=overlap_seconds, now=now)
-        for spec in tables
-    ]
+    """Load the tables side by side, under batch ids in their order. A table that fails stops no other;
+    its error is raised when all have ended."""
+    first = store.next_batch_id()
+
+    def job(spec: TableSpec, batch_id: int):
+        return lambda: load_table(
+            store, spec, sources[spec.name], run_label,
+            full=full, overlap_seconds=overlap_seconds, now=now, batch_id=batch_id,
+        )
+
+    return run_parallel(store.spark, [job(s, first + i) for i, s in enumerate(tables)], PARALLEL_LOADS)
 
 
 def results_frame(spark: SparkSession, results: Sequence[LoadResult]) -> DataFrame:

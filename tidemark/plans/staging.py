@@ -1,47 +1,53 @@
-"""Staging models: newest version per key, typed and cleaned. Lazy; nothing is written."""
+"""Staging models: newest version per key, typed and cleaned. Lazy; nothing is written.
+
+Picking the newest version compares whole rows, so the optimizer cannot drop a column of it later. Callers
+that need only some columns name them, and the scan reads no others.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import email_hash
 from tidemark.operators.versions import latest_version
 
 NEWEST = ("updated_at", "_loaded_at")
+CUSTOMERS = (
+    "customer_id", "full_name", "email_hash", "country", "segment", "acquisition_channel", "signup_date",
+    "created_at", "updated_at",
+)
+PRODUCTS = ("product_id", "product_name", "category", "unit_price", "unit_cost", "updated_at")
+ORDERS = ("order_id", "customer_id", "order_ts", "status", "channel", "discount_pct", "updated_at")
+ORDER_ITEMS = ("order_item_id", "order_id", "product_id", "quantity", "unit_price", "updated_at")
+ITEM_TIES = ("product_id", "quantity", "unit_price")
+
+Columns = Sequence[str] | None
+
+
+def _current(raw: DataFrame, key: str, columns: Sequence[str], newest: Sequence[str]) -> DataFrame:
+    needed = list(dict.fromkeys([*columns, *newest]))
+    return latest_version(raw.select(*needed), [key], newest).select(*columns)
 
 
-def stg_customers(raw: DataFrame) -> DataFrame:
+def stg_customers(raw: DataFrame, columns: Columns = None) -> DataFrame:
     """Current customers. The email leaves raw only as a hash."""
-    rows = raw.select(
-        "customer_id", "full_name", email_hash(F.col("email")).alias("email_hash"), "country", "segment",
-        "acquisition_channel", "signup_date", "created_at", "updated_at", "_loaded_at",
-    )
-    return latest_version(rows, ["customer_id"], NEWEST).drop("_loaded_at")
+    hashed = raw.withColumn("email_hash", email_hash(F.col("email")))
+    return _current(hashed, "customer_id", columns or CUSTOMERS, NEWEST)
 
 
-def stg_products(raw: DataFrame) -> DataFrame:
-    rows = raw.select(
-        "product_id", "product_name", "category", "unit_price", "unit_cost", "updated_at", "_loaded_at"
-    )
-    return latest_version(rows, ["product_id"], NEWEST).drop("_loaded_at")
+def stg_products(raw: DataFrame, columns: Columns = None) -> DataFrame:
+    return _current(raw, "product_id", columns or PRODUCTS, NEWEST)
 
 
 def stg_orders(raw: DataFrame) -> DataFrame:
-    rows = raw.select(
-        "order_id", "customer_id", "order_ts", "status", "channel", "discount_pct", "updated_at", "_loaded_at"
-    )
-    return latest_version(rows, ["order_id"], NEWEST).select(
-        "order_id", "customer_id", "order_ts", F.to_date("order_ts").alias("order_date"), "status", "channel",
-        "discount_pct", "updated_at",
-    )
+    rows = _current(raw, "order_id", ORDERS, NEWEST)
+    return rows.select(*ORDERS[:3], F.to_date("order_ts").alias("order_date"), *ORDERS[3:])
 
 
 def stg_order_items(raw: DataFrame) -> DataFrame:
-    rows = raw.select(
-        "order_item_id", "order_id", "product_id", "quantity", "unit_price", "updated_at", "_loaded_at"
-    )
-    newest = [*NEWEST, "product_id", "quantity", "unit_price"]
-    return latest_version(rows, ["order_item_id"], newest).drop("_loaded_at")
+    return _current(raw, "order_item_id", ORDER_ITEMS, [*NEWEST, *ITEM_TIES])
 
 
 def stg_web_events(raw: DataFrame) -> DataFrame:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -65,3 +68,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage on reliable storage, so a lost executor re-reads files and not the whole plan."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def run_parallel(spark: SparkSession, work: Sequence[Callable], threads: int) -> list:
+    """Submit independent Spark jobs together, so one's small stages fill the gaps of another's.
+
+    All of them run to their end; then the first error in order, if any, is raised.
+    """
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in work]
+    return [f.result() for f in futures]
