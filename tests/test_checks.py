@@ -166,9 +166,11 @@ def test_severity_and_summary(spark):
         assertions.DataTest("a", none),
         assertions.DataTest("b", some, "warn"),
         assertions.DataTest("c", some),
+        assertions.row_test("d", some, F.col("x") > 0),
+        assertions.row_test("e", some, F.col("x") > 5),
     ]
     results = assertions.run_tests(tests)
-    assert rows(results, "test", "violations", "verdict") == [("a", 0, "pass"), ("b", 3, "warn"), ("c", 3, "fail")]
-    assert rows(assertions.summarise(results)) == [(1, 1, 1)]
+    assert rows(results, "test", "violations", "verdict") == [("a", 0, "pass"), ("b", 3, "warn"), ("c", 3, "fail"), ("d", 2, "fail"), ("e", 0, "pass")]
+    assert rows(assertions.summarise(results)) == [(2, 1, 2)]
     with pytest.raises(DataTestError, match="c: 3 rows"):
         raise_on_failed_tests(results)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def not_unique(df: DataFrame, column: str) -> DataFrame:
@@ -14,13 +14,21 @@ def not_unique(df: DataFrame, column: str) -> DataFrame:
     return counts.filter(F.col("n") > 1)
 
 
+def is_null(column: str) -> Column:
+    return F.col(column).isNull()
+
+
 def nulls(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull())
+    return df.filter(is_null(column))
+
+
+def is_not_accepted(column: str, values: Sequence[str]) -> Column:
+    """Outside the list; null is not a violation."""
+    return F.col(column).isNotNull() & ~F.col(column).isin(list(values))
 
 
 def not_accepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """Values outside the list; null is not a violation."""
-    return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
+    return df.filter(is_not_accepted(column, values))
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -32,22 +40,49 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 
 @dataclass(frozen=True)
 class DataTest:
+    """``violations`` hold the broken rows. A test of single rows also names its model and condition."""
+
     label: str
     violations: DataFrame
     severity: str = "error"
+    model: DataFrame | None = None
+    broken: Column | None = None
+
+
+def row_test(label: str, model: DataFrame, broken: Column, severity: str = "error") -> DataTest:
+    return DataTest(label, model.filter(broken), severity, model, broken)
+
+
+def _counts(tests: Sequence[DataTest]) -> DataFrame:
+    """Violation counts of row tests on one model, from one pass over it."""
+    counts = tests[0].model.agg(
+        *[F.count(F.when(t.broken, 1)).alias(f"n{i}") for i, t in enumerate(tests)]
+    )
+    listed = [
+        F.struct(F.lit(t.label).alias("test"), F.lit(t.severity).alias("severity"), F.col(f"n{i}").alias("violations"))
+        for i, t in enumerate(tests)
+    ]
+    return counts.select(F.inline(F.array(*listed)))
 
 
 def run_tests(tests: Sequence[DataTest]) -> DataFrame:
     """One row per test: label, severity, violation count and verdict.
 
-    Each test is one partially aggregated count; the union runs them as one job.
+    Row tests of one model share a scan. Every count is aggregated where the rows are, and the union of
+    the counts runs as one job.
     """
-    counted = [
-        t.violations.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(t.label).alias("test"), F.lit(t.severity).alias("severity"), "violations"
-        )
-        for t in tests
-    ]
+    by_model: dict[int, list[DataTest]] = {}
+    counted = []
+    for t in tests:
+        if t.broken is not None:
+            by_model.setdefault(id(t.model), []).append(t)
+        else:
+            counted.append(
+                t.violations.agg(F.count(F.lit(1)).alias("violations")).select(
+                    F.lit(t.label).alias("test"), F.lit(t.severity).alias("severity"), "violations"
+                )
+            )
+    counted += [_counts(group) for group in by_model.values()]
     rows = reduce(DataFrame.unionByName, counted)
     verdict = F.when(F.col("violations") == 0, "pass").when(F.col("severity") == "warn", "warn")
     return rows.withColumn("verdict", verdict.otherwise("fail"))

@@ -19,10 +19,12 @@ FRESH_ERROR_HOURS = 50
 PRIVATE_COLUMNS = ("email", "full_name_raw")
 
 
+def is_negative_amount() -> Column:
+    return (F.col("unit_price") < 0) | (F.col("quantity") <= 0)
+
+
 def negative_amounts(items: DataFrame) -> DataFrame:
-    return items.filter((F.col("unit_price") < 0) | (F.col("quantity") <= 0)).select(
-        "order_item_id", "order_id", "quantity", "unit_price"
-    )
+    return items.filter(is_negative_amount()).select("order_item_id", "order_id", "quantity", "unit_price")
 
 
 def totals_off(orders: DataFrame, order_items: DataFrame) -> DataFrame:
@@ -83,9 +85,12 @@ def history_broken(history: DataFrame) -> DataFrame:
     return gaps.unionByName(open_periods)
 
 
+def is_not_a_rate() -> Column:
+    return (F.col("retention_rate") < 0) | (F.col("retention_rate") > 1)
+
+
 def not_a_rate(retention: DataFrame) -> DataFrame:
-    rate = F.col("retention_rate")
-    return retention.filter((rate < 0) | (rate > 1)).select("cohort_month", "months_since_signup", "retention_rate")
+    return retention.filter(is_not_a_rate()).select("cohort_month", "months_since_signup", "retention_rate")
 
 
 def source_freshness(raw: Mapping[str, DataFrame], now: Column) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from tidemark.operators.assertions import DataTest, not_accepted, not_unique, nulls, orphans
+from tidemark.operators.assertions import DataTest, is_not_accepted, is_null, not_unique, orphans, row_test
 from tidemark.plans import checks
 from tidemark.specs import EVENT_TYPES, FUNNEL_STAGES, ORDER_STATUSES, RFM_SEGMENTS
 
@@ -53,8 +53,8 @@ RELATIONSHIPS = (
 def generic_tests(m: Mapping[str, DataFrame]) -> list[DataTest]:
     return (
         [DataTest(f"unique {t}.{c}", not_unique(m[t], c)) for t, c in UNIQUE]
-        + [DataTest(f"not_null {t}.{c}", nulls(m[t], c)) for t, c in NOT_NULL]
-        + [DataTest(f"accepted_values {t}.{c}", not_accepted(m[t], c, v)) for t, c, v in ACCEPTED_VALUES]
+        + [row_test(f"not_null {t}.{c}", m[t], is_null(c)) for t, c in NOT_NULL]
+        + [row_test(f"accepted_values {t}.{c}", m[t], is_not_accepted(c, v)) for t, c, v in ACCEPTED_VALUES]
         + [
             DataTest(f"relationships {t}.{c}", orphans(m[t], c, m[p], pc))
             for t, c, p, pc in RELATIONSHIPS
@@ -64,7 +64,7 @@ def generic_tests(m: Mapping[str, DataFrame]) -> list[DataTest]:
 
 def rule_tests(m: Mapping[str, DataFrame]) -> list[DataTest]:
     return [
-        DataTest("no_negative_amounts", checks.negative_amounts(m["stg_order_items"])),
+        row_test("no_negative_amounts", m["stg_order_items"], checks.is_negative_amount()),
         DataTest("order_totals_reconcile", checks.totals_off(m["fct_orders"], m["fct_order_items"])),
         DataTest("daily_channel_matches_orders", checks.daily_channel_off(m["mart_daily_channel"], m["fct_orders"])),
         DataTest("funnel_matches_events", checks.funnel_off(m["stg_web_events"], m["mart_funnel_daily"])),
@@ -73,7 +73,7 @@ def rule_tests(m: Mapping[str, DataFrame]) -> list[DataTest]:
             checks.orders_incomplete(m["stg_orders"], m["stg_order_items"], m["fct_orders"]),
         ),
         DataTest("scd2_is_contiguous", checks.history_broken(m["dim_customers_history"])),
-        DataTest("retention_is_a_rate", checks.not_a_rate(m["mart_cohort_retention"])),
+        row_test("retention_is_a_rate", m["mart_cohort_retention"], checks.is_not_a_rate()),
     ]
 
 
