@@ -17,6 +17,7 @@ from tidemark.operators.merge import incremental_merge
 from tidemark.operators.ranks import global_ntile
 from tidemark.operators.versions import asof_join, scd2
 from tidemark.plans.staging import stg_order_items, stg_orders
+from tidemark.session import checkpointed
 from tidemark.specs import FUNNEL_LOOKBACK_DAYS
 
 
@@ -113,10 +114,11 @@ def fct_orders_delta(
     """The order fact for orders that changed after ``since``.
 
     An order changed when a version of it or of one of its items is newer, so the changed ids come from
-    two cursor-filtered scans; only those orders and items are then read in full.
+    two cursor-filtered scans; only those orders and items are then read in full. The ids are stored,
+    because three joins read them.
     """
     newer = F.col("updated_at") > since
-    changed = (
+    changed = checkpointed(
         raw_orders.filter(newer)
         .select("order_id")
         .union(stg_order_items(raw_items.filter(newer)).select("order_id"))
@@ -133,7 +135,7 @@ def fct_orders_incremental(
 ) -> DataFrame:
     """The existing fact with changed orders swapped in. An empty target must be built in full instead."""
     since = existing.agg(F.max("order_updated_at")).scalar()
-    delta = fct_orders_delta(raw_orders, raw_items, products, history, since)
+    delta = checkpointed(fct_orders_delta(raw_orders, raw_items, products, history, since))
     return incremental_merge(existing, delta, ["order_id"])
 
 
@@ -233,7 +235,7 @@ def funnel_incremental(
     existing: DataFrame, events: DataFrame, lookback_days: int = FUNNEL_LOOKBACK_DAYS
 ) -> DataFrame:
     first_day = F.date_sub(existing.agg(F.max("event_date")).scalar(), lookback_days)
-    return incremental_merge(existing, funnel_delta(events, first_day), ["funnel_key"])
+    return incremental_merge(existing, checkpointed(funnel_delta(events, first_day)), ["funnel_key"])
 
 
 def mart_cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
