@@ -11,7 +11,7 @@ from tidemark.catalog.inputs import Shop
 from tidemark.catalog.model_queries import EVENT_CUTOFF, ORDER_CUTOFF, at_cutoff
 from tidemark.catalog.ops_inputs import SQL_NEWEST, load_audit, source_of
 from tidemark.catalog.oracle_views import VIEWS
-from tidemark.functions import with_doubles
+from tidemark.functions import wall_clock, with_doubles
 from tidemark.operators.assertions import run_tests
 from tidemark.operators.drift import raw_projection
 from tidemark.operators.merge import extract_range, new_rows
@@ -105,7 +105,7 @@ def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = Shop(spark, sf_dir).raw("orders").select("order_id", "status", "updated_at")
     fresh = new_rows(raw, at_cutoff(raw, "updated_at", ORDER_CUTOFF), ORDERS.raw_key)
     return fresh.withColumns(
-        {"_batch_id": F.lit(7).cast("long"), "_loaded_at": F.lit(RUN_AT).cast("timestamp_ntz")}
+        {"_batch_id": F.lit(7).cast("long"), "_loaded_at": wall_clock(RUN_AT)}
     )
 
 
@@ -182,7 +182,7 @@ def atomic_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
         seen.append(store.read_raw(ORDERS).count())
 
     now = source_now(shop, "orders")
-    newest = F.lit(now.agg(F.max("updated_at")).first()[0]).cast("timestamp_ntz")
+    newest = wall_clock(now.agg(F.max("updated_at")).first()[0])
     lost = F.when(F.col("updated_at") == newest, F.raise_error(F.lit("connection lost")).cast("string"))
     load(source_then(shop, "orders"))
     look()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -11,6 +12,13 @@ from tidemark.specs import EVENT_TYPES, FUNNEL_STAGES
 MONEY = T.DecimalType(20, 2)
 
 
+def wall_clock(value: datetime | str) -> Column:
+    """A ``timestamp_ntz`` literal. Python datetimes go in as text: as they are, they would become zoned
+    timestamps and shift with the session time zone."""
+    text = value.isoformat(sep=" ") if isinstance(value, datetime) else value
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def money(col: Column) -> Column:
     return col.cast(MONEY)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions import wall_clock
 from tidemark.operators.versions import latest_version
 
 
@@ -13,16 +14,20 @@ class SchemaMismatchError(RuntimeError):
     """The delta of an incremental model no longer has the columns of its target."""
 
 
+def _bound(value, dtype) -> Column:
+    return wall_clock(value) if dtype.typeName() == "timestamp_ntz" else F.lit(value).cast(dtype)
+
+
 def extract_range(df: DataFrame, cursor: str, upper, watermark=None, overlap_seconds: int = 0) -> DataFrame:
     """Rows with ``watermark - overlap < cursor <= upper``; everything up to ``upper`` on a first load.
 
     Both bounds are literals on the bare column, so they reach a Parquet or JDBC scan.
     """
     dtype = df.schema[cursor].dataType
-    picked = df.filter(F.col(cursor) <= F.lit(upper).cast(dtype))
+    picked = df.filter(F.col(cursor) <= _bound(upper, dtype))
     if watermark is None:
         return picked
-    lower = F.lit(watermark).cast(dtype) - F.make_dt_interval(secs=F.lit(overlap_seconds))
+    lower = _bound(watermark, dtype) - F.make_dt_interval(secs=F.lit(overlap_seconds))
     return picked.filter(F.col(cursor) > lower)
 
 

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions import wall_clock
 from tidemark.operators.assertions import run_tests
 from tidemark.operators.drift import enforce_contract
 from tidemark.plans import marts, reconcile, staging
@@ -91,7 +92,7 @@ class Warehouse:
             table.overwrite(full)
         else:
             delta = marts.fct_orders_delta(
-                raw["orders"], raw["order_items"], products, history, F.lit(since).cast("timestamp_ntz")
+                raw["orders"], raw["order_items"], products, history, wall_clock(since)
             )
             enforce_contract(FCT_ORDERS_CONTRACT, delta.schema, "fct_orders")
             table.merge(delta, ["order_id"])
@@ -122,7 +123,8 @@ def run_cycle(
     raw = {s.name: store.read_raw(s) for s in TABLES}
     loaded = {s.name: reconcile.Loaded(s, sources[s.name], raw[s.name], store.watermark(s)) for s in TABLES}
     store.record_checks(reconcile.run_checks(loaded, *months), run_label, at)
-    recorded = store.dq_results().filter((F.col("run_label") == run_label) & (F.col("checked_at") == F.lit(at).cast("timestamp_ntz")))
+    this_run = (F.col("run_label") == run_label) & (F.col("checked_at") == wall_clock(at))
+    recorded = store.dq_results().filter(this_run)
     reconcile.raise_on_fail(recorded)
     models = warehouse.build(raw, full_refresh)
     return loads, models, run_tests(declared_tests(models))

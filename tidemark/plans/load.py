@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions import wall_clock
 from tidemark.operators import drift
 from tidemark.operators.merge import extract_range, new_rows
 from tidemark.session import run_parallel
@@ -123,13 +124,13 @@ def _insert(store, spec, rows, batch_id, watermark, upper, loaded_at) -> LoadRes
         F.count(F.lit(1)), F.min(version), F.max(version), F.max(cursor)
     ).first()
     # A conflict has the same version value, so only raw rows in the batch's range can conflict.
-    existing = store.read_raw(spec, low if version == cursor else None).filter(
-        F.col(version).between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz"))
-    )
-    if spec.partition_column == version and extracted:
-        existing = existing.filter(F.col(MONTH).between(f"{low:%Y-%m}", f"{high:%Y-%m}"))
+    existing = store.read_raw(spec, low if version == cursor else None)
+    if extracted:
+        existing = existing.filter(F.col(version).between(wall_clock(low), wall_clock(high)))
+        if spec.partition_column == version:
+            existing = existing.filter(F.col(MONTH).between(f"{low:%Y-%m}", f"{high:%Y-%m}"))
     fresh = new_rows(staged, existing, spec.raw_key)
-    store.write_batch(spec, fresh.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp_ntz")), batch_id)
+    store.write_batch(spec, fresh.withColumn("_loaded_at", wall_clock(loaded_at)), batch_id)
     inserted = store.read_batch(spec, batch_id).count()
     delete_path(store.spark, stage)
     return LoadResult(spec.name, batch_id, extracted, inserted, watermark, upper or newest)

@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from tidemark.functions import seconds_between
+from tidemark.functions import seconds_between, wall_clock
 from tidemark.operators.drift import Drift
 from tidemark.operators.versions import latest_version
 from tidemark.sources.tables import list_names, publish_text
@@ -154,7 +154,7 @@ class RawStore:
 
     def record_checks(self, results: DataFrame, run_label: str, now: datetime) -> None:
         stamped = results.select(
-            F.lit(run_label).alias("run_label"), F.lit(now).cast("timestamp_ntz").alias("checked_at"), "*"
+            F.lit(run_label).alias("run_label"), wall_clock(now).alias("checked_at"), "*"
         )
         self._append("dq_results", stamped)
 
