@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python tasks can import it wherever they run.
+
+    The archive is made on the driver and handed to Spark, which copies it to every executor.
+    """
+    app, package = spark.sparkContext.applicationId, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if app in _shipped or not os.path.isdir(package):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write to the shared folder and read back: the lineage is cut, and a lost executor costs a file read only."""
     path = scratch_path(df.sparkSession, label)

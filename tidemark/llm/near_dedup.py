@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keep_documents, stored
+from tidemark.llm.common import keep_documents, ship, stored
 from tidemark.llm.components import components
 from tidemark.llm.words import WHITE, mix, rows_of_words, text_chunks
 
@@ -171,7 +171,7 @@ def near_duplicates(
     id that links reach. Documents without words link with nothing. A row with a null id links with nothing, has
     a null component and is kept. Rows that repeat an id are one document; each of them gets its component.
     """
-    spark = docs.sparkSession
+    ship(docs.sparkSession)
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     narrow = stored(plain.mapInArrow(_narrow(doc_id, chunks, width, errors, size), _NARROW), "shingle-sets")
     filled = narrow.filter("n_shingles > 0 and doc_id is not null")

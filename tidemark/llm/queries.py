@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.decontaminate import contamination, report
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.packing import pack
+from tidemark.llm.quality import grades_of_labels, quality_scores
+from tidemark.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +28,33 @@ def query(sql: str | None = None):
     return register
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the packing query; every executor has it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query()
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query()
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), grades_of_labels(table(spark, sf_dir, "labels")))
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
