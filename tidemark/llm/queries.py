@@ -13,6 +13,7 @@ from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import grades_of_labels, quality_scores
 from tidemark.llm.toxicity import toxicity_scores
+from tidemark.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +76,23 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    with digests as (
+        select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as h from pages
+    ), ranked as (
+        select *, row_number() over w as place, first_value(page_id) over w as first_page
+        from digests window w as (partition by h, payload_bytes order by page_id)
+    )
+    select page_id, payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+               (((('0x' || substr(h, (i // 4) * 5 + 1, 5))::bigint >> (15 - 5 * (i % 4))) & 31) + 1)]), '') as payload_digest,
+           case when place = 1 then 'response' else 'revisit' end as record_type,
+           case when place > 1 then first_page end as refers_to
+    from ranked
+    """
+)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
