@@ -25,11 +25,12 @@ def digest(text: Column) -> Column:
 def frequent(values: DataFrame, column: str, top: int, tracked: int, lanes: int = 64) -> DataFrame:
     """Candidates for the most frequent values of a long column, as rows of column ``item``: at most ``top`` of them.
 
-    Sketches of many tasks are merged in ``lanes`` groups first, so no task reads a sketch of every task.
+    Sketches of many tasks are merged in ``lanes`` groups first, so no task reads a sketch of every task. The last merge groups by a
+    constant, because the combining aggregate fails on partitions without rows when nothing is grouped.
     """
     lane = values.select(F.col(column), (F.spark_partition_id() % lanes).alias("_lane"))
     sketches = lane.groupBy("_lane").agg(F.expr(f"approx_top_k_accumulate({column}, {tracked})").alias("s"))
-    return sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {top})").alias("t")).select(
+    return sketches.groupBy(F.lit(1)).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {top})").alias("t")).select(
         F.explode("t.item").alias("item")
     )
 
