@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import privacy
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination, report
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.katz import katz_scores
+from tidemark.llm.licenses import license_matches
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import grades_of_labels, quality_scores
@@ -56,6 +59,21 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.report(privacy.personal_data(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op7_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
