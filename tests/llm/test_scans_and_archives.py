@@ -42,9 +42,11 @@ def test_licenses_equal_plain(make_docs, odd):  # noqa: F811
         if i % 4 == 2 and len(notice) > 100:
             notice = notice.replace("software", "program", 1)
         pairs.append((100 + i, " ".join([*words[:at], notice, *words[at:]]) if i % 5 else " ".join(words)))
-    got = sorted((r.doc_id, r.license, round(r.containment, 9)) for r in license_matches(make_docs(pairs)).collect())
-    expected = plain_licenses(pairs)
-    assert set(expected) >= set(got) and len(got) >= 0.99 * len(expected) and len(got) > 80
+    got = {(r.doc_id, r.license): r.containment for r in license_matches(make_docs(pairs)).collect()}
+    expected = {(d, n): share for d, n, share in plain_licenses(pairs)}
+    assert len(expected) > 80 and expected.keys() <= got.keys()
+    # Words up to the neighbouring windows count too, so a notice with words put in may hold more than in its best window.
+    assert all(got[k] >= share - 1e-9 for k, share in expected.items()) and len(got) <= len(expected) + 2
     assert license_matches(make_docs(pairs).limit(0)).count() == 0
     assert license_matches(make_docs(pairs), templates=(("x", " !"),)).count() == 0
 
@@ -173,12 +175,12 @@ def test_written_files_are_archives(spark, tmp_path):
             assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", header["warc-date"])
             assert header["warc-block-digest"] == "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
             seen[header["warc-type"]] += 1
-    assert seen["response"] == 7 and seen["revisit"] == 3 and seen["warcinfo"] >= 1
+    assert seen["response"] == 6 and seen["revisit"] == 4 and seen["warcinfo"] >= 1
     assert read_warc(spark, warc).count() == len(PAGES)
 
 
 def test_legacy_records_of_both_versions():
-    one = b"filedesc://a.arc 0.0.0.0 19990101000000 text/plain 76\n1 0 Some Archive\nURL IP-address Archive-date Content-type Archive-length\n\nhttp://u/a b 1.2.3.4 19991231235959 text/html 5\nab\ncd\n"
+    one = b"filedesc://a.arc 0.0.0.0 19990101000000 text/plain 74\n1 0 Some Archive\nURL IP-address Archive-date Content-type Archive-length\n\nhttp://u/a b 1.2.3.4 19991231235959 text/html 5\nab\ncd\n"
     two = b"filedesc://b.arc 0.0.0.0 19990101000000 text/plain 8\n2 0 Arc\n\nhttp://v 1.2.3.4 20010101000000 text/html 200 abc - 17 f.arc 3\n\n\n\n"
     first, second = list(ArcParser().feed(one)), list(ArcParser().feed(two))
     assert first[0][1].startswith(b"1 0") and first[1][0]["URL"] == "http://u/a b" and first[1][1] == b"ab\ncd"

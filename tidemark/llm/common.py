@@ -45,7 +45,7 @@ def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path) if not partition_by else df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def held_out(doc_id: str, parts: int, part: int) -> Column:

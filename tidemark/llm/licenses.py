@@ -2,7 +2,7 @@
 
 Words are runs of a-z and 0-9 after lower-casing. For every template length, texts are cut into overlapping windows with as many five-word shingles as the template has,
 an eighth of that length apart. A window's MinHash signature is cut into bands; a template is retrieved when a band agrees, and
-the match is verified by exact shingle containment: the share of the template's shingles that the window holds.
+the match is verified by exact shingle containment: the share of the template's shingles in the window and the words up to its neighbours.
 
 A pair of Jaccard similarity j is retrieved with probability 1 - (1 - j**rows)**bands. A window that holds 80 % of the template has j of at least 2/3
 when it is aligned: 0.9999 with the default 16 bands of 2 rows. A window that holds it all collides with certainty.
@@ -135,17 +135,20 @@ def license_matches(
         """Starts of the windows of n shingles that hold an anchor, as multiples of the step."""
         step, reach = max(1, n // 8), n + SHINGLE - 2
         around = F.transform("at", lambda p: F.sequence(F.ceil(F.greatest(p - reach, F.lit(0)) / step).cast("int"), F.floor(p / step).cast("int")))
-        return F.transform(F.array_distinct(F.flatten(around)), lambda k: F.struct((k * step).alias("start"), F.lit(n + SHINGLE - 1).alias("length")))
+        return F.transform(F.array_distinct(F.flatten(around)), lambda k: F.struct((k * step).alias("start"), F.lit(n + SHINGLE - 1).alias("length"), F.lit(step - 1).alias("more")))
 
+    at, length, more = F.col("w.start"), F.col("w.length"), F.col("w.more")
+    first = F.greatest(at - more, F.lit(0))
     windows = found.select("doc_id", "words", F.explode(F.concat(*(starts(n) for n in lengths))).alias("w")).select(
-        "doc_id", F.col("w.start").alias("start"), F.slice("words", F.col("w.start") + 1, F.col("w.length")).alias("own")
+        "doc_id", first.alias("start"), F.slice("words", at + 1, length).alias("own"), F.slice("words", first + 1, at - first + length + more).alias("wide")
     )
     # The rows of a Generate are made once; a projection's expressions would be copied into each of the many uses below.
-    windows = windows.select("doc_id", "start", F.size("own").alias("n_words"), F.explode(F.array(shingles_of(F.col("own")))).alias("shingles"))
-    banded = windows.select("*", F.posexplode(band_keys(F.col("shingles"), bands, rows)).alias("band", "key"))
+    pair = F.struct(shingles_of(F.col("own")).alias("own"), shingles_of(F.col("wide")).alias("wide"))
+    windows = windows.select("doc_id", "start", F.size("wide").alias("n_words"), F.explode(F.array(pair)).alias("shingles"))
+    banded = windows.select("*", F.posexplode(band_keys(F.col("shingles.own"), bands, rows)).alias("band", "key"))
     # At most one row per template and band; the planner broadcasts the table while it is small.
     met = banded.join(keyed, (F.col("band") == F.col("template_band")) & (F.col("key") == F.col("template_key")))
-    share = F.size(F.array_intersect("template_shingles", "shingles")) / F.size("template_shingles")
+    share = F.size(F.array_intersect("template_shingles", "shingles.wide")) / F.size("template_shingles")
     verified = met.select("doc_id", "license", share.alias("containment"), "start", "n_words").filter(F.col("containment") >= containment)
     best = F.min(F.struct((-F.col("containment")).alias("c"), "start", "n_words"))
     return verified.groupBy("doc_id", "license").agg(best.alias("best")).select(
