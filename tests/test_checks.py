@@ -68,13 +68,13 @@ def test_gap_in_history(models):
     moved = history.filter("NOT is_current").select("customer_id").distinct().count()
     assert moved > 0
     found = checks.history_broken(broken)
-    assert rows(found.select("problem").distinct()) == [("gap or overlap",)]
+    assert rows(found.select("problem").distinct()) == [("discontinuous",)]
     assert found.select("customer_id").distinct().count() == moved
 
 
 def test_double_current_row(models):
     history = models["dim_customers_history"].withColumn("is_current", F.lit(True))
-    assert rows(checks.history_broken(history).select("problem").distinct()) == [("not exactly one current row",)]
+    assert rows(checks.history_broken(history).select("problem").distinct()) == [("open_periods",)]
 
 
 def test_changed_totals_and_stale_mart(models):
@@ -97,9 +97,9 @@ def test_missing_and_stale_orders(models):
         F.when(F.col("order_id") == first + 1, F.lit("1990-01-01").cast("timestamp_ntz")).otherwise(F.col("order_updated_at")),
     )
     found = checks.orders_incomplete(models["stg_orders"], models["stg_order_items"], old)
-    expected = [("missing from fct_orders", first)]
+    expected = [("absent", first)]
     if not fact.filter(F.col("order_id") == first + 1).isEmpty():
-        expected.append(("stale in fct_orders", first + 1))
+        expected.append(("outdated", first + 1))
     assert rows(found) == expected
 
 

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog import catalog
+from tidemark.catalog.check_queries import DAYS_OFF, PERIODS_OFF, SESSIONS_OFF, TOTALS_OFF
 from tidemark.catalog.inputs import Shop
 from tidemark.catalog.model_queries import EVENT_CUTOFF, ORDER_CUTOFF, at_cutoff
 from tidemark.catalog.ops_inputs import SQL_NEWEST, load_audit, source_of
@@ -290,19 +291,11 @@ def _tests_sql() -> str:
     ]
     cases += [
         ("no_negative_amounts", "select 1 from stg_order_items where unit_price < 0 or quantity <= 0"),
-        ("order_totals_reconcile", """select 1 from fct_orders o join (
-            select order_id, sum(line_revenue) as t from fct_order_items group by 1) l using (order_id)
-            where abs(o.gross_revenue - l.t) > 0.005"""),
-        ("daily_channel_matches_orders", """select 1 from (
-            select order_date, sum(net_revenue) as r from mart_daily_channel group by 1) m
-            full join (select order_date, sum(net_revenue) as r from fct_orders where is_completed group by 1) f
-            on m.order_date = f.order_date where abs(coalesce(m.r, 0) - coalesce(f.r, 0)) > 0.005"""),
-        ("funnel_matches_events", """select 1 from (select event_date, count(*) as n from sessions group by 1) e
-            left join (select event_date, sum(sessions) as n from mart_funnel_daily where stage = 'Page view' group by 1) a
-            on e.event_date = a.event_date where coalesce(a.n, 0) <> e.n"""),
-        ("fct_orders_is_complete", "select 1 from stg_orders where order_id not in (select order_id from fct_orders)"),
-        ("scd2_is_contiguous", """select 1 from (select valid_to, lead(valid_from) over (
-            partition by customer_id order by valid_from) as n from dim_customers_history) t where n <> valid_to"""),
+        ("order_totals_reconcile", TOTALS_OFF.format(fact="fct_orders")),
+        ("daily_channel_matches_orders", DAYS_OFF.format(fact="fct_orders")),
+        ("funnel_matches_events", SESSIONS_OFF.format(funnel="mart_funnel_daily")),
+        ("fct_orders_is_complete", "select order_id from stg_orders except select order_id from fct_orders"),
+        ("scd2_is_contiguous", PERIODS_OFF.format(history="dim_customers_history")),
         ("retention_is_a_rate", "select 1 from mart_cohort_retention where retention_rate < 0 or retention_rate > 1"),
     ]
     counted = "\nunion all\n".join(f"select '{label}' as test, (select count(*) from ({q}) v) as violations" for label, q in cases)

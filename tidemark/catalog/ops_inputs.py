@@ -146,12 +146,12 @@ select 'default_partition_empty' as check_name, 'web_events' as table_name,
 from (select count(*) filter (where strftime(event_ts, '%Y-%m') not between '{first}' and '{last}') as n from {raw}) t"""
 
 NULL_RATE_SQL = """
-select 'null_rate_channel' as check_name, 'orders' as table_name,
-       case when nulls / n <= 0.01 then 'pass' else 'fail' end as status, '<= 1.0%' as expected,
-       printf('%.1f%% (%d of %d)', 100.0 * nulls / n, nulls, n) as actual, '' as details
-from (select count(*) as n, count(*) filter (where channel is null) as nulls
-      from (select distinct on (order_id) order_ts, channel from {raw} order by order_id, updated_at desc, _batch_id desc) l
-      where order_ts >= (select max(order_ts) from {raw}) - interval '7' day) t"""
+select 'null_rate_channel' as check_name, 'orders' as table_name, if(blank > 0.01 * n, 'fail', 'pass') as status,
+       '<= 1.0%' as expected, format('{{:.1f}}% ({{}} of {{}})', blank * 100.0 / n, blank, n) as actual, '' as details
+from (select count(*) as n, count(*) - count(newest.via) as blank
+      from (select arg_max({{'placed': order_ts, 'via': channel}}, {{'u': updated_at, 'b': _batch_id}}) as newest
+            from {raw} group by order_id)
+      where newest.placed >= (select max(order_ts) from {raw}) - to_days(7))"""
 
 VOLUME_SQL = """
 select 'daily_volume' as check_name, 'web_events' as table_name,

@@ -66,21 +66,21 @@ def orders_incomplete(orders: DataFrame, items: DataFrame, fact: DataFrame) -> D
     """Orders the fact does not have, and orders it has in an older state; one left join finds both."""
     expected = changed_at(orders, items)
     both = expected.join(fact.select("order_id", "order_updated_at"), "order_id", "left")
-    problem = F.when(F.col("order_updated_at").isNull(), "missing from fct_orders").when(
-        F.col("order_updated_at") != F.col("changed_at"), "stale in fct_orders"
+    problem = F.when(F.col("order_updated_at").isNull(), "absent").when(
+        F.col("order_updated_at") != F.col("changed_at"), "outdated"
     )
     return both.select(problem.alias("problem"), "order_id").filter(F.col("problem").isNotNull())
 
 
 def history_broken(history: DataFrame) -> DataFrame:
     """Customers with a gap or overlap, and customers without exactly one open period."""
-    gaps = history_gaps(history, "customer_id").withColumn("problem", F.lit("gap or overlap"))
+    gaps = history_gaps(history, "customer_id").withColumn("problem", F.lit("discontinuous"))
     current = F.count(F.when(F.col("is_current"), 1))
     open_periods = (
         history.groupBy("customer_id")
         .agg(current.alias("_n"))
         .filter(F.col("_n") != 1)
-        .select("customer_id", F.lit("not exactly one current row").alias("problem"))
+        .select("customer_id", F.lit("open_periods").alias("problem"))
     )
     return gaps.unionByName(open_periods)
 
