@@ -4,14 +4,14 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidemark.operators import drift
 from tidemark.plans.load import load_all, load_batch, load_table
 from tidemark.session import scratch_path
 from tidemark.sources.raw_store import RawStore, load_status, watermarks
 from tidemark.sources.tables import list_names
-from tidemark.specs import ORDERS, PRODUCTS, WEB_EVENTS
+from tidemark.specs import ORDERS, PRODUCTS, TABLES, WEB_EVENTS
 
 T1, T2, T3 = datetime(2024, 1, 1, 8), datetime(2024, 1, 1, 12), datetime(2024, 1, 2, 9)
 
@@ -153,3 +153,31 @@ def test_delivered_batch_is_loaded_once(spark, store):
     assert load_batch(store, WEB_EVENTS, batch, "stream-0") is None
     assert load_batch(store, WEB_EVENTS, batch, "stream-1").rows_inserted == 0
     assert store.watermark(WEB_EVENTS) == T2
+
+
+def test_parallel_loads_all_keep_their_drift_rows(spark, store):
+    """Five tables side by side, each with a new column: none fails and no finding is lost."""
+    sources = {
+        s.name: spark.createDataFrame([], drift_free(s)).withColumn("coupon_code", F.lit("X")) for s in TABLES
+    }
+    load_all(store, sources, "wider")
+    assert store.audit().filter("status = 'failed'").count() == 0
+    found = rows(store.drift(), "table_name", "column_name", "severity")
+    assert found == sorted((s.name, "coupon_code", "warn") for s in TABLES)
+
+
+def drift_free(spec):
+    return T.StructType([f for f in spec.raw_schema.fields if f.name not in ("_batch_id", "_loaded_at")])
+
+
+def test_failed_insert_leaves_no_stage_and_its_whole_error(spark, store):
+    broken = orders(spark, (1, "pending", T1)).withColumn("status", F.raise_error(F.lit("x" * 4000)).cast("string"))
+    with pytest.raises(Exception):
+        load_table(store, ORDERS, broken)
+    assert not list_names(spark, f"{store.root}/stage/orders/*")
+    assert len(store.audit().first().error) > 4000
+
+
+def test_empty_delivery_reads_no_raw(spark, store):
+    assert load_batch(store, WEB_EVENTS, events(spark, (1, T1, T1)).limit(0), "none").rows_inserted == 0
+    assert not list_names(spark, f"{store.root}/raw/*")

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from conftest import rows
 
 from tidemark.plans import marts
@@ -100,3 +101,43 @@ def test_stream_load_resumes_and_loads_each_batch_once(spark):
     run(scratch_path(spark, "ckpt"))
     assert store.read_raw(WEB_EVENTS).count() == 3
     assert store.audit().count() == 2
+
+
+def test_late_but_unique_events_are_kept(spark):
+    folder, out, at = (scratch_path(spark, n) for n in ("in", "out", "ckpt"))
+    for i, (day, arrival) in enumerate([(0, 0), (30, 30), (31, 31), (2, 32)]):
+        row = event(i, 100, day)
+        land(spark, folder, (*row[:-1], DAY0 + timedelta(days=arrival)))
+        jobs.append_files(jobs.dedupe_events(stream(spark, folder), "10 days"), out, at).awaitTermination()
+    assert len(rows(spark.read.schema(WEB_EVENTS.schema).parquet(out), "event_id")) == 4
+
+
+SESSIONS = "session_id long, event_date date, device string, furthest_stage int"
+
+
+def test_session_over_midnight_counts_on_its_first_day(spark):
+    first, second = DAY0.date(), (DAY0 + timedelta(days=1)).date()
+    parts = [(1, first, "tv", 1), (1, second, "tv", 5)]
+    seen = []
+    for batches in ([parts], [parts[:1], parts[1:]]):
+        tables = jobs.FunnelTables(spark, scratch_path(spark, "funnel"))
+        for batch in batches:
+            tables.upsert(spark.createDataFrame(batch, SESSIONS))
+        seen.append(rows(tables.funnel.read(), "event_date", "stage_order", "sessions"))
+    assert seen[0] == seen[1] == [(first, i, 1) for i in range(1, 6)]
+
+
+def test_crash_between_sessions_and_counts_is_made_good(spark, monkeypatch):
+    first, second = DAY0.date(), (DAY0 + timedelta(days=1)).date()
+    tables = jobs.FunnelTables(spark, scratch_path(spark, "funnel"))
+    tables.upsert(spark.createDataFrame([(1, second, "tv", 1), (2, second, "tv", 1)], SESSIONS))
+    moved = spark.createDataFrame([(1, first, "tv", 2)], SESSIONS)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(tables.funnel, "replace", crash)
+        tables.upsert(moved)
+    tables.upsert(moved)
+    assert rows(tables.funnel.read(), "event_date", "stage_order", "sessions") == [(first, 1, 1), (first, 2, 1), (second, 1, 1)]

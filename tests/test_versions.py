@@ -143,3 +143,34 @@ def test_latest_version_combines_before_the_shuffle(spark):
     latest = versions.latest_version(df, ["k"], ["t"])
     assert "partial_max" in latest._jdf.queryExecution().executedPlan().toString()
     assert rows(latest) == [(0, 19_999, 19_999)]
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 3])
+def test_both_asof_paths_agree_on_odd_periods(spark, hot_rows):
+    """Overlaps, gaps, periods of no length and periods that begin together."""
+    at = lambda d: DAY0 + timedelta(days=d)
+    periods = [
+        (1, "a", at(1), at(10)), (1, "b", at(3), at(5)), (1, "c", at(12), at(12)), (1, "d", at(20), at(22)), (1, "e", at(20), at(25)),
+        (2, "f", at(0), at(9)), (2, "g", at(9), at(9)), (2, "h", at(9), at(30)), (None, "n", at(0), at(40)),
+    ]
+    facts = [(i, k, at(d)) for i, (k, d) in enumerate((k, d) for k in (1, 2, 3, None) for d in range(28))]
+
+    def expected(k, ts):
+        begun = [p for p in periods if k is not None and p[0] == k and p[2] <= ts]
+        last = max(begun, key=lambda p: (p[2], p[3]), default=None)
+        return last[1] if last and ts < last[3] else None
+
+    left = spark.createDataFrame(facts, "f long, k long, ts timestamp_ntz")
+    right = spark.createDataFrame(periods, "k long, a string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    want = sorted(((f, expected(k, ts)) for f, k, ts in facts), key=repr)
+    for max_bytes in (versions.BROADCAST_BYTES, 0):
+        got = versions.asof_join(left, right, "k", "ts", ["a"], max_bytes=max_bytes, hot_rows=hot_rows)
+        assert rows(got, "f", "a") == want
+
+
+def test_hot_null_key_is_split(spark):
+    df = spark.createDataFrame([(None, DAY0 + timedelta(hours=i), "x") for i in range(200)] + [(1, DAY0, "y")], "k long, ts timestamp_ntz, a string")
+    hot = find_hot_keys(df, "k", "ts", hot_rows=60)
+    assert rows(hot.splits, "k") == [(None,)]
+    same = lambda n: rows(versions.scd2(df, "k", "ts", ["a"], hot_rows=n), "k", "valid_from", "version_number", "is_current")
+    assert same(60) == same(1_000_000)

@@ -154,30 +154,46 @@ select '{s.name}' as table_name, max({s.cursor}) + interval '1' hour as newest_l
        case when date_diff('second', max({s.cursor}) + interval '1' hour, timestamp '{NOW}') > 50 * 3600 then 'error'
             when date_diff('second', max({s.cursor}) + interval '1' hour, timestamp '{NOW}') > 26 * 3600 then 'warn'
             else 'pass' end as status
-from raw_{s.name}""" for s in TABLES if s.name != "web_events"))
+from raw_{s.name}""" for s in TABLES))
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = Shop(spark, sf_dir)
-    tables = {s.name: shop.raw(s.name) for s in TABLES if s.name != "web_events"}
+    tables = {s.name: shop.raw(s.name) for s in TABLES}
     return checks.source_freshness(tables, F.lit(NOW).cast("timestamp_ntz"))
 
 
-_PUBLISHED = ("stg_customers", "dim_customers", "dim_customers_history", "fct_orders", "mart_customer_rfm")
+_HASHED = ("stg_customers", "dim_customers")
 
 
-@catalog.add("pii_scan", "\nunion all by name\n".join(f"""
-select '{t}' as table_name, cast(0 as bigint) as private_columns, count(*) as rows_scanned,
-       {"count(*) filter (where length(email_hash) <> 32)" if t in ("stg_customers", "dim_customers") else "cast(0 as bigint)"}
-       as bad_hashes from {t}""" for t in _PUBLISHED))
-def pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shop = Shop(spark, sf_dir)
-    tables = {
+def _models(shop: Shop) -> dict[str, DataFrame]:
+    """All fifteen models of both layers."""
+    return {
         "stg_customers": shop.customers,
+        "stg_products": shop.products,
+        "stg_orders": shop.orders,
+        "stg_order_items": shop.items,
+        "stg_web_events": shop.events,
+        "stg_customer_versions": staging.stg_customer_versions(shop.raw("customers")),
         "dim_customers": marts.dim_customers(shop.customers),
+        "dim_products": marts.dim_products(shop.products),
         "dim_customers_history": shop.history,
         "fct_orders": shop.fct_orders,
+        "fct_order_items": shop.fct_order_items,
+        "mart_daily_channel": shop.daily_channel,
+        "mart_funnel_daily": shop.funnel,
+        "mart_cohort_retention": shop.retention,
         "mart_customer_rfm": shop.rfm,
     }
-    return checks.pii_scan({name: tables[name] for name in _PUBLISHED})
+
+
+@catalog.add("pii_scan", "\nunion all by name\n".join(f"""
+select '{t}' as table_name, cast(0 as bigint) as private_columns, count(*) as rows_scanned,
+       {"count(*) filter (where length(email_hash) <> 32)" if t in _HASHED else "cast(0 as bigint)"}
+       as bad_hashes from {t}""" for t in (
+    "stg_customers", "stg_products", "stg_orders", "stg_order_items", "stg_web_events", "stg_customer_versions", "dim_customers",
+    "dim_products", "dim_customers_history", "fct_orders", "fct_order_items", "mart_daily_channel", "mart_funnel_daily",
+    "mart_cohort_retention", "mart_customer_rfm")))
+def pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.pii_scan(_models(Shop(spark, sf_dir)))
 
 
 # --- reconciliation ------------------------------------------------------------------------------

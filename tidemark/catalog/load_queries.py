@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,9 +15,11 @@ from tidemark.catalog.ops_inputs import SQL_NEWEST, load_audit, source_of
 from tidemark.catalog.oracle_views import VIEWS
 from tidemark.functions import wall_clock, with_doubles
 from tidemark.operators.assertions import run_tests
-from tidemark.operators.drift import raw_projection
+from tidemark.operators.drift import SchemaDriftError, raw_projection
 from tidemark.operators.merge import extract_range, new_rows
+from tidemark.operators.metrics import metric_query
 from tidemark.operators.versions import latest_version
+from tidemark.plans import dashboards
 from tidemark.plans.build import Warehouse
 from tidemark.plans.load import load_all, load_table, results_frame
 from tidemark.plans.suite import ACCEPTED_VALUES, NOT_NULL, RELATIONSHIPS, UNIQUE, declared_tests
@@ -312,6 +315,61 @@ def run_tests_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_tests(declared_tests(models))
 
 
+# --- drift ---------------------------------------------------------------------------------------
+
+_DRIFTED = " union all ".join(
+    f"select '{s.name}' as table_name, 'column_added' as kind, 'coupon_code' as column_name, 'warn' as severity" for s in TABLES
+) + " union all select 'orders', 'type_changed', 'customer_id', 'error'"
+
+
+def _drifted_store(spark: SparkSession, sf_dir: str) -> RawStore:
+    """Five tables loaded side by side, each with a column raw does not know; then orders with a column of another type."""
+    shop, store = Shop(spark, sf_dir), _store(spark)
+    wider = {s.name: source_now(shop, s.name).withColumn("coupon_code", F.lit("X")) for s in TABLES}
+    load_all(store, wider, "wider", now=datetime.fromisoformat(RUN_AT))
+    retyped = wider["orders"].drop("coupon_code").withColumn("customer_id", F.col("customer_id").cast("string"))
+    with suppress(SchemaDriftError):
+        load_table(store, ORDERS, retyped, "retyped", now=datetime.fromisoformat(RUN_AT))
+    return store
+
+
+@catalog.add("schema_drift", f"""
+select d.*, (select count(*) from ({" union all ".join(f"select '{s.name}' as t from src_{s.name}" for s in TABLES)}) r
+             where r.t = d.table_name) as rows_loaded
+from ({_DRIFTED}) d""")
+def schema_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the loads found, and that the tables with warnings were loaded all the same."""
+    store = _drifted_store(spark, sf_dir)
+    loaded = store.audit().filter("status = 'success'").select("table_name", F.col("rows_inserted").alias("rows_loaded"))
+    return store.drift().select("table_name", "kind", "column_name", "severity").join(loaded, "table_name")
+
+
+@catalog.add("metric_drift_events", f"""
+select table_name, kind, count(*) as drift_events from ({_DRIFTED}) d group by table_name, kind""")
+def metric_drift_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_query(_drifted_store(spark, sf_dir).drift(), "drift", ["drift_events"], ["table_name", "kind"])
+
+
+@catalog.add("drift_log", f"""
+select timestamp '{RUN_AT}' as detected_at, * from ({_DRIFTED}) d""")
+def drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboards.drift_log(_drifted_store(spark, sf_dir).drift()).drop("detail")
+
+
+@catalog.add("empty_source_load", """
+select 'orders' as table_name, 'success' as status, cast(0 as bigint) as rows_extracted, cast(0 as bigint) as rows_inserted,
+       (select count(*) from src_orders) as visible_rows""")
+def empty_source_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that is empty after a full load: the load succeeds, and neither rows nor watermark change."""
+    source, store = source_now(Shop(spark, sf_dir), "orders"), _store(spark)
+    load_table(store, ORDERS, source, "full")
+    before = store.watermark(ORDERS)
+    load_table(store, ORDERS, source.limit(0), "empty")
+    visible = store.read_raw(ORDERS).agg(F.count(F.lit(1)).alias("n")).scalar()
+    last = store.audit().filter("run_label = 'empty'").select("table_name", "status", "rows_extracted", "rows_inserted")
+    return last.filter(F.lit(store.watermark(ORDERS) == before)).withColumn("visible_rows", visible)
+
+
 # --- streams -------------------------------------------------------------------------------------
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,7 +388,8 @@ def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice."""
     twice = event_stream(spark, sf_dir).union(event_stream(spark, sf_dir))
-    unique = jobs.dedupe_events(twice.select("event_id", "session_id", "event_ts", "event_type"), "10 days")
+    narrow = twice.select("event_id", "session_id", "event_ts", "event_type", "ingested_at")
+    unique = jobs.dedupe_events(narrow, "10 days").drop("ingested_at")
     out = scratch_path(spark, "events")
     jobs.append_files(unique, out, scratch_path(spark, "stream")).awaitTermination()
     return spark.read.schema(unique.schema).parquet(out)

@@ -9,14 +9,14 @@ looked up in a table with one row per hot chunk. Results are the same on both pa
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key is hot above this many rows, or above this share of all rows if that is more. The share bounds
-# the number of hot keys (and of their chunks) by 1000 each, whatever the size of the data.
+from tidemark.session import checkpointed
+
+# A key is hot above this many rows, whatever the size of the data; its chunks have about as many. So the split points are
+# one per this many rows at most: the planner broadcasts their table while it is small and shuffles it otherwise.
 HOT_ROWS = 1_000_000
-HOT_SHARE = 1_000
 SAMPLES_PER_CHUNK = 20
 
 CHUNK = "_chunk"
@@ -25,7 +25,7 @@ _SPLITS = "_splits"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Split points of the hot keys: (key, [t1 < t2 < ...]); bounded by HOT_SHARE, so broadcastable."""
+    """Split points of the hot keys: (key, [t1 < t2 < ...]), a row per hot key."""
 
     key: str
     order: str
@@ -36,7 +36,7 @@ class HotKeys:
         order = F.col(self.order)
         chunk = F.size(F.filter(F.col(_SPLITS), lambda s: s <= order))
         return (
-            df.join(F.broadcast(self.splits), self.key, "left")
+            _left_join(df, self.splits, self.key)
             .withColumn(CHUNK, F.when(F.col(_SPLITS).isNull(), F.lit(0)).otherwise(chunk))
             .withColumn("_hot", F.col(_SPLITS).isNotNull())
             .drop(_SPLITS)
@@ -46,33 +46,27 @@ class HotKeys:
 def find_hot_keys(
     df: DataFrame, key: str, order: str, hot_rows: int = HOT_ROWS, seed: int = 7
 ) -> HotKeys | None:
-    """Probe the key counts (partially aggregated before the shuffle); None when no key is hot."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if not total:
-        return None
-    limit = max(hot_rows, ceil(total / HOT_SHARE))
-    if largest <= limit:
+    """Probe the key counts (partially aggregated before the shuffle); None when no key is hot.
+
+    Rows with a null key count as one key. The split points are made and kept as a table, one value per chunk.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    if (counts.agg(F.max("_n")).first()[0] or 0) <= hot_rows:
         return None
-    spark = df.sparkSession
-    key_field = df.schema[key]
-    hot = [row[0] for row in counts.filter(F.col("_n") > limit).select(key).collect()]
-    hot_df = spark.createDataFrame([(k,) for k in hot], T.StructType([key_field]))
-    sample = (
-        df.select(key, order)
-        .join(F.broadcast(hot_df), key)
-        .sample(min(1.0, SAMPLES_PER_CHUNK / limit), seed=seed)
-        .orderBy(key, order)
-        .collect()
-    )
-    by_key: dict = {k: [] for k in hot}
-    for k, t in sample:
-        by_key[k].append(t)
-    rows = [(k, sorted(set(ts[SAMPLES_PER_CHUNK::SAMPLES_PER_CHUNK]))) for k, ts in by_key.items()]
-    schema = T.StructType(
-        [key_field, T.StructField(_SPLITS, T.ArrayType(df.schema[order].dataType), False)]
-    )
-    return HotKeys(key, order, spark.createDataFrame(rows, schema))
+    hot = checkpointed(counts.filter(F.col("_n") > hot_rows).select(F.col(key).alias("_hot_key")))
+    sampled = df.select(key, order).join(hot, F.col(key).eqNullSafe(F.col("_hot_key")), "left_semi")
+    sampled = sampled.sample(min(1.0, SAMPLES_PER_CHUNK / hot_rows), seed=seed)
+    points = F.array_sort(F.collect_set(order))
+    every = F.filter(points, lambda _, i: (i + 1) % SAMPLES_PER_CHUNK == 0)
+    # A key without sampled rows has no split; it is one chunk.
+    return HotKeys(key, order, checkpointed(sampled.groupBy(key).agg(every.alias(_SPLITS))))
+
+
+def _left_join(df: DataFrame, small: DataFrame, *keys: str) -> DataFrame:
+    """Left join on keys that may be null."""
+    named = small.withColumnsRenamed({k: f"_{k}_of_small" for k in keys})
+    same = [df[k].eqNullSafe(named[f"_{k}_of_small"]) for k in keys]
+    return df.join(named, same, "left").drop(*[f"_{k}_of_small" for k in keys])
 
 
 def _edges(df: DataFrame, key: str, **aggs: Column) -> DataFrame:
@@ -115,7 +109,7 @@ class OrderedKey:
             self.key, CHUNK, across("_edge").over(self._chunks).alias("_carry")
         )
         return (
-            out.join(F.broadcast(edges), [self.key, CHUNK], "left")
+            _left_join(out, edges, self.key, CHUNK)
             .withColumn(alias, F.coalesce(F.col(alias), F.col("_carry")))
             .drop("_carry")
         )
@@ -130,7 +124,7 @@ class OrderedKey:
             self.key, CHUNK, F.sum("_n").over(before).alias("_offset")
         )
         return (
-            out.join(F.broadcast(edges), [self.key, CHUNK], "left")
+            _left_join(out, edges, self.key, CHUNK)
             .withColumn(alias, F.col(alias) + F.coalesce(F.col("_offset"), F.lit(0)))
             .drop("_offset")
         )
@@ -147,7 +141,7 @@ class OrderedKey:
             self.key, CHUNK, F.last("_newest", ignorenulls=True).over(before).alias("_carry")
         )
         return (
-            out.join(F.broadcast(edges), [self.key, CHUNK], "left")
+            _left_join(out, edges, self.key, CHUNK)
             .withColumn(alias, F.coalesce(F.col(alias), F.col("_carry")))
             .drop("_carry")
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.skew import HOT_ROWS, OrderedKey, find_hot_keys
 
@@ -106,16 +106,18 @@ def asof_join(
     max_versions: int = BROADCAST_VERSIONS_PER_KEY,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Left join each fact to the period with ``valid_from <= ts < valid_to``.
-
-    Periods of one key must not overlap (see :func:`history_gaps`). A history measured to be small, with
-    few periods per key, is broadcast and the facts are not shuffled. Any other history is resolved for
-    the distinct (key, ts) points by one ordered pass per key, which is linear in points plus periods,
-    and the facts join the result on both columns, so a busy key spreads over its timestamps.
+    """Left join each fact to the newest period that began at or before ``ts``, if it still runs then.
+
+    So a fact meets at most one period: where periods overlap the later one counts, also after its end; in a gap, and
+    after a period of no length, there is none. Of periods that begin together the one that ends last counts. A history
+    measured to be small, with few periods per key, is broadcast and the facts are not shuffled. Any other
+    history is resolved for the distinct (key, ts) points by one ordered pass per key, which is linear in points plus
+    periods, and the facts join the result on both columns, so a busy key spreads over its timestamps. Both ways
+    give the same rows; the size only picks the plan.
     """
     periods = history.select(key, "valid_from", "valid_to", *attributes)
     if measure(periods, key).broadcastable(max_bytes, max_versions):
-        h = F.broadcast(periods.withColumnRenamed(key, "_key"))
+        h = F.broadcast(_without_overlaps(periods, key, attributes).withColumnRenamed(key, "_key"))
         inside = (
             (F.col(key) == F.col("_key"))
             & (F.col(ts) >= F.col("valid_from"))
@@ -125,6 +127,15 @@ def asof_join(
     return _asof_scan(facts, periods, key, ts, attributes, hot_rows)
 
 
+def _without_overlaps(periods: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    """One period per beginning, ended where the next one begins. For small histories."""
+    newest = F.max(F.struct("valid_to", *attributes)).alias("_period")
+    single = periods.groupBy(key, "valid_from").agg(newest)
+    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
+    ends = F.least(F.col("_period.valid_to"), following)
+    return single.select(key, "valid_from", ends.alias("valid_to"), *[F.col(f"_period.{a}").alias(a) for a in attributes])
+
+
 def _asof_scan(facts, periods, key, ts, attributes, hot_rows) -> DataFrame:
     period = F.struct("valid_to", *attributes)
     points = facts.select(key, F.col(ts).alias("_at")).filter(F.col(key).isNotNull()).distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.operators.metrics import metric_query, with_share
 
 ORDER_KPIS = ("revenue", "orders", "aov", "gross_margin_pct", "active_customers", "refund_rate")
-TABLE_LIMIT = 200
+TABLE_ROWS = 200  # what the table charts of the two dashboards show
 LOAD_COLUMNS = (
     "batch_id", "table_name", "status", "started_at", "rows_extracted", "rows_inserted", "duration_seconds", "error",
 )
@@ -37,10 +37,10 @@ def customers_by_segment(rfm: DataFrame) -> DataFrame:
     return with_share(metric_query(rfm, "rfm", ["customers"], ["rfm_segment"]), "customers", "share")
 
 
-def country_segment_table(orders: DataFrame) -> DataFrame:
+def country_segment_table(orders: DataFrame, limit: int | None = None) -> DataFrame:
     metrics = ["revenue", "orders", "aov", "gross_margin_pct", "refund_rate"]
     return metric_query(
-        orders, "orders", metrics, ["country", "segment"], order_desc="revenue", row_limit=TABLE_LIMIT
+        orders, "orders", metrics, ["country", "segment"], order_desc="revenue", row_limit=limit
     )
 
 
@@ -52,11 +52,13 @@ def checks_by_status_per_day(results: DataFrame) -> DataFrame:
     return metric_query(results, "dq", ["checks"], ["status"], grain="P1D")
 
 
-def recent_loads(audit: DataFrame, tables: Sequence[str] | None = None) -> DataFrame:
+def recent_loads(audit: DataFrame, tables: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
     picked = audit.filter(F.col("table_name").isin(list(tables))) if tables else audit
-    return picked.select(*LOAD_COLUMNS).orderBy(F.desc("batch_id")).limit(TABLE_LIMIT)
+    newest = picked.select(*LOAD_COLUMNS).orderBy(F.desc("batch_id"))
+    return newest if limit is None else newest.limit(limit)
 
 
-def drift_log(drift: DataFrame) -> DataFrame:
+def drift_log(drift: DataFrame, limit: int | None = None) -> DataFrame:
     order = [F.desc("detected_at"), "table_name", "column_name", "kind"]
-    return drift.select(*DRIFT_COLUMNS).orderBy(*order).limit(TABLE_LIMIT)
+    newest = drift.select(*DRIFT_COLUMNS).orderBy(*order)
+    return newest if limit is None else newest.limit(limit)

@@ -27,19 +27,19 @@ def channel_margin(orders: DataFrame) -> DataFrame:
     )
 
 
-def moved_customers(history: DataFrame, limit: int = 30) -> DataFrame:
+def moved_customers(history: DataFrame, limit: int | None = None) -> DataFrame:
     """Full history of customers seen in more than one country; the first rows by customer and time."""
     moved = (
         history.groupBy("customer_id")
         .agg(F.min("country").alias("a"), F.max("country").alias("b"))
         .filter(F.col("a") != F.col("b"))
     )
-    return (
+    out = (
         history.join(moved, "customer_id", "left_semi")
         .select("customer_id", "country", "valid_from", "valid_to", "is_current")
         .orderBy("customer_id", "valid_from")
-        .limit(limit)
     )
+    return out if limit is None else out.limit(limit)
 
 
 def funnel_conversion(funnel: DataFrame, days: int = 14) -> DataFrame:
@@ -57,13 +57,13 @@ def funnel_conversion(funnel: DataFrame, days: int = 14) -> DataFrame:
     ).orderBy("stage_order").drop("stage_order")
 
 
-def retention_triangle(retention: DataFrame, months: int = 6, limit: int = 60) -> DataFrame:
-    return (
+def retention_triangle(retention: DataFrame, months: int = 6, limit: int | None = None) -> DataFrame:
+    out = (
         retention.filter(F.col("months_since_signup") <= months)
         .select("cohort_month", "months_since_signup", "retention_rate")
         .orderBy("cohort_month", "months_since_signup")
-        .limit(limit)
     )
+    return out if limit is None else out.limit(limit)
 
 
 def load_stats(audit: DataFrame) -> DataFrame:

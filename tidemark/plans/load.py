@@ -16,7 +16,6 @@ from tidemark.sources.raw_store import FAILED, MONTH, RUNNING, SUCCESS, RawStore
 from tidemark.sources.tables import delete_path
 from tidemark.specs import DEFAULT_OVERLAP_SECONDS, TABLES, TableSpec
 
-ERROR_LENGTH = 1500
 PARALLEL_LOADS = 5
 
 
@@ -91,13 +90,11 @@ def _attempt(store, spec, source, run_label, started, work, batch_id=None) -> Lo
     store.publish(spec, batch_id, RUNNING, **opened)
     try:
         found = drift.detect(spec, source.schema, spec.raw_schema)
-        store.record_drift(found, run_label, started)
+        store.record_drift(found, batch_id, run_label, started)
         drift.raise_on_error(found)
         result = work(batch_id)
     except Exception as exc:
-        store.publish(
-            spec, batch_id, FAILED, finished_at=utc_now(), error=str(exc)[:ERROR_LENGTH], **opened
-        )
+        store.publish(spec, batch_id, FAILED, finished_at=utc_now(), error=str(exc), **opened)
         raise
     store.publish(
         spec,
@@ -117,23 +114,26 @@ def _insert(store, spec, rows, batch_id, watermark, upper, loaded_at) -> LoadRes
     # The source may change while we read it, so it is read once: later steps, and tasks that run again
     # after an executor is lost, see the staged copy.
     stage = store.stage_path(spec, batch_id)
-    rows.write.parquet(stage)
-    staged = store.spark.read.schema(rows.schema).parquet(stage)
-    version, cursor = spec.version_column, spec.cursor
-    extracted, low, high, newest = staged.agg(
-        F.count(F.lit(1)), F.min(version), F.max(version), F.max(cursor)
-    ).first()
-    # A conflict has the same version value, so only raw rows in the batch's range can conflict.
-    existing = store.read_raw(spec, low if version == cursor else None)
-    if extracted:
+    try:
+        rows.write.parquet(stage)
+        staged = store.spark.read.schema(rows.schema).parquet(stage)
+        version, cursor = spec.version_column, spec.cursor
+        extracted, low, high, newest = staged.agg(
+            F.count(F.lit(1)), F.min(version), F.max(version), F.max(cursor)
+        ).first()
+        if not extracted:  # no batch to see, and nothing newer than the watermark
+            return LoadResult(spec.name, batch_id, 0, 0, watermark, None)
+        # A conflict has the same version value, so only raw rows in the batch's range can conflict.
+        existing = store.read_raw(spec, low if version == cursor else None)
         existing = existing.filter(F.col(version).between(wall_clock(low), wall_clock(high)))
         if spec.partition_column == version:
             existing = existing.filter(F.col(MONTH).between(f"{low:%Y-%m}", f"{high:%Y-%m}"))
-    fresh = new_rows(staged, existing, spec.raw_key)
-    store.write_batch(spec, fresh.withColumn("_loaded_at", wall_clock(loaded_at)), batch_id)
-    inserted = store.read_batch(spec, batch_id).count()
-    delete_path(store.spark, stage)
-    return LoadResult(spec.name, batch_id, extracted, inserted, watermark, upper or newest)
+        fresh = new_rows(staged, existing, spec.raw_key)
+        store.write_batch(spec, fresh.withColumn("_loaded_at", wall_clock(loaded_at)), batch_id)
+        inserted = store.read_batch(spec, batch_id).count()
+        return LoadResult(spec.name, batch_id, extracted, inserted, watermark, upper or newest)
+    finally:
+        delete_path(store.spark, stage)
 
 
 def load_all(

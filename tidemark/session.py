@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -41,7 +40,7 @@ def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a folder of its own.
+    Only a local-mode session without that setting gets a folder of its own, below the warehouse.
     """
     sc = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
@@ -54,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
         return os.path.dirname(current.rstrip("/"))
     if not sc.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="tidemark-")
+    made = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidemark-scratch/{uuid.uuid4().hex}"
     sc.setCheckpointDir(made)
     return made
 

@@ -8,6 +8,7 @@ greatest ``watermark_to`` of those rows, so data, watermark and audit appear in
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
@@ -134,20 +135,22 @@ class RawStore:
 
     # --- logs ---
 
-    def _append(self, name: str, df: DataFrame) -> None:
-        df.coalesce(1).write.mode("append").parquet(f"{self.root}/ops/{name}")
+    # Every attempt writes a folder of its own: writers of one folder would delete each other's unfinished files.
+
+    def _append(self, name: str, attempt: str, df: DataFrame) -> None:
+        df.coalesce(1).write.parquet(f"{self.root}/ops/{name}/attempt={attempt}")
 
     def _log(self, name: str, schema: str) -> DataFrame:
-        if not list_names(self.spark, f"{self.root}/ops/{name}/*.parquet"):
+        if not list_names(self.spark, f"{self.root}/ops/{name}/attempt=*/*.parquet"):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/ops/{name}")
+        return self.spark.read.schema(f"{schema}, attempt string").parquet(f"{self.root}/ops/{name}").drop("attempt")
 
-    def record_drift(self, found: list[Drift], run_label: str, now: datetime) -> None:
+    def record_drift(self, found: list[Drift], batch_id: int, run_label: str, now: datetime) -> None:
         if found:
             rows = [
                 (now, run_label, d.table_name, d.kind, d.column_name, d.detail, d.severity) for d in found
             ]
-            self._append("schema_drift", self.spark.createDataFrame(rows, DRIFT_SCHEMA))
+            self._append("schema_drift", f"{found[0].table_name}-{batch_id}", self.spark.createDataFrame(rows, DRIFT_SCHEMA))
 
     def drift(self) -> DataFrame:
         return self._log("schema_drift", DRIFT_SCHEMA)
@@ -156,7 +159,7 @@ class RawStore:
         stamped = results.select(
             F.lit(run_label).alias("run_label"), wall_clock(now).alias("checked_at"), "*"
         )
-        self._append("dq_results", stamped)
+        self._append("dq_results", uuid.uuid4().hex, stamped)
 
     def dq_results(self) -> DataFrame:
         return self._log("dq_results", DQ_SCHEMA)

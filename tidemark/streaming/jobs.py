@@ -12,8 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions import funnel_stage, utc_instant
 from tidemark.plans.load import load_batch
 from tidemark.plans.marts import funnel_of_sessions
+from tidemark.session import checkpointed
 from tidemark.sources.raw_store import RawStore
-from tidemark.sources.tables import PartitionedTable
+from tidemark.sources.tables import PartitionedTable, SnapshotTable
 from tidemark.specs import FUNNEL_LOOKBACK_DAYS, FUNNEL_SCHEMA, SESSION_SCHEMA, TableSpec
 
 
@@ -32,10 +33,13 @@ def stream_load(stream: DataFrame, store: RawStore, spec: TableSpec, checkpoint:
 
 
 def dedupe_events(stream: DataFrame, delay: str) -> DataFrame:
-    """Drop events delivered again within ``delay``; state older than that is forgotten."""
-    timed = stream.withColumn("_event_time", utc_instant(F.col("event_ts")))
-    unique = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(["event_id", "event_ts"])
-    return unique.drop("_event_time")
+    """Drop events delivered again within ``delay`` after their first arrival; state older than that is forgotten.
+
+    The watermark is on the arrival time, so an event that happened long ago but arrives now is never dropped as late.
+    """
+    timed = stream.withColumn("_arrival", utc_instant(F.col("ingested_at")))
+    unique = timed.withWatermark("_arrival", delay).dropDuplicatesWithinWatermark(["event_id", "event_ts"])
+    return unique.drop("_arrival")
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -44,32 +48,54 @@ def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
 
 
+def _one_row_per_session(rows: DataFrame) -> DataFrame:
+    """A session that crosses midnight, or is known from earlier, is dated by its first event."""
+    return rows.groupBy("session_id").agg(
+        F.min("event_date").alias("event_date"), F.min("device").alias("device"), F.max("furthest_stage").alias("furthest_stage")
+    )
+
+
 class FunnelTables:
-    """Where the streaming funnel keeps its sessions and its daily counts, both split by day."""
+    """Where the streaming funnel keeps its sessions and its daily counts, both split by day.
+
+    Days to recount are noted before the sessions change and cleared after the counts did, so a crash between the two
+    leaves no day uncounted when the micro-batch runs again.
+    """
 
     def __init__(self, spark, root: str):
         day = F.col("event_date")
         self.sessions = PartitionedTable(spark, f"{root}/sessions", day, SESSION_SCHEMA)
         self.funnel = PartitionedTable(spark, f"{root}/funnel", day, FUNNEL_SCHEMA)
+        self.pending = SnapshotTable(spark, f"{root}/pending")
 
     def upsert(self, delta: DataFrame) -> None:
-        """Replace the given sessions, then recount the days they were or are on."""
+        """Merge the given sessions, then recount the days they were or are on."""
+        delta = checkpointed(_one_row_per_session(delta))  # the micro-batch runs once
         if delta.isEmpty():
             return
-        touched = self.sessions.merge(delta, ["session_id"])
-        recount = funnel_of_sessions(self.sessions.read(touched))
+        days = delta.select("event_date")
+        if self.sessions.exists():
+            known = self.sessions.read().join(delta.select("session_id"), "session_id", "left_semi")
+            days = days.unionByName(known.select("event_date"))
+            delta = checkpointed(_one_row_per_session(known.unionByName(delta)))
+        if self.pending.exists():
+            days = days.unionByName(self.pending.read())
+        self.pending.write(checkpointed(days.distinct()))
+        self.sessions.merge(delta, ["session_id"])
+        touched = [str(r[0]) for r in self.pending.read().collect()]  # days inside the lookback
         if self.funnel.exists():
-            self.funnel.replace(touched, recount)
+            self.funnel.replace(touched, funnel_of_sessions(self.sessions.read(touched)))
         else:
             # Also after a crash between the two first writes: every day counts as touched then.
             self.funnel.overwrite(funnel_of_sessions(self.sessions.read()))
+        self.pending.write(days.limit(0))
 
 
 def stream_sessions(stream: DataFrame, lookback_days: int = FUNNEL_LOOKBACK_DAYS) -> DataFrame:
     """Running state of each session; events of days older than the lookback are dropped.
 
     A day's window ends at midnight after it, so it is closed once the newest event lies more than
-    ``lookback_days`` days later. Sessions are taken not to cross midnight.
+    ``lookback_days`` days later. A session that crosses midnight has a row per day here; see :class:`FunnelTables`.
     """
     timed = stream.withColumn("_event_time", utc_instant(F.col("event_ts")))
     return (
