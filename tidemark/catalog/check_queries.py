@@ -34,7 +34,7 @@ from tidemark.plans import checks, marts, reconcile, staging
 from tidemark.specs import TABLES
 
 READ = ALL_READ.isoformat(sep=" ")
-NOW = "1998-12-02 08:00:00"
+NOW = "2024-02-03 21:00:00"  # a day after the newest event
 
 
 @catalog.add("test_unique", """
@@ -148,13 +148,11 @@ def retention_is_a_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_doubles(checks.not_a_rate(retention))
 
 
-@catalog.add("source_freshness", "\nunion all by name\n".join(f"""
-select '{s.name}' as table_name, max({s.cursor}) + interval '1' hour as newest_load,
-       date_diff('second', max({s.cursor}) + interval '1' hour, timestamp '{NOW}') / 3600.0 as age_hours,
-       case when date_diff('second', max({s.cursor}) + interval '1' hour, timestamp '{NOW}') > 50 * 3600 then 'error'
-            when date_diff('second', max({s.cursor}) + interval '1' hour, timestamp '{NOW}') > 26 * 3600 then 'warn'
-            else 'pass' end as status
-from raw_{s.name}""" for s in TABLES))
+@catalog.add("source_freshness", f"""
+select *, if(age_hours > 50, 'error', if(age_hours > 26, 'warn', 'pass')) as status
+from (select *, (epoch_us(timestamp '{NOW}') - epoch_us(newest_load)) / 3.6e9 as age_hours from ("""
+             + " union all ".join(f"select '{s.name}' as table_name, max({s.cursor}) + to_hours(1) as newest_load from raw_{s.name}" for s in TABLES)
+             + "))")
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = Shop(spark, sf_dir)
     tables = {s.name: shop.raw(s.name) for s in TABLES}

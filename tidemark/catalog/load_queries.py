@@ -326,10 +326,10 @@ def _drifted_store(spark: SparkSession, sf_dir: str) -> RawStore:
     """Five tables loaded side by side, each with a column raw does not know; then orders with a column of another type."""
     shop, store = Shop(spark, sf_dir), _store(spark)
     wider = {s.name: source_now(shop, s.name).withColumn("coupon_code", F.lit("X")) for s in TABLES}
-    load_all(store, wider, "wider", now=datetime.fromisoformat(RUN_AT))
+    load_all(store, wider, "wider", now=RUN_AT)
     retyped = wider["orders"].drop("coupon_code").withColumn("customer_id", F.col("customer_id").cast("string"))
     with suppress(SchemaDriftError):
-        load_table(store, ORDERS, retyped, "retyped", now=datetime.fromisoformat(RUN_AT))
+        load_table(store, ORDERS, retyped, "retyped", now=RUN_AT)
     return store
 
 
