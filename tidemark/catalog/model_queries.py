@@ -10,7 +10,7 @@ from tidemark.catalog.oracle_views import VIEWS, _FCT_ORDERS, _FUNNEL, _SESSIONS
 from tidemark.functions import with_doubles
 from tidemark.operators import merge, ranks, versions
 from tidemark.plans import marts, staging
-from tidemark.session import checkpointed
+from tidemark.session import stored
 
 ORDER_CUTOFF = "1998-01-01 00:00:00"
 EVENT_CUTOFF = "2024-01-25 00:00:00"
@@ -45,7 +45,7 @@ def old_fct_orders(shop: Shop) -> DataFrame:
     """Stored, like any target of an incremental model: merging reads it more than once."""
     orders = staging.stg_orders(at_cutoff(shop.raw("orders"), "updated_at", ORDER_CUTOFF))
     items = staging.stg_order_items(at_cutoff(shop.raw("order_items"), "updated_at", ORDER_CUTOFF))
-    return checkpointed(marts.fct_orders(orders, items, shop.product_costs, shop.history))
+    return stored(marts.fct_orders(orders, items, shop.product_costs, shop.history), "old-orders")
 
 
 def merged_fct_orders(shop: Shop) -> DataFrame:
@@ -56,7 +56,7 @@ def merged_fct_orders(shop: Shop) -> DataFrame:
 
 def old_funnel(shop: Shop) -> DataFrame:
     events = staging.stg_web_events(at_cutoff(shop.raw("web_events"), "ingested_at", EVENT_CUTOFF))
-    return checkpointed(marts.mart_funnel_daily(events))
+    return stored(marts.mart_funnel_daily(events), "old-funnel")
 
 
 def merged_funnel(shop: Shop) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.skew import HOT_ROWS, OrderedKey, find_hot_keys
+from tidemark.session import stored
 
 # The open ends of a history.
 BEGINNING = "1970-01-01 00:00:00"
@@ -115,7 +116,8 @@ def asof_join(
     periods, and the facts join the result on both columns, so a busy key spreads over its timestamps. Both ways
     give the same rows; the size only picks the plan.
     """
-    periods = history.select(key, "valid_from", "valid_to", *attributes)
+    # The history is built once, then measured and joined from its stored copy.
+    periods = stored(history.select(key, "valid_from", "valid_to", *attributes), "history")
     if measure(periods, key).broadcastable(max_bytes, max_versions):
         h = F.broadcast(_without_overlaps(periods, key, attributes).withColumnRenamed(key, "_key"))
         inside = (

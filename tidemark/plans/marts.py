@@ -17,7 +17,7 @@ from tidemark.operators.merge import incremental_merge
 from tidemark.operators.ranks import global_ntile
 from tidemark.operators.versions import asof_join, scd2
 from tidemark.plans.staging import stg_order_items, stg_orders
-from tidemark.session import checkpointed
+from tidemark.session import stored
 from tidemark.specs import FUNNEL_LOOKBACK_DAYS
 
 
@@ -118,11 +118,12 @@ def fct_orders_delta(
     because three joins read them.
     """
     newer = F.col("updated_at") > since
-    changed = checkpointed(
+    changed = stored(
         raw_orders.filter(newer)
         .select("order_id")
         .union(stg_order_items(raw_items.filter(newer)).select("order_id"))
-        .distinct()
+        .distinct(),
+        "changed-orders",
     )
     orders = stg_orders(raw_orders.join(changed, "order_id", "left_semi"))
     touched = raw_items.join(changed, "order_id", "left_semi").select("order_item_id").distinct()
@@ -135,7 +136,7 @@ def fct_orders_incremental(
 ) -> DataFrame:
     """The existing fact with changed orders swapped in. An empty target must be built in full instead."""
     since = existing.agg(F.max("order_updated_at")).scalar()
-    delta = checkpointed(fct_orders_delta(raw_orders, raw_items, products, history, since))
+    delta = stored(fct_orders_delta(raw_orders, raw_items, products, history, since), "order-delta")
     return incremental_merge(existing, delta, ["order_id"])
 
 
@@ -221,21 +222,21 @@ def mart_funnel_daily(events: DataFrame) -> DataFrame:
 def funnel_delta(events: DataFrame, first_day: Column) -> DataFrame:
     """The funnel of sessions that start on or after ``first_day``.
 
-    These are the sessions with events from that day on and none before it, so only the recent events are
-    grouped, and of the older ones only the distinct session ids are compared. Both sides are reduced per
-    session before they meet, so one very long session costs no more than any other.
+    These are the sessions with events from that day on and none before it. Only the recent events are grouped, and the result
+    is stored; of the older events those of recent sessions are picked by a semi-join before anything is
+    shuffled, as long as the recent sessions are few enough to be broadcast.
     """
     day = F.to_date("event_ts")
-    recent = sessionize(events.filter(day >= first_day))
-    started_before = events.filter(day < first_day).select("session_id").distinct()
-    return funnel_of_sessions(recent.join(started_before, "session_id", "left_anti"))
+    recent = stored(sessionize(events.filter(day >= first_day)), "recent-sessions")
+    older = events.filter(day < first_day).select("session_id").join(recent.select("session_id"), "session_id", "left_semi")
+    return funnel_of_sessions(recent.join(older.distinct(), "session_id", "left_anti"))
 
 
 def funnel_incremental(
     existing: DataFrame, events: DataFrame, lookback_days: int = FUNNEL_LOOKBACK_DAYS
 ) -> DataFrame:
     first_day = F.date_sub(existing.agg(F.max("event_date")).scalar(), lookback_days)
-    return incremental_merge(existing, checkpointed(funnel_delta(events, first_day)), ["funnel_key"])
+    return incremental_merge(existing, stored(funnel_delta(events, first_day), "funnel-delta"), ["funnel_key"])
 
 
 def mart_cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:

@@ -69,6 +69,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write as Parquet to the shared folder and read back: as :func:`checkpointed`, and the planner knows the size."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_parallel(spark: SparkSession, work: Sequence[Callable], threads: int) -> list:
     """Submit independent Spark jobs together, so one's small stages fill the gaps of another's.
 
