@@ -11,6 +11,8 @@ that made them and the counts of the tasks before it, so neither a frequent leng
 from __future__ import annotations
 
 import bisect
+import json
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -24,32 +26,68 @@ from tidemark.llm.common import ship, stored
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, the others from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordCache:
-    """Token ids of texts by a tokenizer whose tokens never span ASCII white space.
+    """Token ids of texts, with a bounded memory of words.
 
-    Text is split at blanks, tabs and line ends; each distinct stretch is tokenized once and its ids remembered as bytes.
-    The memory is emptied when it holds ``most`` stretches; long stretches are not remembered.
+    For a lower-casing word-end vocabulary, whose tokens never span white space, text is split at blanks, tabs and line ends, and the ids
+    of each distinct stretch are remembered as bytes. A full stop or comma after a letter is a token run of its own, so it is taken off first, and a
+    lower-case Latin word goes to the merges at once, since the rules before them leave it as it is. Everything else, and every text of
+    another kind of tokenizer, goes through the whole tokenizer. The memory is emptied at ``most`` words.
     """
 
     def __init__(self, path: str, most: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        rules = json.loads(self.tokenizer.to_str())
+        kinds = [[r["type"] for r in (rules[k] or {}).get(v, ())] for k, v in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        self.by_word = kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and rules["pre_tokenizer"]["pretokenizers"][0]["invert"]
+        self.letters = _byte_letters()
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if not self.by_word:
+            return self._whole([text])[0]
         stretches = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         found = list(map(self.known.get, stretches))
         if None in found:
-            new = list({s for s, f in zip(stretches, found) if f is None})
-            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            fresh = {s: np.array(e.ids, "<u4").tobytes() for s, e in zip(new, encoded)}
+            fresh = self._learn({s for s, f in zip(stretches, found) if f is None})
             found = [fresh[s] if f is None else f for s, f in zip(stretches, found)]
-            if len(self.known) + len(fresh) > self.most:
+            if len(self.known) > self.most:
                 self.known.clear()
             self.known.update((s, i) for s, i in fresh.items() if len(s) <= 64)
         return b"".join(found)
 
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _learn(self, stretches: set[str]) -> dict[str, bytes]:
+        cores = {}
+        for s in stretches:
+            core = s.rstrip(".,")
+            if core != s and core[-1:].lower()[-1:].isalpha():
+                cores[s] = core, s[len(core) :]
+            else:
+                cores[s] = s, ""
+        fresh = {x: self.known.get(x) for pair in cores.values() for x in pair}
+        hard = []
+        for x, known in fresh.items():
+            if known is None:
+                if x.isalpha() and x.islower() and max(x) < "\u0250" and x.lower() == x and unicodedata.is_normalized("NFC", x):
+                    tokens = self.tokenizer.model.tokenize(x if x.isascii() else "".join(map(self.letters.get, x.encode())))
+                    fresh[x] = np.array([t.id for t in tokens], "<u4").tobytes()
+                else:
+                    hard.append(x)
+        fresh.update(zip(hard, self._whole(hard)))
+        return fresh | {s: fresh[core] + fresh[tail] for s, (core, tail) in cores.items()}
+
 
 def _pieces(tokenizer: str, end_id: int, capacity: int):
     end = np.array([end_id], "<u4").tobytes()
