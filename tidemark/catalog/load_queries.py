@@ -11,7 +11,7 @@ from tidemark.catalog import catalog
 from tidemark.catalog.check_queries import DAYS_OFF, PERIODS_OFF, SESSIONS_OFF, TOTALS_OFF
 from tidemark.catalog.inputs import Shop
 from tidemark.catalog.model_queries import EVENT_CUTOFF, ORDER_CUTOFF, at_cutoff
-from tidemark.catalog.ops_inputs import SQL_NEWEST, load_audit, source_of
+from tidemark.catalog.ops_inputs import STATE_CUTOFFS, load_audit, source_now, source_then, two_loads_sql
 from tidemark.catalog.oracle_views import VIEWS
 from tidemark.functions import wall_clock, with_doubles
 from tidemark.operators.assertions import run_tests
@@ -32,27 +32,8 @@ from tidemark.specs import ORDER_ITEMS, ORDERS, TABLES, TABLES_BY_NAME, WEB_EVEN
 from tidemark.streaming import jobs
 
 RUN_AT = datetime(2024, 2, 10, 6)
-STATE_CUTOFFS = {s.name: EVENT_CUTOFF if s.name == "web_events" else ORDER_CUTOFF for s in TABLES}
 LATE_CUTOFF = "1997-12-01 00:00:00"
 
-for _s in TABLES:
-    VIEWS[f"then_{_s.name}"] = f"""
-select * from (select *, row_number() over (partition by {_s.pk[0]} order by {SQL_NEWEST[_s.name]}) as rn
-               from raw_{_s.name} where {_s.cursor} <= timestamp '{STATE_CUTOFFS[_s.name]}') t where rn = 1"""
-
-
-def source_then(shop: Shop, name: str) -> DataFrame:
-    """The source table as it was at the cutoff."""
-    spec = TABLES_BY_NAME[name]
-    extra = ["product_id", "quantity", "unit_price"] if name == "order_items" else ["_batch_id"]
-    old = at_cutoff(shop.raw(name), spec.cursor, STATE_CUTOFFS[name])
-    return latest_version(old, spec.pk, [spec.cursor, *extra]).select(*spec.columns)
-
-
-def source_now(shop: Shop, name: str) -> DataFrame:
-    return source_of(shop, name).select(*TABLES_BY_NAME[name].columns)
-
-
 # --- extract and append --------------------------------------------------------------------------
 
 _ORDER_COLUMNS = """order_id, customer_id, order_ts, status, channel, cast(discount_pct as double) as discount_pct,
@@ -143,21 +124,8 @@ def _store(spark: SparkSession) -> RawStore:
     return RawStore(spark, scratch_path(spark, "store"))
 
 
-def _two_loads_sql(name: str, first: int, second: int) -> str:
-    s = TABLES_BY_NAME[name]
-    c, (k, v) = s.cursor, s.raw_key
-    return f"""
-select cast({first} as bigint) as batch_id, '{name}' as table_name, count(*) as rows_extracted, count(*) as rows_inserted,
-       cast(null as timestamp) as watermark_from, max({c}) as watermark_to from then_{name}
-union all by name
-select cast({second} as bigint) as batch_id, '{name}' as table_name, count(*) as rows_extracted,
-       count(*) filter (where ({k}, {v}) not in (select ({k}, {v}) from then_{name})) as rows_inserted,
-       (select max({c}) from then_{name}) as watermark_from, max({c}) as watermark_to
-from src_{name} where {c} > (select max({c}) from then_{name}) - interval '3600' second"""
-
-
 @catalog.add("load_all", "\nunion all by name\n".join(
-    f"select * from ({_two_loads_sql(s.name, i, i + len(TABLES))}) t{i}" for i, s in enumerate(TABLES, start=1)))
+    f"select * from ({two_loads_sql(s.name, i, i + len(TABLES))}) t{i}" for i, s in enumerate(TABLES, start=1)))
 def load_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five tables, first as of the cutoffs and then as of now."""
     shop, store = Shop(spark, sf_dir), _store(spark)
@@ -167,7 +135,7 @@ def load_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @catalog.add("atomic_commit", f"""
-with two as ({_two_loads_sql('orders', 1, 3)})
+with two as ({two_loads_sql('orders', 1, 3)})
 select batch_id, table_name, 'success' as status, rows_extracted, rows_inserted, watermark_from, watermark_to,
        cast(sum(rows_inserted) over (order by batch_id) as bigint) as visible_rows
 from two
