@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 
 SHINGLE = 5
+BROADCAST_ROWS = 20_000
 
 #: Notices by which works declare their license. Fixed values.
 TEMPLATES = (
@@ -146,7 +147,9 @@ def license_matches(
     pair = F.struct(shingles_of(F.col("own")).alias("own"), shingles_of(F.col("wide")).alias("wide"))
     windows = windows.select("doc_id", "start", F.size("wide").alias("n_words"), F.explode(F.array(pair)).alias("shingles"))
     banded = windows.select("*", F.posexplode(band_keys(F.col("shingles.own"), bands, rows)).alias("band", "key"))
-    # At most one row per template and band; the planner broadcasts the table while it is small.
+    # The templates are an argument, so the size of this table is known: a row per template and band. Beyond the bound it is shuffled.
+    if len(known) * bands <= BROADCAST_ROWS:
+        keyed = F.broadcast(keyed)
     met = banded.join(keyed, (F.col("band") == F.col("template_band")) & (F.col("key") == F.col("template_key")))
     share = F.size(F.array_intersect("template_shingles", "shingles.wide")) / F.size("template_shingles")
     verified = met.select("doc_id", "license", share.alias("containment"), "start", "n_words").filter(F.col("containment") >= containment)
