@@ -130,8 +130,11 @@ class RawStore:
         return sorted(kept, key=lambda r: r.batch_id)
 
     def watermark(self, spec: TableSpec) -> datetime | None:
-        """How far the table was read. A maximum, so it never moves back."""
-        return max((b.watermark_to for b in self.committed(spec)), default=None)
+        """How far the table was read. A maximum over the audit rows, taken in Spark, so it never moves back."""
+        mine = f"{self.root}/ops/load_audit/table_name={spec.name}"
+        if not list_names(self.spark, f"{mine}/batch_id=*/status={SUCCESS}/*.json"):
+            return None
+        return self._states(mine).filter(F.col("status") == SUCCESS).agg(F.max("watermark_to")).first()[0]
 
     # --- logs ---
 
