@@ -1,7 +1,8 @@
 """Connected components of a link table, by alternating large-star and small-star steps.
 
-Every step is a map-side combined minimum per node and one join; a node with a third of all links is one row on the small
-side of a skew-safe join. Nothing is collected but one count and one checksum per round.
+Every step is a map-side combined minimum per node and one join. The minima are stored first, so the join has an exchange of its own on
+both sides and the planner can split the links of a node that has a third of them. Nothing is collected but one count and one
+checksum per round.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from tidemark.llm.common import stored
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = stored(both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
     return both.join(least, F.col("a") == F.col("u")).filter("b > a").select(F.col("m").alias("a"), "b").filter("a < b").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
+    least = stored(links.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")), "least")
     joined = links.join(least, F.col("b") == F.col("u"))
     moved = joined.select(F.col("m").alias("a"), F.col("a").alias("b"))
     return moved.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).filter("a < b").distinct()
@@ -40,5 +41,5 @@ def components(links: DataFrame, a: str, b: str, label: str = "component") -> Da
         if not count or (count, total) == before:
             break
         before = (count, total)
-        now = stored(_small_star(_large_star(now)), f"{label}-links")
+        now = stored(_small_star(stored(_large_star(now), f"{label}-links")), f"{label}-links")
     return now.select(F.col("b").alias("node"), F.col("a").alias("component"))
