@@ -32,19 +32,25 @@ _ASK = "bucket int, sub int, block string, a binary, b binary, c binary, d binar
 _NAMES = [x.split()[0] for x in _ASK.split(", ")]
 
 
+_CODEC = pa.Codec("zstd", compression_level=3)
+_KINDS = {b"u": np.uint32, b"U": np.uint64, b"i": np.int32, b"I": np.int64, b"d": np.float64, b"b": np.uint8}
+_CODES = {np.dtype(t): c for c, t in _KINDS.items()}
+
+
 def pack(values: np.ndarray) -> bytes:
-    """Integers or floats as compressed bytes; a one-byte head tells the type."""
+    """Integers or floats as compressed bytes: a byte for the type, the size, and the values with their first bytes together, then the second ones."""
     if values.dtype.kind in "iu" and values.dtype.itemsize > 4 and (not len(values) or int(values.max()) < 1 << 32):
         values = values.astype(np.uint32)
-    raw = values.tobytes()
-    code = {"uint32": b"u", "uint64": b"U", "int32": b"i", "int64": b"I", "float64": b"d", "uint8": b"b"}[values.dtype.name]
-    return code + len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes()
+    return _CODES[values.dtype] + len(planes).to_bytes(8, "little") + _CODEC.compress(planes, asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    kind = {b"u": np.uint32, b"U": np.uint64, b"i": np.int32, b"I": np.int64, b"d": np.float64, b"b": np.uint8}[data[:1]]
-    size = int.from_bytes(data[1:9], "little")
-    return np.frombuffer(pa.decompress(data[9:], size, "zstd", asbytes=True), kind) if size else np.empty(0, kind)
+    kind, size = np.dtype(_KINDS[data[:1]]), int.from_bytes(data[1:9], "little")
+    if not size:
+        return np.empty(0, kind)
+    planes = np.frombuffer(_CODEC.decompress(data[9:], size, asbytes=True), np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -308,7 +314,8 @@ def katz_scores(
         tokens, distinct = tokens + int(unpack(c)[0]), distinct + int(unpack(d)[0])
     words = words.filter("block is not null")
     to_blocks = lambda df, kind: df.select(F.lit(kind).alias("kind"), *_NAMES)
-    asked = blocks.groupBy("block").cogroup(to_blocks(words, "word").groupBy("block")).applyInArrow(_ask_pairs(buckets, tokens), _ASK)
+    read = blocks.select("block", "doc_ids", "held", "ends", "words", "stream")
+    asked = read.groupBy("block").cogroup(to_blocks(words, "word").groupBy("block")).applyInArrow(_ask_pairs(buckets, tokens), _ASK)
     pairs = asked.groupBy("bucket", "sub").applyInArrow(_count_pairs, _ASK)
     pairs = stored(pairs.withColumn("kind", F.when(F.col("block").isNull(), "model").otherwise("pair")), "lm-pairs", "kind")
     model = pairs.filter("kind = 'model'")
@@ -320,7 +327,7 @@ def katz_scores(
     answers = to_blocks(words, "word").unionByName(to_blocks(stored(weights, "lm-weights"), "weight")).unionByName(
         pairs.filter("kind = 'pair'").select("kind", *_NAMES)
     )
-    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    scored = read.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score(buckets, tokens, distinct, factors), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
