@@ -42,7 +42,7 @@ class WordCache:
     another kind of tokenizer, goes through the whole tokenizer. The memory is emptied at ``most`` words.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 700_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
@@ -89,6 +89,16 @@ class WordCache:
         return fresh | {s: fresh[core] + fresh[tail] for s, (core, tail) in cores.items()}
 
 
+_caches: dict[str, WordCache] = {}
+
+
+def _cache(path: str) -> WordCache:
+    """The cache of this Python worker, which Spark uses for many tasks."""
+    if path not in _caches:
+        _caches[path] = WordCache(path)
+    return _caches[path]
+
+
 def _pieces(tokenizer: str, end_id: int, capacity: int):
     end = np.array([end_id], "<u4").tobytes()
 
@@ -98,7 +108,7 @@ def _pieces(tokenizer: str, end_id: int, capacity: int):
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        cache, part = WordCache(tokenizer), TaskContext.get().partitionId()
+        cache, part = _cache(tokenizer), TaskContext.get().partitionId()
         ranks = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows = []
