@@ -123,6 +123,55 @@ def test_katz_equals_plain_and_sums_to_one(make_docs, odd, block_bytes):  # noqa
         assert sum(p(h, w) for w in c1) + p(h, "no such word") == pytest.approx(1)
 
 
+def plain_katz_of_order(pairs, order):
+    docs = [(i, [w for w in (t or "").split(" ") if w] + [None]) for i, t in pairs]
+    grams = [Counter() for _ in range(order + 1)]
+    for i, words in docs:
+        if not held(i, 7, 2):
+            for n in range(1, order + 1):
+                padded = [0] * (n - 1) + words
+                grams[n].update(tuple(padded[k : k + n]) for k in range(len(words)))
+    total, distinct = sum(grams[1].values()), len(grams[1])
+    factors = [good_turing(dict(Counter(g.values())), 5) for g in grams]
+    after = [{} for _ in grams]
+    for n in range(2, order + 1):
+        for g, c in grams[n].items():
+            after[n].setdefault(g[:-1], {})[g[-1]] = c
+
+    def p(h, w):
+        if not h:
+            return (grams[1][w,] + 1) / (total + distinct + 1)
+        n = len(h) + 1
+        seen = after[n].get(h)
+        if not seen:
+            return p(h[1:], w)
+        kept = {x: (factors[n][c] if c <= 5 else 1.0) * c for x, c in seen.items()}
+        den = sum(seen.values())
+        den += sum(kept.values()) > den - 1e-9
+        return kept[w] / den if w in kept else (1 - sum(kept.values()) / den) / (1 - sum(p(h[1:], x) for x in seen)) * p(h[1:], w)
+
+    padded = [(i, [0] * (order - 1) + w) for i, w in docs]
+    return {i: sum(math.log10(p(tuple(w[k - order + 1 : k]), w[k])) for k in range(order - 1, len(w))) for i, w in padded}, p, after, grams
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_katz_of_higher_order_equals_plain(make_docs, order):
+    rng = random.Random(9)
+    words = [*"abcdef", *(f"w{i}" for i in range(30))]
+    pairs = [(i, " ".join(rng.choice([rng.choice(words), "a b a"]) for _ in range(rng.randint(0, 60)))) for i in range(150)]
+    expected, p, after, grams = plain_katz_of_order(pairs, order)
+    got = {r.doc_id: r.score for r in katz_scores(make_docs(pairs), block_bytes=900, order=order).collect()}
+    assert got == pytest.approx(expected)
+    for h in list(after[order])[:20]:
+        assert sum(p(h, w) for (w,) in grams[1]) + p(h, "no such word") == pytest.approx(1)
+
+
+def test_katz_reads_more_than_the_word_before(make_docs):
+    texts = ["x b c", "y b d"] * 20
+    score = {r.doc_id: r.score for r in katz_scores(make_docs([*enumerate(texts), (100, "x b c"), (101, "x b d")]), order=3).collect()}
+    assert score[100] > score[101] + 1
+
+
 def test_katz_without_rows_or_training(make_docs):  # noqa: F811
     assert katz_scores(make_docs([(1, "a")]).limit(0)).count() == 0
     only = next(i for i in range(100) if held(i, 7, 2))

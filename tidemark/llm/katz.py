@@ -1,9 +1,12 @@
-"""Katz back-off language model: bigrams backed off to unigrams, with Good-Turing discounts and exactly normalised weights.
+"""Katz back-off language model of any order, with Good-Turing discounts by order and exactly normalised weights.
 
     P(w)     = (c(w) + 1) / (N + V + 1), one share of it for all unknown words
-    P(w | h) = d(c) * c(h, w) / c(h)   when c = c(h, w) > 0, with the Good-Turing discount d(c) for c <= ``cutoff``
-             = alpha(h) * P(w)         otherwise
-    alpha(h) = (1 - sum of d * c / c(h) over seen w) / (1 - sum of P(w) over seen w)
+    P(w | h) = d(c) * c(h, w) / c(h)   when c = c(h, w) > 0, with the Good-Turing discount d(c) of the order for c <= ``cutoff``
+             = alpha(h) * P(w | h')    otherwise, where h' is h without its first word
+    alpha(h) = (1 - sum of d * c / c(h) over seen w) / (1 - sum of P(w | h') over seen w)
+
+The recursion is folded from the unigrams up: a block that knows P(w | h') of its n-grams asks for the next order. The words before
+a document are start marks.
 
 A history whose counts are all undiscounted divides by c(h) + 1 instead, which leaves mass to back off with; an unknown history has alpha 1.
 
@@ -11,7 +14,7 @@ Documents are read once, in blocks of a few MB that hold the distinct words of t
 into these words. What a block needs from the corpus it asks for by hash buckets: its distinct words, then its distinct word pairs. So the
 exchanges carry a row per block and bucket and grow with the distinct words and pairs of blocks, not with documents times buckets. Pairs of
 a history with a large share of all tokens are spread over several sub-buckets. Counts are kept in tables partitioned by kind: words (with
-answers per block), pairs (the model) and back-off weights. Arrays travel as compressed bytes.
+answers per block), pairs (the model), longer n-grams (a table for every order) and back-off weights. Arrays travel as compressed bytes.
 """
 
 from __future__ import annotations
@@ -24,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, ship, stored
-from tidemark.llm.words import WHITE, rows_of_words, text_chunks
+from tidemark.llm.words import WHITE, mix, rows_of_words, text_chunks
 
 START, END = np.uint64(2), np.uint64(1)  # not the hash of a word but for a chance of 2**-63
 _BLOCK = "block string, doc_ids array<long>, held array<boolean>, ends array<long>, words binary, counts binary, stream binary"
+_CHAIN = np.uint64(0xD6E8FEB86659FD93)
 _ASK = "bucket int, sub int, block string, a binary, b binary, c binary, d binary"
 _NAMES = [x.split()[0] for x in _ASK.split(", ")]
 
@@ -129,8 +133,8 @@ def _count_words(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_asks(out)])
 
 
-def _by_bucket(answers: pa.Table, kind: str) -> list[dict]:
-    rows = [r for r in answers.to_pylist() if r["kind"] == kind]
+def _by_bucket(answers: list[dict], kind: str) -> list[dict]:
+    rows = [r for r in answers if r["kind"] == kind]
     return sorted(rows, key=lambda r: (r["bucket"], r["sub"]))
 
 
@@ -174,11 +178,156 @@ class Block:
                 rows.append((int(bucket[i]), int(self.sub[i]), name, *map(pack, (self.ids[left], gid[right], counts[i:j], self.counts[right]))))
         return _asks(rows)
 
+    def by_pair(self, answers: list[dict], whole: int, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per distinct pair: its training count and log10 of its probability."""
+        weights = _by_bucket(answers, "weight")
+        alpha, more = _joined(weights, "a"), _joined(weights, "b")
+        pair = _joined(_by_bucket(answers, "pair"), "a").astype(np.int64)
+        history = np.maximum(self.counts + more, 1)[self.left]
+        kept = factors[np.where(pair < len(factors), pair, 0)] * pair
+        single = np.log10((self.counts + 1) / whole)
+        return pair, np.where(pair > 0, np.log10(np.maximum(kept, 1e-300) / history), alpha[self.left] + single[self.right])
+
+
+class Grams:
+    """A block's distinct n-grams of one order whose history occurs in training, in the order in which they are asked for.
+
+    ``count`` and ``log`` are the training count and the log10 probability of the n-gram one shorter that ends at each position.
+    """
+
+    def __init__(self, block: Block, order: int, count: np.ndarray, log: np.ndarray, buckets: int, tokens: int) -> None:
+        starts, at_start = np.concatenate(([0], block.ends[:-1])), START
+        words = block.words[block.stream]
+        hist = block.words[block.before]
+        with np.errstate(over="ignore"):
+            for _ in range(order - 2):
+                earlier = np.roll(hist, 1)
+                earlier[starts] = at_start
+                hist = mix(earlier * _CHAIN + block.words[block.before])
+                at_start = mix(np.array([at_start]) * _CHAIN + START)[0]
+            _, first, self.place = np.unique(mix(hist * _CHAIN + words), return_index=True, return_inverse=True)
+        # A history is the n-gram one shorter that ends before the word; before the first word it is that of every document.
+        seen = np.roll(count, 1)
+        seen[starts] = block.counts[np.searchsorted(block.words, START)]
+        own = np.repeat(~block.held, np.diff(block.ends, prepend=0))
+        counts = np.bincount(self.place[own], minlength=len(first))
+        self.lower = log[first]
+        bucket = word_bucket(hist[first], buckets)
+        spread = np.minimum(seen[first] * buckets * 2 // max(tokens, 1), 1 << 16)
+        sub = np.where(spread > 0, 1 + (words[first] % np.maximum(spread, 1).astype(np.uint64)).astype(np.int64), 0)
+        asked = np.lexsort((hist[first], sub, bucket))
+        self.asked = asked = asked[seen[first][asked] > 0]  # an unknown history has no n-grams
+        gid = block.bucket << 32 | block.ids
+        self.bucket, self.sub, self.hist, self.seen = bucket[asked], sub[asked], hist[first][asked], seen[first][asked]
+        self.right, self.counts = gid[block.stream[first]][asked], counts[asked]
+
+    def asks(self, name: str) -> pa.RecordBatch:
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(self.bucket) | np.diff(self.sub)) + 1, [len(self.bucket)]))
+        rows, lower = [], self.lower[self.asked]
+        for i, j in zip(cuts, cuts[1:]):
+            if j > i:
+                learned = lower[i:j][self.counts[i:j] > 0]
+                rows.append((int(self.bucket[i]), int(self.sub[i]), name, *map(pack, (self.hist[i:j], self.right[i:j], self.counts[i:j], learned))))
+        return _asks(rows)
+
+    def answered(self, answers: list[dict], order: int, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per position: the training count and log10 of the probability of the n-gram that ends there."""
+        grams, weights = _by_bucket(answers, f"gram{order}"), _by_bucket(answers, f"weight{order}")
+        total, more = _joined(grams, "a").astype(np.int64), _joined(grams, "b").astype(np.int64)
+        weighed = (self.sub > 0) | (total == 0)
+        alpha = np.zeros(len(total))
+        alpha[weighed], more[weighed] = _joined(weights, "a"), _joined(weights, "b")
+        kept = factors[np.where(total < len(factors), total, 0)] * total
+        count, log = np.zeros(len(self.lower), np.int64), self.lower.copy()
+        count[self.asked] = total
+        log[self.asked] = np.where(total > 0, np.log10(np.maximum(kept, 1e-300) / (self.seen + more)), alpha + self.lower[self.asked])
+        return count[self.place], log[self.place]
+
+
+def _folded(block: Block, answers: list[dict], factors: list[np.ndarray], buckets: int, tokens: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and log10 probabilities by position, of the highest order that ``factors`` (from order 2 on) has."""
+    pair, log = block.by_pair(answers, whole, factors[0])
+    count, log = pair[block.pair], log[block.pair]
+    for order, own in enumerate(factors[1:], 3):
+        count, log = Grams(block, order, count, log, buckets, tokens).answered(answers, order, own)
+    return count, log
+
+
+def _ask_grams(buckets: int, tokens: int, whole: int, factors: list[np.ndarray]):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, answers = [_asks([])], right.to_pylist()
+        for row in left.to_pylist():
+            block = Block(row, _by_bucket(answers, "word"), buckets, tokens)
+            out.append(Grams(block, len(factors) + 2, *_folded(block, answers, factors, buckets, tokens, whole), buckets, tokens).asks(row["block"]))
+        return pa.Table.from_batches(out)
+
+    return run
+
+
+def _count_grams(cutoff: int):
+    """Per block the totals of its n-grams, whether their history divides by one more, and the histories whose weight it needs (kind gram);
+    and the counts of counts, with the n-grams of these histories: history, probability one order below, count (kind model).
+
+    A history that is spread over groups needs its weight everywhere.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        lists = [[unpack(x) for x in group.column(c).to_pylist()] for c in "abcd"]
+        sizes = [len(x) for x in lists[0]]
+        hist, right, counts, lower = map(np.concatenate, lists)
+        hist, counts = hist.astype(np.uint64), counts.astype(np.int64)
+        with np.errstate(over="ignore"):
+            keys, first, ids = np.unique(mix(hist * _CHAIN + right.astype(np.uint64)), return_index=True, return_inverse=True)
+        totals = np.bincount(ids, counts, len(keys)).astype(np.int64)
+        below = np.zeros(len(keys))
+        below[ids[counts > 0]] = lower
+        names, of = np.unique(hist[first], return_inverse=True)
+        seen = totals > 0
+        least = np.full(len(names), np.iinfo(np.int64).max)
+        np.minimum.at(least, of[seen], totals[seen])
+        bucket, sub = group.column("bucket")[0].as_py(), group.column("sub")[0].as_py()
+        weighed = ~seen | (sub > 0)
+        wanted = np.zeros(len(names), bool)
+        wanted[of[weighed]] = True
+        out, at = [], 0
+        for block, n in zip(group.column("block").to_pylist(), sizes):
+            mine = ids[at : at + n]
+            at += n
+            needs = names[of[mine[weighed[mine]]]]
+            out.append((bucket, sub, block, *map(pack, (totals[mine], (least[of[mine]] > cutoff).astype(np.uint8), needs)), None))
+        kept = seen & wanted[of]
+        low = np.bincount(totals[totals <= cutoff + 1], minlength=cutoff + 2)
+        out.append((bucket, sub, None, *map(pack, (names[of[kept]], below[kept], totals[kept], low))))
+        return pa.Table.from_batches([_asks(out)])
+
+    return run
+
+
+def _gram_weights(factors: np.ndarray):
+    def run(model: pa.Table, answers: pa.Table) -> pa.Table:
+        """Per block and weighed n-gram: log10 of the back-off weight of its history, and whether the history divides by one more."""
+        hist, below, totals = ([unpack(x) for x in model.column(c).to_pylist()] for c in "abc")
+        none = [np.empty(0, np.int64)]
+        names, of = np.unique(np.concatenate([*(x.astype(np.uint64) for x in hist), np.empty(0, np.uint64)]), return_inverse=True)
+        totals = np.concatenate([*none, *totals]).astype(np.int64)
+        count = np.bincount(of, totals, len(names))
+        kept = np.bincount(of, factors[np.where(totals < len(factors), totals, 0)] * totals, len(names))
+        seen = np.bincount(of, 10 ** np.concatenate([*none, *below]), len(names))
+        more = kept > count - 1e-9
+        alpha = np.log10((1 - kept / np.maximum(count + more, 1)) / (1 - seen))
+        out = []
+        for row in answers.select(["bucket", "sub", "block", "c"]).to_pylist():
+            at = np.searchsorted(names, unpack(row["c"]).astype(np.uint64))
+            out.append((row["bucket"], row["sub"], row["block"], pack(alpha[at]), pack(more[at].astype(np.uint8)), None, None))
+        return pa.Table.from_batches([_asks(out)])
+
+    return run
+
 
 def _ask_pairs(buckets: int, tokens: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = left.to_pylist()
-        return pa.Table.from_batches([Block(r, _by_bucket(right, "word"), buckets, tokens).asks(r["block"]) for r in rows] or [_asks([])])
+        rows, answers = left.to_pylist(), right.to_pylist()
+        return pa.Table.from_batches([Block(r, _by_bucket(answers, "word"), buckets, tokens).asks(r["block"]) for r in rows] or [_asks([])])
 
     return run
 
@@ -262,20 +411,13 @@ def _weights(mass: pa.Table, answers: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_asks(out)])
 
 
-def _score(buckets: int, tokens: int, distinct: int, factors: np.ndarray):
-    whole = tokens + distinct + 1
-
+def _score(buckets: int, tokens: int, whole: int, factors: list[np.ndarray]):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
+        out, answers = [], right.to_pylist()
         for row in left.to_pylist():
-            block = Block(row, _by_bucket(right, "word"), buckets, tokens)
-            weights = _by_bucket(right, "weight")
-            alpha, more = _joined(weights, "a"), _joined(weights, "b")
-            pair = _joined(_by_bucket(right, "pair"), "a").astype(np.int64)
+            block = Block(row, _by_bucket(answers, "word"), buckets, tokens)
+            _, log = _folded(block, answers, factors, buckets, tokens, whole)
             single = np.log10((block.counts + 1) / whole)
-            history = np.maximum(block.counts + more, 1)[block.left]
-            kept = factors[np.where(pair < len(factors), pair, 0)] * pair
-            by_pair = np.where(pair > 0, np.log10(np.maximum(kept, 1e-300) / history), alpha[block.left] + single[block.right])
             starts = np.concatenate(([0], block.ends[:-1])).astype(np.int64)
             add = lambda x: np.add.reduceat(x, starts)
             known = add((block.counts[block.stream] > 0).astype(np.int64))
@@ -283,7 +425,7 @@ def _score(buckets: int, tokens: int, distinct: int, factors: np.ndarray):
                 pa.RecordBatch.from_arrays(
                     [
                         pa.array(block.doc_ids, pa.int64()), pa.array(block.held), pa.array(np.diff(block.ends, prepend=0)), pa.array(known),
-                        pa.array(add(single[block.stream])), pa.array(add(by_pair[block.pair])),
+                        pa.array(add(single[block.stream])), pa.array(add(log)),
                     ],
                     ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
                 )
@@ -294,13 +436,16 @@ def _score(buckets: int, tokens: int, distinct: int, factors: np.ndarray):
 
 
 def katz_scores(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int = 7, part: int = 2, cutoff: int = 5, block_bytes: int = 8 << 20
-) -> DataFrame:
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int = 7, part: int = 2, cutoff: int = 5, block_bytes: int = 8 << 20,
+    order: int = 2,
+) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
-    The model learns from documents whose crc32 of the id modulo ``parts`` is not ``part``. Null and empty texts are the end token alone.
+    ``order`` is the length of the longest n-grams, 2 at least. The model learns from documents whose crc32 of the id modulo ``parts`` is not ``part``. Null and empty texts are the end token alone.
     Repeated rows and null ids (never held out) count like any other row. Without training documents every probability is that of an unknown word.
     """
+    if order < 2:
+        raise ValueError("order must be 2 at least")
     spark = docs.sparkSession
     ship(spark)
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -327,7 +472,20 @@ def katz_scores(
     answers = to_blocks(words, "word").unionByName(to_blocks(stored(weights, "lm-weights"), "weight")).unionByName(
         pairs.filter("kind = 'pair'").select("kind", *_NAMES)
     )
+    whole, every = tokens + distinct + 1, [factors]
+    for n in range(3, order + 1):
+        asked = read.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_grams(buckets, tokens, whole, every), _ASK)
+        grams = asked.groupBy("bucket", "sub").applyInArrow(_count_grams(cutoff), _ASK)
+        grams = stored(grams.withColumn("kind", F.when(F.col("block").isNull(), "model").otherwise(f"gram{n}")), f"lm-grams-{n}", "kind")
+        model, own = grams.filter("kind = 'model'").select(*_NAMES), grams.filter(f"kind = 'gram{n}'")
+        sums = np.zeros(cutoff + 2, np.int64)
+        for d in model.select("d").toArrow().column("d").to_pylist():  # one row per bucket and part of a spread history
+            sums += unpack(d).astype(np.int64)
+        every = [*every, good_turing(dict(enumerate(sums.tolist())), cutoff)]
+        every[-1][0] = 1.0
+        weights = model.groupBy("bucket").cogroup(own.select(*_NAMES).groupBy("bucket")).applyInArrow(_gram_weights(every[-1]), _ASK)
+        answers = answers.unionByName(own.select("kind", *_NAMES)).unionByName(to_blocks(stored(weights, f"lm-weights-{n}"), f"weight{n}"))
     scored = read.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(buckets, tokens, distinct, factors), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+        _score(buckets, tokens, whole, every), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

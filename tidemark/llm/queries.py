@@ -71,7 +71,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op7_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz_scores(table(spark, sf_dir, "documents"))
+    return katz_scores(table(spark, sf_dir, "documents"), order=3)
 
 
 @query()
