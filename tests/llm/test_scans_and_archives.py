@@ -2,6 +2,7 @@ import base64
 import gzip
 import glob
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -123,6 +124,43 @@ def test_terms_that_give_an_entity_away(make_docs):  # noqa: F811
     assert got[12][0] == texts[12]
 
 
+def plain_terms(pairs, support=2, disclosure=0.9):
+    word = re.compile(privacy_term)
+    base = [sorted((a, b, f"{k}:{(text or '')[a:b].lower()}") for k, a, b in plain_base(text)) for _, text in pairs]
+    places = [[(m.start(), m.end(), m.group().lower()) for m in word.finditer(text or "")] for _, text in pairs]
+    free = [[p for p in own if not any(a < p[1] and p[0] < b for a, b, _ in spans)] for own, spans in zip(places, base)]
+    df_term, df_entity, both = Counter(), Counter(), Counter()
+    for own, out, spans in zip(places, free, base):
+        entities, terms = {e for _, _, e in spans}, {t for _, _, t in out}
+        df_term.update({t for _, _, t in own})
+        df_entity.update(entities)
+        both.update((e, t) for e in entities for t in terms)
+    best = {}
+    for (e, t), n in both.items():
+        information = math.log2(len(pairs) / df_entity[e])
+        ratio = math.log2(len(pairs) * n / (df_term[t] * df_entity[e])) / information if information else 0
+        if n >= support and ratio >= disclosure - 1e-12:
+            best[t] = max(ratio, best.get(t, 0))
+    return {i: [(a, b, pytest.approx(best[t])) for a, b, t in out if t in best] for (i, _), out in zip(pairs, free)}
+
+
+privacy_term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def test_terms_are_marked_everywhere(make_docs):  # noqa: F811
+    rng = random.Random(11)
+    fill = lambda n: " ".join(rng.choice("the of a note with more end so".split()) for _ in range(n))
+    pairs = [(i, f"Zanzibar {fill(60)} mail: zs@mail.org-Ωx {fill(60)} ΖΑΝΖΙ漢字漢字 zanzibar") for i in range(30)]
+    pairs += [(30, f"{fill(50)} ZANZIBAR {fill(5)}")]
+    pairs += [(40 + i, f"kurz {'漢字' * 60} x+49 (030) 123-4567é {'漢字' * 60}, é a@b.c%d@e.f") for i in range(3)]
+    pairs += [(50 + i, t) for i, t in enumerate(private_texts()[:300])]
+    pairs += [(1000 + i, fill(20)) for i in range(300)]
+    got = {r.doc_id: [tuple(t) for t in r.terms] for r in privacy.personal_data(make_docs(pairs)).collect()}
+    assert got == plain_terms(pairs)
+    assert [dict(pairs)[30][a:b] for a, b, _ in got[30]] == ["ZANZIBAR"]
+    assert len(got[0]) == 5 and {dict(pairs)[40][a:b] for a, b, _ in got[40]} >= {"kurz"}
+
+
 PAGES = [
     (3, "http://a/x y", "<p>same</p>"), (1, "http://b", "<p>same</p>"), (2, None, None), (4, "http://c", ""), (5, "http://d", "a\r\n\r\nb\r\n\r\n"),
     (6, "http://e", "\n\nGrüße\r\n"), (6, "http://e", "\n\nGrüße\r\n"), (None, "http://f", "<p>same</p>"), (7, "http://g", "x" * 300_000), (8, "http://h", "HTTP/1.1 404 No\r\n\r\n"),

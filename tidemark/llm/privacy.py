@@ -1,12 +1,12 @@
 """Personal data and the terms that reveal it (native: DataFrame functions only).
 
 Base detectors find e-mail addresses, IP addresses, card and phone numbers by pattern. Information-theoretic sanitisation adds the terms that give such an
-entity away: for a term t and an entity e that stand close together,
+entity away: for a term t and an entity e that stand in the same document,
 
     PMI(t; e) = log2(N * df(t, e) / (df(t) * df(e)))        IC(e) = -log2(df(e) / N)
 
 with document frequencies over the whole corpus. PMI is at most IC, and equal to it when t occurs with e alone. A term with PMI / IC of at least ``disclosure``
-tells that much of what the entity's own presence would tell: it is a span of kind ``term``. Terms at or above ``removal`` are removed
+tells that much of what the entity's own presence would tell: it is a span of kind ``term`` wherever it stands, in any document. Terms at or above ``removal`` are removed
 by ``sanitise``, the others are generalised, as the base spans are.
 """
 
@@ -24,7 +24,9 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A stored table with at most so many rows is broadcast, a larger one is left to the planner.
+BROADCAST_ROWS = 200_000
+_NO_TERM = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
 
 def _places(text: Column, pattern: str) -> Column:
@@ -74,39 +76,54 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(maybe, F.filter(_places(text, pattern), lambda m: _valid(kind, m["match"]))).otherwise(none)
 
 
-def _context(text: Column, spans: Column, words: int, reach: int) -> Column:
-    """Terms within ``words`` words and ``reach`` code points of each span: (entity, term, start, end)."""
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text as they are written."""
+    return F.array_distinct(F.filter(F.split(text, rf"[{_NO_TERM}]+"), lambda t: t != ""))
 
-    def around(span: Column) -> Column:
-        left_from = F.greatest(F.lit(0), span["start"] - reach)
-        left = F.substring(text, left_from + 1, span["start"] - left_from)
-        right = F.substring(text, span["end"] + 1, F.lit(reach))
-        both = F.concat(
-            F.transform(F.slice(F.reverse(_places(left, TERM)), 1, words), lambda m: F.struct(m["match"].alias("t"), (m["start"] + left_from).alias("s"))),
-            F.transform(F.slice(_places(right, TERM), 1, words), lambda m: F.struct(m["match"].alias("t"), (m["start"] + span["end"]).alias("s"))),
-        )
-        return F.transform(
-            both,
-            lambda x: F.struct(
-                span["entity"].alias("entity"), F.lower(x["t"]).alias("term"), x["s"].alias("start"), (x["s"] + F.char_length(x["t"])).alias("end")
-            ),
-        )
 
-    return F.flatten(F.transform(spans, around))
+def _outside(text: Column, base: Column) -> Column:
+    """The distinct lower-case terms of a text that overlap no base span."""
+    spans = F.array_sort(F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
+    def piece(first: Column, last: Column) -> Column:
+        """The text between two spans with a character of either, so that a term which runs into a span is seen to do so."""
+        left = F.when(first > 0, 1).otherwise(0)
+        return F.when(last >= first, F.substring(text, first + 1 - left, last - first + left + 1)).otherwise(F.lit(""))
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, text: str, support: int, disclosure: float) -> DataFrame:
+    def cut(acc: Column, s: Column) -> Column:
+        own = F.regexp_replace(piece(acc["at"], s["start"]), rf"(?<![^{_NO_TERM}])[^{_NO_TERM}]++$", "")
+        own = F.when(acc["at"] > 0, F.regexp_replace(own, rf"^[^{_NO_TERM}]++", "")).otherwise(own)
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(own)).alias("out"))
+
+    def end(acc: Column) -> Column:
+        rest = F.regexp_replace(piece(acc["at"], F.char_length(text)), rf"^[^{_NO_TERM}]++", "")
+        return F.concat(acc["out"], F.array(rest))
+
+    return F.array_distinct(F.transform(_terms(F.array_join(F.aggregate(spans, start, cut, end), " ")), F.lower))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def disclosing_terms(base: DataFrame, support: int, disclosure: float) -> DataFrame:
     """(entity, term, ratio) for the pairs whose PMI reaches ``disclosure`` of the entity's information content.
 
-    ``near`` has the columns row, entity, term. A pair must stand together in at least ``support`` documents.
+    ``base`` has the columns row, text and base. A pair must stand together in at least ``support`` documents, so entities in fewer have none.
     """
-    total = docs.count()
-    once = near.select("row", "entity", "term").distinct()
-    pairs = once.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
-    entities = once.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
+    total = base.count()
+    private = base.filter(F.size("base") > 0)
+    owners = private.select("row", F.explode(F.array_distinct(F.transform("base", lambda b: b["entity"]))).alias("entity"))
+    entities = owners.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity")).filter(F.col("df_entity") >= support)
+    entities = stored(entities, "entities")
+    shared = owners.join(entities.select("entity"), "entity", "left_semi").groupBy(F.col("row").alias("r")).agg(F.collect_list("entity").alias("entities"))
+    learned = private.join(shared, F.col("row") == F.col("r")).select("entities", _outside(F.col("text"), F.col("base")).alias("terms"))
+    # Counted per task first, here and below: what is shuffled is a row per task and distinct pair or term.
+    pairs = learned.select("terms", F.explode("entities").alias("entity")).select("entity", F.explode("terms").alias("term"))
+    pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
     pairs = stored(pairs.join(entities, "entity"), "term-pairs")
-    # Counted per task first: what is shuffled is a row per task and distinct term.
-    terms = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))).alias("word"))
+    terms = base.select(F.explode(F.array_distinct(F.transform(_terms(F.col("text")), F.lower))).alias("word"))
     wanted = pairs.select("term").distinct()
     frequency = terms.groupBy("word").agg(F.count(F.lit(1)).alias("df_term")).join(wanted, F.col("word") == F.col("term"), "left_semi")
     pmi = F.log2(F.lit(float(total)) * F.col("both") / (F.col("df_term") * F.col("df_entity")))
@@ -119,15 +136,13 @@ def personal_data(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    words: int = 4,
-    reach: int = 80,
     support: int = 2,
     disclosure: float = 0.9,
 ) -> DataFrame:
     """One row per input row: doc_id, base (array of kind, start, end) and terms (array of start, end, ratio), sorted.
 
     Null counts as empty. Repeated rows are documents of their own; null ids are kept. A span of one kind may overlap one of
-    another. Terms that lie inside a base span are left out.
+    another. A term is marked at every place in every document, with its greatest ratio to any entity; places that overlap a base span are left out.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = plain.select("doc_id", "text", *(base_spans(F.col("text"), k).alias(k) for k in KINDS))
@@ -139,24 +154,24 @@ def personal_data(
         return F.transform(kind, tag)
 
     every = F.concat(*map(tagged, KINDS))
-    base = stored(
-        found.select("doc_id", "text", every.alias("base"))
-        .select("doc_id", "base", F.when(F.size("base") > 0, _context(F.col("text"), F.col("base"), words, reach)).alias("near"))
-        .withColumn("row", F.monotonically_increasing_id()),
-        "personal-data",
-    )
-    near = base.filter("near is not null").select("row", "base", F.explode("near").alias("n")).select("row", "base", "n.*")
-    near = near.filter(~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))).drop("base")
-    near = stored(near, "entity-context")
-    reveals = stored(disclosing_terms(plain, near, "text", support, disclosure), "disclosing-terms")
-    marked = near.join(reveals.withColumnRenamed("entity", "e").withColumnRenamed("term", "t"), (F.col("entity") == F.col("e")) & (F.col("term") == F.col("t")))
-    terms = (
-        marked.groupBy("row", "start", "end").agg(F.max("ratio").alias("ratio"))
-        .groupBy(F.col("row").alias("r")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "ratio"))).alias("terms"))
-    )
+    base = stored(found.select("doc_id", "text", every.alias("base")).withColumn("row", F.monotonically_increasing_id()), "personal-data")
+    reveals = disclosing_terms(base, support, disclosure).groupBy(F.col("term").alias("t")).agg(F.max("ratio").alias("ratio"))
+    reveals = stored(reveals, "disclosing-terms")
+    written = base.select("row", F.explode(_terms(F.col("text"))).alias("written"))
+    hits = written.join(_small(reveals), F.lower("written") == F.col("t"))
+    hits = hits.groupBy(F.col("row").alias("r")).agg(F.map_from_entries(F.collect_list(F.struct("written", "ratio"))).alias("ratios"))
+    hits = stored(hits, "documents-with-terms")
+    # Only the texts with a hit travel.
+    texts = base.join(_small(hits.select("r")), F.col("row") == F.col("r"), "left_semi").join(hits, F.col("row") == F.col("r"))
+    any_of = F.concat(F.lit(rf"(?<![^{_NO_TERM}])(?:"), F.array_join(F.map_keys("ratios"), "|"), F.lit(rf")(?![^{_NO_TERM}])"))
+    free = F.filter(_places(F.col("text"), any_of), lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    terms = F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.col("ratios")[m["match"]].alias("ratio")))
+    marked = texts.select("r", terms.alias("terms"))
     none = F.array().cast("array<struct<start:int,end:int,ratio:double>>")
     spans = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["end"].alias("end")))
-    return base.join(terms, F.col("row") == F.col("r"), "left").select("doc_id", spans.alias("base"), F.coalesce("terms", none).alias("terms"))
+    return base.select("doc_id", "row", "base").join(marked, F.col("row") == F.col("r"), "left").select(
+        "doc_id", spans.alias("base"), F.coalesce("terms", none).alias("terms")
+    )
 
 
 def report(found: DataFrame) -> DataFrame:
