@@ -52,6 +52,25 @@ def test_licenses_equal_plain(make_docs, odd):  # noqa: F811
     assert license_matches(make_docs(pairs), templates=(("x", " !"),)).count() == 0
 
 
+def test_notices_of_one_family_keep_their_names(make_docs):  # noqa: F811
+    grant = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+    tail = " This {} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {}General Public License for more details."
+    wanted = {1: {"GPL-2.0"}, 2: {"GPL-3.0"}, 3: {"LGPL-2.1"}, 4: {"LGPL-3.0"}, 5: {"AGPL-3.0"}}
+    kinds = {1: ("program", ";", "", ";", "2"), 2: ("program", ":", "", ",", "3"), 3: ("library", ";", "Lesser ", ";", "2.1"), 4: ("program", ":", "Lesser ", ",", "3"), 5: ("program", ":", "Affero ", ",", "3")}
+    texts = {i: "x y z " * 9 + grant.format(*k) + " a b c" * 9 for i, k in kinds.items()}
+    texts |= {10 + i: "x y z " * 9 + grant.format(*k) + tail.format(k[0], k[2]) + " a b c" * 9 for i, k in kinds.items()}
+    wanted |= {10 + i: w for i, w in wanted.items()}
+    texts |= {30: f"{texts[1]} {texts[5]}", 31: f"{grant.format(*kinds[3])} {grant.format(*kinds[2])}"}
+    wanted |= {30: {"GPL-2.0", "AGPL-3.0"}, 31: {"LGPL-2.1", "GPL-3.0"}}
+    short = {"CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.", "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0."}
+    texts |= {40 + i: f"one two {t} three four" for i, t in enumerate(short.values())}
+    wanted |= {40 + i: {name} for i, name in enumerate(short)}
+    got = {}
+    for r in license_matches(make_docs([*texts.items(), (99, "no notice")])).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == wanted
+
+
 def test_every_likely_window_has_an_anchor():
     shingles = [plain_shingles(plain_words(t)) for _, t in TEMPLATES]
     found = anchors(shingles, 0.8)

@@ -3,6 +3,8 @@
 Words are runs of a-z and 0-9 after lower-casing. For every template length, texts are cut into overlapping windows with as many five-word shingles as the template has,
 an eighth of that length apart. A window's MinHash signature is cut into bands; a template is retrieved when a band agrees, and
 the match is verified by exact shingle containment: the share of the template's shingles in the window and the words up to its neighbours.
+Notices of one family share most of their words. So of the matches of different licenses that overlap in place (by half of the
+shorter one) only the best is reported: the greatest containment, then the longest template.
 
 A pair of Jaccard similarity j is retrieved with probability 1 - (1 - j**rows)**bands. A window that holds 80 % of the template has j of at least 2/3
 when it is aligned: 0.9999 with the default 16 bands of 2 rows. A window that holds it all collides with certainty.
@@ -19,11 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
+from tidemark.llm.license_notices import NOTICES
 
 SHINGLE = 5
 BROADCAST_ROWS = 20_000
 
-#: Notices by which works declare their license. Fixed values.
+#: Short notices by which works declare their license. Fixed values.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
@@ -40,6 +43,10 @@ TEMPLATES = (
 )
 
 
+#: The short notices and the whole ones.
+ALL_TEMPLATES = TEMPLATES + NOTICES
+
+
 def plain_words(text: str) -> list[str]:
     out, word = [], ""
     for c in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text) + " ":
@@ -88,8 +95,21 @@ def words_of(text: Column) -> Column:
 
 
 def shingles_of(words: Column) -> Column:
+    """A shingle for every place; fewer words than a shingle make one."""
     count = F.greatest(F.lit(1), F.size(words) - (SHINGLE - 1))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), count), lambda i: F.concat_ws(" ", F.slice(words, i, SHINGLE))))
+    return F.transform(F.sequence(F.lit(1), count), lambda i: F.concat_ws(" ", F.slice(words, i, SHINGLE)))
+
+
+def best_in_place(matches: Column) -> Column:
+    """The matches (sorted, best first) without those that lie on a better match of another license."""
+
+    def covered(m: Column, kept: Column) -> Column:
+        common = F.least(m["last"], kept["last"]) - F.greatest(m["first"], kept["first"])
+        shorter = F.least(m["last"] - m["first"], kept["last"] - kept["first"])
+        return (m["license"] != kept["license"]) & (2 * common >= shorter)
+
+    start = F.filter(matches, lambda m: F.lit(False))
+    return F.aggregate(matches, start, lambda acc, m: F.when(F.exists(acc, lambda kept: covered(m, kept)), acc).otherwise(F.concat(acc, F.array(m))))
 
 
 def band_keys(shingles: Column, bands: int, rows: int) -> Column:
@@ -103,7 +123,7 @@ def band_keys(shingles: Column, bands: int, rows: int) -> Column:
 
 def license_matches(
     docs: DataFrame,
-    templates: tuple[tuple[str, str], ...] = TEMPLATES,
+    templates: tuple[tuple[str, str], ...] = ALL_TEMPLATES,
     doc_id: str = "doc_id",
     text: str = "text",
     containment: float = 0.8,
@@ -128,6 +148,7 @@ def license_matches(
     pattern = f"(?i)(?<![a-z0-9])(?:{'|'.join(anchor)})(?![a-z0-9])"
     # A text goes on only if it holds an anchor; only then are its words cut out.
     found = docs.filter(F.col(text).rlike(pattern)).select(F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("words"))
+    found = found.withColumn("row", F.monotonically_increasing_id())
     is_anchor = F.transform("words", lambda w, i: F.when(w.isin(anchor), i))
     found = stored(found.withColumn("at", F.filter(is_anchor, lambda i: i.isNotNull())), "licensed-texts")
     lengths = sorted({len(s) for _, _, s in known})
@@ -140,20 +161,32 @@ def license_matches(
 
     at, length, more = F.col("w.start"), F.col("w.length"), F.col("w.more")
     first = F.greatest(at - more, F.lit(0))
-    windows = found.select("doc_id", "words", F.explode(F.concat(*(starts(n) for n in lengths))).alias("w")).select(
-        "doc_id", first.alias("start"), F.slice("words", at + 1, length).alias("own"), F.slice("words", first + 1, at - first + length + more).alias("wide")
+    windows = found.select("doc_id", "row", "words", F.explode(F.concat(*(starts(n) for n in lengths))).alias("w")).select(
+        "doc_id", "row", length.alias("length"), first.alias("start"), F.slice("words", at + 1, length).alias("own"), F.slice("words", first + 1, at - first + length + more).alias("wide")
     )
     # The rows of a Generate are made once; a projection's expressions would be copied into each of the many uses below.
     pair = F.struct(shingles_of(F.col("own")).alias("own"), shingles_of(F.col("wide")).alias("wide"))
-    windows = windows.select("doc_id", "start", F.size("wide").alias("n_words"), F.explode(F.array(pair)).alias("shingles"))
+    windows = windows.select("doc_id", "row", "length", "start", F.size("wide").alias("n_words"), F.explode(F.array(pair)).alias("shingles"))
     banded = windows.select("*", F.posexplode(band_keys(F.col("shingles.own"), bands, rows)).alias("band", "key"))
     # The templates are an argument, so the size of this table is known: a row per template and band. Beyond the bound it is shuffled.
     if len(known) * bands <= BROADCAST_ROWS:
         keyed = F.broadcast(keyed)
-    met = banded.join(keyed, (F.col("band") == F.col("template_band")) & (F.col("key") == F.col("template_key")))
+    # Only windows of the template's own length: a longer one would add up the shingles of several notices.
+    own_length = F.col("length") == F.size("template_shingles") + (SHINGLE - 1)
+    met = banded.join(keyed, (F.col("band") == F.col("template_band")) & (F.col("key") == F.col("template_key")) & own_length)
     share = F.size(F.array_intersect("template_shingles", "shingles.wide")) / F.size("template_shingles")
-    verified = met.select("doc_id", "license", share.alias("containment"), "start", "n_words").filter(F.col("containment") >= containment)
-    best = F.min(F.struct((-F.col("containment")).alias("c"), "start", "n_words"))
+    verified = met.withColumn("containment", share).filter(F.col("containment") >= containment)
+    own = F.transform("shingles.wide", lambda x, i: F.when(F.array_contains("template_shingles", x), i + F.col("start")))
+    placed = verified.select(
+        "doc_id", "row", "license", (-F.col("containment")).alias("c"), (-F.size("template_shingles")).alias("size"), "start", "n_words",
+        F.array_min(own).alias("first"), (F.array_max(own) + SHINGLE).alias("last"),
+    )
+    # Windows that see a match at the same place say the same.
+    placed = placed.groupBy("doc_id", "row", "license", "first", "last").agg(F.min(F.struct("c", "size", "start", "n_words")).alias("b"))
+    match = F.struct("b.c", "b.size", "license", "first", "last", "b.start", "b.n_words")
+    by_text = placed.groupBy("doc_id", "row").agg(F.array_sort(F.collect_list(match)).alias("matches"))
+    verified = by_text.select("doc_id", F.explode(best_in_place(F.col("matches"))).alias("m")).select("doc_id", "m.*")
+    best = F.min(F.struct("c", "start", "n_words"))
     return verified.groupBy("doc_id", "license").agg(best.alias("best")).select(
         "doc_id", "license", (-F.col("best.c")).alias("containment"), F.col("best.start").cast("long").alias("first_word"),
         F.col("best.n_words").cast("long").alias("n_words"),
