@@ -11,10 +11,12 @@ from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination, report
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.katz import katz_scores
+from tidemark.llm.lexical_search import ranked_search
 from tidemark.llm.licenses import license_matches
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import grades_of_labels, quality_scores
+from tidemark.llm.token_alignment import token_alignment
 from tidemark.llm.toxicity import toxicity_scores
 from tidemark.llm.warc import archive_pages
 
@@ -32,11 +34,11 @@ def query(sql: str | None = None):
     return register
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of the packing query; every executor has it at the same place."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file, by default that of the packing query; every executor has it at the same place."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query()
@@ -114,3 +116,45 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query(
+    r"""
+    with words as (
+        select doc_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from documents
+    ), asked as (
+        select item_id, term, count(*) as repeats
+        from (select item_id, unnest(regexp_extract_all(
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+              from benchmark) group by all
+    ), sizes as (
+        select doc_id, count(*) as n from words group by doc_id
+    ), corpus as (
+        select count(*) as docs, sum(n)::bigint as terms from sizes
+    ), tfs as (
+        select doc_id, term, count(*) as tf from words where term in (select term from asked) group by all
+    ), weights as (
+        select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+        from tfs, corpus group by term, docs
+    ), scored as (
+        select a.item_id, t.doc_id,
+               sum(a.repeats * w.w * ((1000000000 * t.tf) // (1000 * t.tf + 12 * (75 + (25 * s.n * c.docs) // c.terms))))::bigint as score
+        from asked a join tfs t using (term) join weights w using (term) join sizes s using (doc_id), corpus c
+        group by a.item_id, t.doc_id
+    )
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+    from scored where score > 0 qualify rank <= 20
+    """
+)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
