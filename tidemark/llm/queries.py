@@ -10,6 +10,7 @@ from tidemark.llm import privacy
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination, report
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.jaccard_join import jaccard_join
 from tidemark.llm.katz import katz_scores
 from tidemark.llm.lexical_search import ranked_search
 from tidemark.llm.licenses import license_matches
@@ -118,6 +119,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 @query(
     r"""
     with words as (
