@@ -55,10 +55,32 @@ def test_events_beyond_the_lookback_are_dropped(spark):
         [event(3, 102, 6)],
         [event(4, 103, 0), event(5, 104, 4)],  # six days late, and inside the lookback
     ):
+        assert tables.late().count() == 0
         land(spark, folder, *batch)
-        jobs.stream_funnel(stream(spark, folder), tables, at).awaitTermination()
+        jobs.run_funnel(stream(spark, folder), tables, at)
     days = rows(tables.funnel.read().filter("stage_order = 1"), "event_date", "sessions")
     assert [(d.day - DAY0.day, n) for d, n in days] == [(0, 1), (4, 1), (5, 1), (6, 1)]
+    late = tables.late().collect()
+    assert [r.late_sessions for r in late] == [1]
+    assert late[0].watermark.date() == (DAY0 + timedelta(days=3)).date()
+
+
+def test_late_events_of_one_run_over_three_files_are_counted(spark):
+    folder, at = scratch_path(spark, "in"), scratch_path(spark, "ckpt")
+    tables = jobs.FunnelTables(spark, scratch_path(spark, "funnel"))
+    for batch in (
+        [event(1, 100, 9)],
+        [event(2, 101, 9)],
+        # Two events of one session and day are one late session; those of another day or session are more.
+        [event(3, 102, 0), event(4, 102, 0, "purchase", hour=3), event(5, 102, 1), event(6, 103, 0), event(7, 104, 8)],
+    ):
+        land(spark, folder, *batch)
+    jobs.run_funnel(stream(spark, folder), tables, at)
+    assert sum(r.late_sessions for r in tables.late().collect()) == 3
+    assert rows(tables.sessions.read(), "session_id") == [(100,), (101,), (104,)]
+    # Noting the same query again, or running on with nothing new, counts nothing twice.
+    jobs.run_funnel(stream(spark, folder), tables, at)
+    assert sum(r.late_sessions for r in tables.late().collect()) == 3
 
 
 def test_funnel_upsert_can_be_repeated(spark):

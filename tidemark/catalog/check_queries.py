@@ -17,7 +17,6 @@ from tidemark.catalog.model_queries import (
 )
 from tidemark.catalog.ops_inputs import (
     NULL_RATE_SQL,
-    STRAY_SQL,
     VOLUME_SQL,
     ALL_READ,
     all_checks,
@@ -289,12 +288,6 @@ def amount_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.amount_parity(lossy_items(Shop(spark, sf_dir)))
 
 
-@catalog.add("default_partition_empty", STRAY_SQL.format(first="2023-11", last="2023-12", raw="raw_web_events"))
-def default_partition_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the months before the data registered, as if the new month had been forgotten."""
-    return reconcile.default_partition_empty(Shop(spark, sf_dir).raw("web_events"), "2023-11", "2023-12")
-
-
 @catalog.add("null_rate_channel", NULL_RATE_SQL.format(raw="raw_orders"))
 def null_rate_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.null_rate_channel(Shop(spark, sf_dir).raw("orders"))

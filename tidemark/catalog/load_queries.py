@@ -19,7 +19,7 @@ from tidemark.operators.drift import SchemaDriftError, raw_projection
 from tidemark.operators.merge import extract_range, new_rows
 from tidemark.operators.metrics import metric_query
 from tidemark.operators.versions import latest_version
-from tidemark.plans import dashboards
+from tidemark.plans import dashboards, reconcile
 from tidemark.plans.build import Warehouse
 from tidemark.plans.load import load_all, load_table, results_frame
 from tidemark.plans.suite import ACCEPTED_VALUES, NOT_NULL, RELATIONSHIPS, UNIQUE, declared_tests
@@ -187,18 +187,78 @@ def full_refresh_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.audit().select("run_label", "rows_extracted", "rows_inserted", "watermark_to")
 
 
+# Every fourth session happens a month later than the one before it, so that the log covers four months and more.
+_SPREAD = {
+    f"spread_{name}": f"""
+select event_id, session_id, customer_id, event_ts + (session_id % 4) * interval 31 day as event_ts, event_type, device,
+       ingested_at + (session_id % 4) * interval 31 day as ingested_at from {name}_web_events"""
+    for name in ("then", "src")
+}
+VIEWS |= _SPREAD
+_KNOWN_MONTHS = (datetime(2024, 1, 1), datetime(2024, 2, 1))
+
+
+def _spread(events: DataFrame) -> DataFrame:
+    later = F.make_dt_interval(days=(F.col("session_id") % 4 * 31).cast("int"))
+    return events.withColumns({c: F.col(c) + later for c in ("event_ts", "ingested_at")})
+
+
+def _two_spread_loads(shop: Shop, store: RawStore) -> None:
+    load_table(store, WEB_EVENTS, _spread(source_then(shop, "web_events")), "first")
+    load_table(store, WEB_EVENTS, _spread(source_now(shop, "web_events")), "second", full=True)
+
+
 @catalog.add("month_partitions", """
-select strftime(event_ts, '%Y-%m') as event_month, count(*) as events, min(event_ts) as first_event,
-       max(event_ts) as last_event from raw_web_events group by 1""")
+with batches as (
+    select 1 as _batch_id, event_ts from spread_then
+    union all select 2, event_ts from spread_src where (event_id, event_ts) not in (select (event_id, event_ts) from spread_then)
+)
+select cast(_batch_id as bigint) as _batch_id, strftime(event_ts, '%Y-%m') as event_month, count(*) as events,
+       min(event_ts) as first_event, max(event_ts) as last_event
+from batches group by 1, 2""")
 def month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored events per month folder, which Spark creates as months appear."""
+    """Stored events per batch and month folder; the months of each batch are registered before it is written."""
     shop, store = Shop(spark, sf_dir), _store(spark)
-    load_table(store, WEB_EVENTS, source_now(shop, "web_events"))
-    return store.read_raw(WEB_EVENTS).groupBy("event_month").agg(
+    _two_spread_loads(shop, store)
+    return store.read_raw(WEB_EVENTS).groupBy("_batch_id", "event_month").agg(
         F.count(F.lit(1)).alias("events"), F.min("event_ts").alias("first_event"), F.max("event_ts").alias("last_event")
     )
 
 
+_STORED_SQL = "select event_ts from spread_src union all select event_ts from spread_then where (event_id, event_ts) not in (select (event_id, event_ts) from spread_src)"
+
+
+@catalog.add("default_partition_empty", f"""
+with stored as ({_STORED_SQL}),
+counted as (
+    select count(*) as n, count(*) filter (where event_ts >= timestamp '2024-03-01') as stray,
+           count(distinct strftime(event_ts, '%Y-%m')) as months,
+           count(distinct strftime(event_ts, '%Y-%m')) filter (where event_ts >= timestamp '2024-03-01') as unknown
+    from stored
+)
+select 'before' as moment, 'default_partition_empty' as check_name, 'web_events' as table_name, 'fail' as status, '0' as expected,
+       cast(stray as varchar) as actual, 'unregistered_months=' || unknown as details, n as visible_rows,
+       months - unknown + 1 as folders from counted
+union all
+select 'after', 'default_partition_empty', 'web_events', 'pass', '0', '0', '', n, months from counted""")
+def default_partition_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads with only two months registered, and the same raw once all months are: the strays have moved out."""
+    shop = Shop(spark, sf_dir)
+    store = RawStore(spark, scratch_path(spark, "store"), months_on_demand=False)
+    store.register_months(WEB_EVENTS, *_KNOWN_MONTHS)
+    _two_spread_loads(shop, store)
+
+    def look(moment: str) -> DataFrame:
+        raw = store.read_raw(WEB_EVENTS)
+        counts = raw.agg(F.count(F.lit(1)).alias("visible_rows"), F.count_distinct("event_month").alias("folders"))
+        return reconcile.default_partition_empty(raw).join(counts).withColumn("moment", F.lit(moment))
+
+    before = look("before")
+    ends = store.read_raw(WEB_EVENTS).agg(F.min("event_ts"), F.max("event_ts")).first()
+    store.register_months(WEB_EVENTS, *ends)
+    return before.unionByName(look("after"))
+
+
 # --- materializations ----------------------------------------------------------------------------
 
 _DAILY = """
@@ -363,8 +423,43 @@ def dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(unique.schema).parquet(out)
 
 
-@catalog.add("funnel_stream", "select * from mart_funnel_daily")
+@catalog.add("funnel_stream", "select *, cast(0 as bigint) as late_sessions from mart_funnel_daily")
 def funnel_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in one micro-batch, of which none is late."""
     tables = jobs.FunnelTables(spark, scratch_path(spark, "funnel"))
-    jobs.stream_funnel(event_stream(spark, sf_dir), tables, scratch_path(spark, "stream")).awaitTermination()
-    return tables.funnel.read()
+    jobs.run_funnel(event_stream(spark, sf_dir), tables, scratch_path(spark, "stream"))
+    late = tables.late().agg(F.coalesce(F.sum("late_sessions"), F.lit(0)).alias("late_sessions")).scalar()
+    return tables.funnel.read().withColumn("late_sessions", late)
+
+
+# Every seventh session is delivered last, after two files that bring the watermark to the end.
+_HELD_BACK, _LAST_DAYS = "session_id % 7 = 0", f"event_ts >= timestamp '{EVENT_CUTOFF}'"
+
+
+@catalog.add("funnel_stream_late", f"""
+with reach as (
+    select max(event_ts) - interval 3 day as watermark from raw_web_events where not ({_HELD_BACK}) and not ({_LAST_DAYS})
+), held as (
+    select distinct session_id, cast(event_ts as date) as day from raw_web_events where {_HELD_BACK}
+), cut as (
+    select session_id, day, day + interval 1 day <= watermark as late from held, reach
+)
+select (select watermark from reach) as watermark, count(*) filter (where late) as late_sessions,
+       (select count(distinct session_id) from (
+            select session_id from cut where not late union all select session_id from raw_web_events where not ({_HELD_BACK})) s
+       ) as sessions
+from cut""")
+def funnel_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files, the last of which is mostly later than the lookback: what was dropped, and the sessions that count."""
+    events = Shop(spark, sf_dir).raw("web_events").select(*WEB_EVENTS.columns)
+    folder = scratch_path(spark, "landed")
+    held, last = F.expr(_HELD_BACK), F.expr(f"event_ts >= timestamp_ntz'{EVENT_CUTOFF}'")
+    for part in (~held & ~last, ~held & last, held):
+        events.filter(part).coalesce(1).write.mode("append").parquet(folder)
+    tables = jobs.FunnelTables(spark, scratch_path(spark, "funnel"))
+    jobs.run_funnel(stream_files(spark, folder, WEB_EVENTS.schema, max_files=1), tables, scratch_path(spark, "stream"))
+    late = tables.late().agg(
+        F.max(F.col("watermark").cast("timestamp_ntz")).alias("watermark"), F.coalesce(F.sum("late_sessions"), F.lit(0)).alias("late_sessions")
+    )
+    counted = tables.sessions.read().agg(F.count_distinct("session_id").alias("sessions")).scalar()
+    return late.withColumn("sessions", counted)

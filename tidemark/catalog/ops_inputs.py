@@ -130,12 +130,12 @@ def parity_sql(table: str, raw: str, watermark: str) -> str:
 select unnest([
   {{check_name: 'watermark_lag', table_name: '{table}', status: case when behind > 0 then 'warn' else 'pass' end,
     expected: '0 rows behind', actual: behind || ' rows behind',
-    details: case when behind > 0 then 'the source has changes that are not loaded yet' else '' end}},
+    details: case when behind > 0 then 'source_ahead' else '' end}},
   {{check_name: 'rowcount_parity', table_name: '{table}',
     status: case when behind > 0 then 'skipped' when sn = rn and ss = rs then 'pass' else 'fail' end,
     expected: case when behind = 0 then sn || ' keys, checksum ' || ss end,
     actual: case when behind = 0 then rn || ' keys, checksum ' || rs end,
-    details: case when behind > 0 then 'the source is ahead of the watermark; compare right after a load' else '' end}}
+    details: case when behind > 0 then 'source_ahead' else '' end}}
 ], recursive := true)
 from (select count(*) filter (where {spec.cursor} > timestamp '{watermark}') as behind, count(*) as sn,
              coalesce(sum({spec.pk[0]}), 0) as ss from src_{table}) s,
@@ -155,9 +155,10 @@ from (select (select sum(quantity * unit_price) from src_order_items) as want,
 
 STRAY_SQL = """
 select 'default_partition_empty' as check_name, 'web_events' as table_name,
-       case when n = 0 then 'pass' else 'fail' end as status, '0 rows' as expected, n || ' rows' as actual,
-       case when n = 0 then '' else 'events landed outside the registered months' end as details
-from (select count(*) filter (where strftime(event_ts, '%Y-%m') not between '{first}' and '{last}') as n from {raw}) t"""
+       if(n = 0, 'pass', 'fail') as status, '0' as expected, n::varchar as actual,
+       if(n = 0, '', 'unregistered_months=' || m) as details
+from (select count(*) as n, count(distinct strftime(event_ts, '%Y-%m')) as m from {raw}
+      where strftime(event_ts, '%Y-%m') not between '{first}' and '{last}') t"""
 
 NULL_RATE_SQL = """
 select 'null_rate_channel' as check_name, 'orders' as table_name, if(blank > 0.01 * n, 'fail', 'pass') as status,

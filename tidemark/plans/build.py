@@ -112,17 +112,20 @@ def run_cycle(
     store: RawStore,
     warehouse: Warehouse,
     sources: Mapping[str, DataFrame],
-    months: tuple[str, str],
+    months: tuple[str, str] | None = None,
     run_label: str = "",
     full_refresh: bool = False,
     now: datetime | None = None,
 ) -> tuple[list[LoadResult], dict[str, DataFrame], DataFrame]:
-    """Load, reconcile, and only if nothing failed build and test. Check results are kept either way."""
+    """Load, reconcile, and only if nothing failed build and test. Check results are kept either way.
+
+    ``months`` are the first and last one events may have; without them it is what raw has registered.
+    """
     at = now or utc_now()
     loads = load_all(store, sources, run_label, now=now)
     raw = {s.name: store.read_raw(s) for s in TABLES}
     loaded = {s.name: reconcile.Loaded(s, sources[s.name], raw[s.name], store.watermark(s)) for s in TABLES}
-    store.record_checks(reconcile.run_checks(loaded, *months), run_label, at)
+    store.record_checks(reconcile.run_checks(loaded, *(months or ())), run_label, at)
     this_run = (F.col("run_label") == run_label) & (F.col("checked_at") == wall_clock(at))
     recorded = store.dq_results().filter(this_run)
     reconcile.raise_on_fail(recorded)

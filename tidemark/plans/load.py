@@ -12,7 +12,7 @@ from tidemark.functions import wall_clock
 from tidemark.operators import drift
 from tidemark.operators.merge import extract_range, new_rows
 from tidemark.session import run_parallel
-from tidemark.sources.raw_store import FAILED, MONTH, RUNNING, SUCCESS, RawStore
+from tidemark.sources.raw_store import DEFAULT_MONTH, FAILED, MONTH, RUNNING, SUCCESS, RawStore
 from tidemark.sources.tables import delete_path
 from tidemark.specs import DEFAULT_OVERLAP_SECONDS, TABLES, TableSpec
 
@@ -73,7 +73,7 @@ def load_batch(
     store: RawStore, spec: TableSpec, rows: DataFrame, run_label: str, now: datetime | None = None
 ) -> LoadResult | None:
     """Load rows that were delivered rather than extracted, once per ``run_label``."""
-    if any(b.run_label == run_label for b in store.committed(spec)):
+    if store.has_run(spec, run_label):
         return None
 
     def insert(batch_id: int) -> LoadResult:
@@ -107,6 +107,7 @@ def _attempt(store, spec, source, run_label, started, work, batch_id=None) -> Lo
         rows_inserted=result.rows_inserted,
         **opened,
     )
+    store.compact_if_due(spec)
     return result
 
 
@@ -124,10 +125,13 @@ def _insert(store, spec, rows, batch_id, watermark, upper, loaded_at) -> LoadRes
         if not extracted:  # no batch to see, and nothing newer than the watermark
             return LoadResult(spec.name, batch_id, 0, 0, watermark, None)
         # A conflict has the same version value, so only raw rows in the batch's range can conflict.
+        if spec.partition_column and store.months_on_demand:
+            store.register_months(spec, low, high, batch_id)
         existing = store.read_raw(spec, low if version == cursor else None)
         existing = existing.filter(F.col(version).between(wall_clock(low), wall_clock(high)))
         if spec.partition_column == version:
-            existing = existing.filter(F.col(MONTH).between(f"{low:%Y-%m}", f"{high:%Y-%m}"))
+            in_range = F.col(MONTH).between(f"{low:%Y-%m}", f"{high:%Y-%m}") | (F.col(MONTH) == DEFAULT_MONTH)
+            existing = existing.filter(in_range)
         fresh = new_rows(staged, existing, spec.raw_key)
         store.write_batch(spec, fresh.withColumn("_loaded_at", wall_clock(loaded_at)), batch_id)
         inserted = store.read_batch(spec, batch_id).count()

@@ -35,6 +35,16 @@ def publish_text(spark: SparkSession, target: str, text: str) -> None:
         raise OSError(f"could not publish {target}")
 
 
+def read_text(spark: SparkSession, target: str) -> str:
+    """A small file that :func:`publish_text` wrote."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    source = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8")
+    finally:
+        source.close()
+
+
 def delete_path(spark: SparkSession, target: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

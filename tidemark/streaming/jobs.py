@@ -6,6 +6,8 @@ writes is the same when it runs twice.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +16,7 @@ from tidemark.plans.load import load_batch
 from tidemark.plans.marts import funnel_of_sessions
 from tidemark.session import checkpointed
 from tidemark.sources.raw_store import RawStore
-from tidemark.sources.tables import PartitionedTable, SnapshotTable
+from tidemark.sources.tables import PartitionedTable, SnapshotTable, list_names, publish_text
 from tidemark.specs import FUNNEL_LOOKBACK_DAYS, FUNNEL_SCHEMA, SESSION_SCHEMA, TableSpec
 
 
@@ -55,8 +57,11 @@ def _one_row_per_session(rows: DataFrame) -> DataFrame:
     )
 
 
+LATE_SCHEMA = "query_id string, batch_id long, watermark timestamp, late_sessions long"
+
+
 class FunnelTables:
-    """Where the streaming funnel keeps its sessions and its daily counts, both split by day.
+    """Where the streaming funnel keeps its sessions and its daily counts, both split by day, and what it dropped as late.
 
     Days to recount are noted before the sessions change and cleared after the counts did, so a crash between the two
     leaves no day uncounted when the micro-batch runs again.
@@ -67,6 +72,26 @@ class FunnelTables:
         self.sessions = PartitionedTable(spark, f"{root}/sessions", day, SESSION_SCHEMA)
         self.funnel = PartitionedTable(spark, f"{root}/funnel", day, FUNNEL_SCHEMA)
         self.pending = SnapshotTable(spark, f"{root}/pending")
+        self.spark, self.late_path = spark, f"{root}/late"
+
+    def record_late(self, query: StreamingQuery) -> None:
+        """Keep what the query reports to have dropped by its watermark, a file per micro-batch that dropped something.
+
+        Events are grouped before they meet the watermark, so the count is of sessions and days, not of single events. Noting a
+        micro-batch again changes nothing. What a query dropped in a micro-batch whose driver died before noting it is lost.
+        """
+        for p in query.recentProgress:
+            dropped = sum(operator.numRowsDroppedByWatermark for operator in p.stateOperators)
+            path = f"{self.late_path}/query_id={p.id}/batch_id={p.batchId}"
+            if dropped and not list_names(self.spark, f"{path}/row.json"):
+                publish_text(self.spark, f"{path}/row.json", json.dumps({"watermark": p.eventTime["watermark"], "late_sessions": dropped}))
+
+    def late(self) -> DataFrame:
+        """One row per micro-batch that dropped late sessions, with the watermark it dropped them by."""
+        if not list_names(self.spark, f"{self.late_path}/query_id=*/batch_id=*/row.json"):
+            return self.spark.createDataFrame([], LATE_SCHEMA)
+        found = self.spark.read.schema(LATE_SCHEMA).json(self.late_path)
+        return found.select("query_id", "batch_id", "watermark", "late_sessions")
 
     def upsert(self, delta: DataFrame) -> None:
         """Merge the given sessions, then recount the days they were or are on."""
@@ -113,5 +138,24 @@ def stream_sessions(stream: DataFrame, lookback_days: int = FUNNEL_LOOKBACK_DAYS
 def stream_funnel(
     stream: DataFrame, tables: FunnelTables, checkpoint: str, lookback_days: int = FUNNEL_LOOKBACK_DAYS
 ) -> StreamingQuery:
-    sessions = stream_sessions(stream, lookback_days)
-    return _start(sessions, checkpoint, lambda delta, epoch: tables.upsert(delta), "update")
+    """Start the funnel; call ``tables.record_late`` with the query once it has ended, as :func:`run_funnel` does."""
+    sessions, started = stream_sessions(stream, lookback_days), []
+
+    def upsert(delta: DataFrame, epoch: int) -> None:
+        for query in started:  # a query remembers its last hundred micro-batches only, so note them on the way
+            tables.record_late(query)
+        tables.upsert(delta)
+
+    started.append(_start(sessions, checkpoint, upsert, "update"))
+    return started[0]
+
+
+def run_funnel(
+    stream: DataFrame, tables: FunnelTables, checkpoint: str, lookback_days: int = FUNNEL_LOOKBACK_DAYS
+) -> None:
+    """Work off what has landed and note what came too late."""
+    query = stream_funnel(stream, tables, checkpoint, lookback_days)
+    try:
+        query.awaitTermination()
+    finally:
+        tables.record_late(query)
