@@ -15,17 +15,25 @@ from tidemark.plans.load import LoadResult, load_all, utc_now
 from tidemark.plans.suite import declared_tests
 from tidemark.session import run_parallel
 from tidemark.sources.raw_store import RawStore
-from tidemark.sources.tables import PartitionedTable, SnapshotTable
+from tidemark.sources.bucketed import BucketedTable
+from tidemark.sources.tables import SnapshotTable
 from tidemark.specs import FCT_ORDERS_CONTRACT, TABLES
 
 
 BUILD_THREADS = 4
+#: Buckets a month; with too few a month of the fact does not fit the memory of as many tasks.
+ORDER_BUCKETS = 16
 
 
 class DataTestError(RuntimeError):
     """At least one declared data test of severity error found rows."""
 
 
+def orders_table(spark: SparkSession, path: str, buckets: int = ORDER_BUCKETS) -> BucketedTable:
+    """The order fact by month of the order, which never changes, and bucketed by order."""
+    return BucketedTable(spark, path, F.date_format("order_ts", "yyyy-MM"), FCT_ORDERS_CONTRACT, "order_id", buckets)
+
+
 class Warehouse:
     """The stored marts below one root folder."""
 
@@ -36,9 +44,8 @@ class Warehouse:
         return SnapshotTable(self.spark, f"{self.root}/{name}")
 
     @property
-    def fct_orders(self) -> PartitionedTable:
-        month = F.date_format("order_ts", "yyyy-MM")
-        return PartitionedTable(self.spark, f"{self.root}/fct_orders", month, FCT_ORDERS_CONTRACT)
+    def fct_orders(self) -> BucketedTable:
+        return orders_table(self.spark, f"{self.root}/fct_orders")
 
     def build(self, raw: Mapping[str, DataFrame], full_refresh: bool = False) -> dict[str, DataFrame]:
         """Build every model; staging stays lazy, marts are written once and read back by their consumers.

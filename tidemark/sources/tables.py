@@ -126,12 +126,18 @@ class PartitionedTable:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
         return reader.parquet(*paths).drop(self.VERSION)
 
-    def _publish(self, df: DataFrame, keep: dict[str, int]) -> None:
+    def _write(self, df: DataFrame, path: str) -> None:
+        df.write.partitionBy(self.PART).parquet(path)
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        # Rows of one partition meet in few tasks, so each leaves few files; AQE splits the large ones.
+        return df.hint("rebalance", self.PART)
+
+    def _publish(self, df: DataFrame, keep: dict[str, int], spread: bool = True) -> None:
         started = _versions(list_names(self.spark, self._data("*")), 1)
         version = started[-1] + 1 if started else 1
-        # Rows of one partition meet in few tasks, so each leaves few files; AQE splits the large ones.
-        spread = df.withColumn(self.PART, self._part).hint("rebalance", self.PART)
-        spread.write.partitionBy(self.PART).parquet(self._data(version))
+        placed = df.withColumn(self.PART, self._part)
+        self._write(self._spread(placed) if spread else placed, self._data(version))
         written = list_names(self.spark, f"{self._data(version)}/{self.PART}=*")
         parts = keep | {p.rsplit("=", 1)[1]: version for p in written}
         rows = self.spark.createDataFrame(sorted(parts.items()), "part string, version int")

@@ -87,7 +87,7 @@ class FunnelTables:
                 publish_text(self.spark, f"{path}/row.json", json.dumps({"watermark": p.eventTime["watermark"], "late_sessions": dropped}))
 
     def late(self) -> DataFrame:
-        """One row per micro-batch that dropped late sessions, with the watermark it dropped them by."""
+        """One row per micro-batch that dropped late sessions, with the query's watermark then; the cut is the one before it."""
         if not list_names(self.spark, f"{self.late_path}/query_id=*/batch_id=*/row.json"):
             return self.spark.createDataFrame([], LATE_SCHEMA)
         found = self.spark.read.schema(LATE_SCHEMA).json(self.late_path)
