@@ -11,7 +11,7 @@ from conftest import rows
 from odd_docs import make_docs, odd  # noqa: F401
 
 from tidemark.llm.lexical_search import automaton_of, ranked_search, scan
-from tidemark.llm.token_alignment import ByteLevel, Pieces, token_alignment
+from tidemark.llm.token_alignment import ByteLevel, Pieces, Sides, stretches, token_alignment
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -141,6 +141,27 @@ def test_alignment_equals_plain(spark, make_docs, odd):
     assert token_alignment(make_docs(pairs).limit(0), A, B).count() == 0
 
 
+def test_stretches_encode_as_the_whole_text():
+    a, b = ByteLevel(A), Pieces(B)
+    sides = Sides(a, b, most=50)
+    rng = random.Random(1)
+    signs = ["word", "don't", "x,", "é", "東", "\u00a0", "\u3000", "\u2003", "\u200b", "\n", "\t", "", "", "\x00", "\x85", "\x7f", "▁", "ǅ.", "\U0001f600", "\ufeff"]
+    for _ in range(60):
+        texts = [" ".join(rng.choices(signs, k=rng.randrange(1, 12))) for _ in range(rng.randrange(1, 6))]
+        some, per = stretches([t.encode() for t in texts])
+        assert sum(per) == len(some)
+        for side, frame in zip((a, b), sides.encode([t.encode() for t in texts])):
+            for i, t in enumerate(texts):
+                got = frame[frame.doc == i]
+                ids = [side.encode([t])[0] for side in (a, b)] if t else [[], []]
+                whole = (" " + t).encode()
+                same = all(b"".join(s.pieces[x] for x in own) == whole for s, own in zip((a, b), ids))
+                assert got["id"].tolist() == (side.encode([t])[0] if t and same else [])
+                base = sum(len(x.encode()) + 1 for x in texts[:i])
+                assert not len(got) or (got["start"].iloc[0] == base and got["end"].iloc[-1] == base + len(whole))
+    assert len(stretches([b"one two", b"", b"a  b c"])[0]) == 5 and stretches([b"one two", b"", b"a  b c"])[1].tolist() == [2, 1, 2]
+
+
 def test_alignment_of_a_long_text(make_docs):
     text = "A longer text, with words und Wörter. " * 40_000
     got = token_alignment(make_docs([(1, text), (2, None), (3, text)]), A, B).orderBy("doc_id").collect()

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -67,42 +68,111 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
-class Side:
-    """A tokenizer with the byte length of every id and its decimal form before each of two separators."""
+# Bytes beside a blank at which a text is not cut: control characters, and the first bytes of all characters that count as blank somewhere.
+_UNSURE = np.zeros(256, bool)
+_UNSURE[:0x21] = _UNSURE[0x7F] = True
+_UNSURE[[0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
+_CUT = 0xFF  # in no UTF-8 text
 
-    def __init__(self, tokenizer: ByteLevel | Pieces, end: str) -> None:
-        self.encode, self.pieces = tokenizer.encode, tokenizer.pieces
-        self.lengths = np.array([len(p) for p in self.pieces], np.int64)
-        self.written = np.array([f"{i}{mark}" for i in range(len(self.pieces)) for mark in (",", end)], object)
 
-    def spells(self, ids: list[int], whole: bytes) -> bool:
-        return b"".join([self.pieces[i] for i in ids]) == whole
+def stretches(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The texts cut at single blanks between visible characters, and how many stretches each has.
 
-
-_sides: dict[tuple[str, str], tuple[Side, Side]] = {}
-
-
-def _both(byte_level: str, pieces: str) -> tuple[Side, Side]:
+    Tokenizers of both kinds begin a token at such a blank and look at no character before it, so stretches can be encoded apart, each after a blank.
+    """
+    lengths = np.array([len(t) for t in texts], np.int64)
+    low = np.frombuffer(bytes([_CUT]).join(texts) + bytes([_CUT]), np.uint8).copy()
+    ends = np.cumsum(lengths + 1) - 1
+    at = np.flatnonzero(low == 0x20)
+    at = at[(at >= 3) & (low[np.minimum(at + 1, len(low) - 1)] != _CUT)]
+    before = _UNSURE[low[at - 1]] | (low[at - 1] == _CUT)
+    for back in (2, 3):  # where the character before begins, if it has several bytes
+        before |= (low[at - 1] >= 0x80) & _UNSURE[low[at - back]] & (low[at - back] >= 0x80)
+    low[at[~before & ~_UNSURE[low[at + 1]]]] = _CUT
+    per = np.diff(np.searchsorted(np.flatnonzero(low == _CUT), ends, "right"), prepend=0)
+    return low.tobytes().split(bytes([_CUT]))[:-1], per
+
+
+class Sides:
+    """Both tokenizers, with the byte lengths of their ids, and the ids of the stretches seen lately."""
+
+    def __init__(self, a: ByteLevel, b: Pieces, most: int = 400_000) -> None:
+        self.tokenizers, self.most = (a, b), most
+        self.lengths = [np.array([len(p) for p in t.pieces], np.int64) for t in self.tokenizers]
+        # Ids in decimal before a comma, and before what ends a group on that side.
+        self.written = [
+            np.array([f"{i}{mark}" for i in range(len(t.pieces)) for mark in (",", end)], object) for t, end in zip(self.tokenizers, "|;")
+        ]
+        # A piece with a blank behind another character could join two stretches.
+        self.cuts = not any(b" " in p.lstrip(b" ") for p in b.pieces)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.spelt = np.empty(0, bool)
+        self.starts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.ids = [np.empty(0, np.int32), np.empty(0, np.int32)]
+
+    def learn(self, some: list[bytes]) -> np.ndarray:
+        """Numbers of the stretches; their ids are kept, and whether both sides spell a blank and the stretch byte by byte."""
+        got = np.fromiter(map(self.known.get, some, repeat(-1)), np.int64, len(some))
+        fresh = list(dict.fromkeys([some[i] for i in np.flatnonzero(got < 0)]))
+        if fresh:
+            texts, spelt = [x.decode() for x in fresh], np.ones(len(fresh), bool)
+            for side, tokenizer in enumerate(self.tokenizers):
+                ids, pieces = tokenizer.encode(texts), tokenizer.pieces
+                spelt &= [b"".join([pieces[i] for i in own]) == b" " + x for own, x in zip(ids, fresh)]
+                self.ids[side] = np.append(self.ids[side], np.fromiter(chain.from_iterable(ids), np.int32))
+                ends = self.starts[side][-1] + np.cumsum([len(own) for own in ids])
+                self.starts[side] = np.append(self.starts[side], ends)
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+            self.spelt = np.append(self.spelt, spelt)
+            got = np.fromiter(map(self.known.__getitem__, some), np.int64, len(some))
+        return got
+
+    def encode(self, texts: list[bytes]) -> list[pd.DataFrame]:
+        """The tokens of both sides; those of a text that a side does not spell are left out."""
+        if len(self.known) > self.most or len(self.ids[0]) > 8 * self.most:
+            self.forget()
+        some, per = stretches(texts) if self.cuts else (texts, np.ones(len(texts), np.int64))
+        number, doc = self.learn(some), np.repeat(np.arange(len(texts)), per)
+        wrong = np.unique(doc[~self.spelt[number]])
+        if len(wrong):  # the whole text decides
+            whole = self.learn([texts[i] for i in wrong])
+            left = ~np.isin(doc, wrong)
+            number, doc = np.append(number[left], whole[self.spelt[whole]]), np.append(doc[left], wrong[self.spelt[whole]])
+            order = np.argsort(doc, kind="stable")
+            number, doc = number[order], doc[order]
+        filled = np.array([len(t) > 0 for t in texts], bool)[doc]
+        number, doc = number[filled], doc[filled]
+        bases = np.cumsum([0] + [len(t) + 1 for t in texts])
+        return [self._frame(side, number, doc, bases) for side in (0, 1)]
+
+    def _frame(self, side: int, number: np.ndarray, doc: np.ndarray, bases: np.ndarray) -> pd.DataFrame:
+        """Document, first byte, end and id of the tokens; ``bases`` says where each document's bytes begin in the block."""
+        first = self.starts[side][number]
+        count = self.starts[side][number + 1] - first
+        ids = self.ids[side][np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())].astype(np.int64)
+        doc, lengths = np.repeat(doc, count), self.lengths[side][ids]
+        ends = np.cumsum(lengths)
+        here = np.searchsorted(doc, np.arange(len(bases) - 1))  # where each document's tokens begin
+        ends += (bases[:-1] - np.concatenate(([0], ends))[here])[doc]
+        return pd.DataFrame({"doc": doc, "start": ends - lengths, "end": ends, "id": ids, "place": np.arange(len(ids))})
+
+
+_sides: dict[tuple[str, str], Sides] = {}
+
+
+def _both(byte_level: str, pieces: str) -> Sides:
     """The tokenizers of this Python worker, which Spark uses for many tasks."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if (byte_level, pieces) not in _sides:
-        _sides[byte_level, pieces] = Side(ByteLevel(byte_level), "|"), Side(Pieces(pieces), ";")
+        _sides[byte_level, pieces] = Sides(ByteLevel(byte_level), Pieces(pieces))
     return _sides[byte_level, pieces]
 
 
-def _tokens(side: Side, ids: list[list[int]], bases: np.ndarray) -> pd.DataFrame:
-    """Document, first byte, end and id of the tokens; ``bases`` says where each document's bytes begin in the block."""
-    per = [len(x) for x in ids]
-    flat = np.fromiter((i for own in ids for i in own), np.int64, sum(per))
-    ends = np.cumsum(side.lengths[flat]) if len(flat) else flat
-    doc = np.repeat(np.arange(len(ids)), per)
-    shift = bases - np.concatenate(([0], np.cumsum(np.bincount(doc, side.lengths[flat], len(ids)).astype(np.int64))[:-1])) if len(ids) else bases
-    ends = ends + shift[doc]
-    return pd.DataFrame({"doc": doc, "start": ends - side.lengths[flat], "end": ends, "id": flat, "place": np.arange(len(flat))})
-
-
 def covering(tokens: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
     """The place of the other side's token that covers each token's start."""
     return pd.merge_asof(tokens[["doc", "start"]], others[["doc", "start", "place"]], on="start", by="doc")["place"].to_numpy(np.int64)
@@ -118,21 +188,24 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((np.arange(len(a)), over_b[later])), np.concatenate((over_a, places))
 
 
-def aligned(a: pd.DataFrame, b: pd.DataFrame, side_a: Side, side_b: Side, docs: int) -> tuple[np.ndarray, list[str]]:
+def aligned(a: pd.DataFrame, b: pd.DataFrame, written: list[np.ndarray], docs: int) -> tuple[np.ndarray, list[str]]:
     """Groups per document, and the SHA-256 of their written form."""
     end_a, end_b = a["end"].to_numpy(), b["end"].to_numpy()
-    cuts = np.intersect1d(end_a, end_b)
-    group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
-    last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
+    place = np.minimum(np.searchsorted(end_b, end_a), max(len(end_b) - 1, 0))
+    last_a = end_b[place] == end_a if len(end_b) else np.empty(0, bool)
+    last_b = np.zeros(len(end_b), bool)
+    last_b[place[last_a]] = True
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    until_a, until_b = np.flatnonzero(last_a) + 1, np.concatenate(([0], np.flatnonzero(last_b) + 1))
     parts = np.empty(len(a) + len(b), object)
-    parts[np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")] = side_a.written[2 * a["id"].to_numpy() + last_a]
-    parts[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = side_b.written[2 * b["id"].to_numpy() + last_b]
+    parts[np.arange(len(a)) + until_b[group_a]] = written[0][2 * a["id"].to_numpy() + last_a]
+    parts[np.arange(len(b)) + until_a[group_b]] = written[1][2 * b["id"].to_numpy() + last_b]
     edges = np.arange(docs + 1)
     starts = np.searchsorted(a["doc"].to_numpy(), edges) + np.searchsorted(b["doc"].to_numpy(), edges)
     parts = parts.tolist()
-    written = ("".join(parts[first:last])[:-1] for first, last in zip(starts, starts[1:]))
+    texts = ("".join(parts[first:last])[:-1] for first, last in zip(starts, starts[1:]))
     groups = np.bincount(a["doc"].to_numpy()[last_a], minlength=docs)
-    return groups, [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written]
+    return groups, [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
 
 
 _BLOCK = (
@@ -141,18 +214,10 @@ _BLOCK = (
 )
 
 
-def align_block(texts: list[bytes], side_a: Side, side_b: Side) -> dict[str, np.ndarray | list[str]]:
+def align_block(texts: list[bytes], sides: Sides) -> dict[str, np.ndarray | list[str]]:
     """What a block of texts contributes; a text that one side does not spell byte by byte has no tokens."""
-    words = [t.decode() for t in texts]
-    picked = [i for i, t in enumerate(texts) if t]
-    ids = {i: own for i, *own in zip(picked, side_a.encode([words[i] for i in picked]), side_b.encode([words[i] for i in picked]))}
-    for i in picked:
-        whole = b" " + texts[i]
-        if not (side_a.spells(ids[i][0], whole) and side_b.spells(ids[i][1], whole)):
-            del ids[i]
-    bases = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])[:-1])).astype(np.int64) if texts else np.empty(0, np.int64)
-    a, b = (_tokens(side, [ids[i][at] if i in ids else [] for i in range(len(texts))], bases) for at, side in enumerate((side_a, side_b)))
-    groups, digests = aligned(a, b, side_a, side_b, len(texts))
+    a, b = sides.encode(texts)
+    groups, digests = aligned(a, b, sides.written, len(texts))
     place_a, place_b = overlaps(a, b)
     pairs, code = np.unique((a["id"].to_numpy()[place_a] << 32) | b["id"].to_numpy()[place_b], return_inverse=True)
     links, repeats = np.unique(a["doc"].to_numpy()[place_a] * max(len(pairs), 1) + code, return_counts=True)
@@ -182,7 +247,7 @@ def _blocks(byte_level: str, pieces: str, most_bytes: int):
             ids = batch.column("doc_id")
             for first, last, raw, offsets in text_chunks(batch.column("text"), most_bytes):
                 data = raw.tobytes()
-                out = align_block([data[x:y] for x, y in zip(offsets, offsets[1:])], *sides)
+                out = align_block([data[x:y] for x, y in zip(offsets, offsets[1:])], sides)
                 columns = {"block": pa.array([block], pa.int64()), "doc_id": ids.slice(first, last - first)}
                 columns |= {k: pa.array(v, _KINDS.get(k, pa.int64())) for k, v in out.items()}
                 arrays = [v if k == "block" else pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for k, v in columns.items()]
