@@ -8,11 +8,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import wall_clock
-from tidemark.operators.assertions import run_tests
+from tidemark.operators.assertions import RowCounts, run_tests
 from tidemark.operators.drift import enforce_contract
 from tidemark.plans import marts, reconcile, staging
 from tidemark.plans.load import LoadResult, load_all, utc_now
-from tidemark.plans.suite import declared_tests
+from tidemark.plans.suite import declared_tests, row_conditions
 from tidemark.session import run_parallel
 from tidemark.sources.raw_store import RawStore
 from tidemark.sources.bucketed import BucketedTable
@@ -37,15 +37,17 @@ def orders_table(spark: SparkSession, path: str, buckets: int = ORDER_BUCKETS) -
 class Warehouse:
     """The stored marts below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, order_buckets: int = ORDER_BUCKETS):
+        self.spark, self.root, self.order_buckets = spark, root.rstrip("/"), order_buckets
+        #: Violations of row tests by label, counted while the models of the last build were written.
+        self.observed: dict[str, int] = {}
 
     def snapshot(self, name: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/{name}")
 
     @property
     def fct_orders(self) -> BucketedTable:
-        return orders_table(self.spark, f"{self.root}/fct_orders")
+        return orders_table(self.spark, f"{self.root}/fct_orders", self.order_buckets)
 
     def build(self, raw: Mapping[str, DataFrame], full_refresh: bool = False) -> dict[str, DataFrame]:
         """Build every model; staging stays lazy, marts are written once and read back by their consumers.
@@ -65,8 +67,18 @@ class Warehouse:
             results = run_parallel(self.spark, [make for _, make in jobs], BUILD_THREADS)
             m.update((name, df) for (name, _), df in zip(jobs, results))
 
+        self.observed, conditions = {}, row_conditions()
+
+        def write(name: str, df: DataFrame) -> DataFrame:
+            if name not in conditions:
+                return self.snapshot(name).write(df)
+            counts = RowCounts(conditions[name])
+            written = self.snapshot(name).write(counts.attach(df))
+            self.observed.update(counts.get())
+            return written
+
         def table(name: str, make: Callable[[], DataFrame]) -> tuple[str, Callable[[], DataFrame]]:
-            return name, lambda: self.snapshot(name).write(make())
+            return name, lambda: write(name, make())
 
         build(
             table("dim_customers", lambda: marts.dim_customers(m["stg_customers"])),
@@ -137,7 +149,7 @@ def run_cycle(
     recorded = store.dq_results().filter(this_run)
     reconcile.raise_on_fail(recorded)
     models = warehouse.build(raw, full_refresh)
-    return loads, models, run_tests(declared_tests(models))
+    return loads, models, run_tests(declared_tests(models, warehouse.observed))
 
 
 def raise_on_failed_tests(results: DataFrame) -> None:

@@ -53,8 +53,12 @@ def load_table(
     overlap_seconds: int = DEFAULT_OVERLAP_SECONDS,
     now: datetime | None = None,
     batch_id: int | None = None,
+    finished: datetime | None = None,
 ) -> LoadResult:
-    """Load what changed since the watermark. Any error leaves a ``failed`` audit row and nothing else."""
+    """Load what changed since the watermark. Any error leaves a ``failed`` audit row and nothing else.
+
+    ``now`` and ``finished`` are what the audit records as start and end, for replays; by default the clock is read.
+    """
 
     def extract(batch_id: int) -> LoadResult:
         watermark = None if full else store.watermark(spec)
@@ -66,7 +70,7 @@ def load_table(
         return _insert(store, spec, rows, batch_id, watermark, upper, started)
 
     started = now or utc_now()
-    return _attempt(store, spec, source, run_label, started, extract, batch_id)
+    return _attempt(store, spec, source, run_label, started, extract, batch_id, finished)
 
 
 def load_batch(
@@ -84,7 +88,7 @@ def load_batch(
     return _attempt(store, spec, rows, run_label, started, insert)
 
 
-def _attempt(store, spec, source, run_label, started, work, batch_id=None) -> LoadResult:
+def _attempt(store, spec, source, run_label, started, work, batch_id=None, finished=None) -> LoadResult:
     batch_id = batch_id or store.next_batch_id()
     opened = {"run_label": run_label, "started_at": started}
     store.publish(spec, batch_id, RUNNING, **opened)
@@ -94,13 +98,13 @@ def _attempt(store, spec, source, run_label, started, work, batch_id=None) -> Lo
         drift.raise_on_error(found)
         result = work(batch_id)
     except Exception as exc:
-        store.publish(spec, batch_id, FAILED, finished_at=utc_now(), error=str(exc), **opened)
+        store.publish(spec, batch_id, FAILED, finished_at=finished or utc_now(), error=str(exc), **opened)
         raise
     store.publish(
         spec,
         batch_id,
         SUCCESS,
-        finished_at=utc_now(),
+        finished_at=finished or utc_now(),
         watermark_from=result.watermark_from,
         watermark_to=result.watermark_to,
         rows_extracted=result.rows_extracted,
@@ -149,6 +153,7 @@ def load_all(
     full: bool = False,
     overlap_seconds: int = DEFAULT_OVERLAP_SECONDS,
     now: datetime | None = None,
+    finished: datetime | None = None,
 ) -> list[LoadResult]:
     """Load the tables side by side, under batch ids in their order. A table that fails stops no other;
     its error is raised when all have ended."""
@@ -157,7 +162,7 @@ def load_all(
     def job(spec: TableSpec, batch_id: int):
         return lambda: load_table(
             store, spec, sources[spec.name], run_label,
-            full=full, overlap_seconds=overlap_seconds, now=now, batch_id=batch_id,
+            full=full, overlap_seconds=overlap_seconds, now=now, batch_id=batch_id, finished=finished,
         )
 
     return run_parallel(store.spark, [job(s, first + i) for i, s in enumerate(tables)], PARALLEL_LOADS)

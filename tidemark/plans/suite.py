@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from tidemark.operators.assertions import DataTest, is_not_accepted, is_null, not_unique, orphans, row_test
 from tidemark.plans import checks
@@ -50,21 +50,28 @@ RELATIONSHIPS = (
 )
 
 
+def row_conditions() -> dict[str, dict[str, Column]]:
+    """The tests of single rows: by model, label and the condition that breaks the rule."""
+    listed = [(t, f"not_null {t}.{c}", is_null(c)) for t, c in NOT_NULL]
+    listed += [(t, f"accepted_values {t}.{c}", is_not_accepted(c, v)) for t, c, v in ACCEPTED_VALUES]
+    listed += [
+        ("stg_order_items", "no_negative_amounts", checks.is_negative_amount()),
+        ("mart_cohort_retention", "retention_is_a_rate", checks.is_not_a_rate()),
+    ]
+    by_model: dict[str, dict[str, Column]] = {}
+    for model, label, broken in listed:
+        by_model.setdefault(model, {})[label] = broken
+    return by_model
+
+
 def generic_tests(m: Mapping[str, DataFrame]) -> list[DataTest]:
-    return (
-        [DataTest(f"unique {t}.{c}", not_unique(m[t], c)) for t, c in UNIQUE]
-        + [row_test(f"not_null {t}.{c}", m[t], is_null(c)) for t, c in NOT_NULL]
-        + [row_test(f"accepted_values {t}.{c}", m[t], is_not_accepted(c, v)) for t, c, v in ACCEPTED_VALUES]
-        + [
-            DataTest(f"relationships {t}.{c}", orphans(m[t], c, m[p], pc))
-            for t, c, p, pc in RELATIONSHIPS
-        ]
-    )
+    return [DataTest(f"unique {t}.{c}", not_unique(m[t], c)) for t, c in UNIQUE] + [
+        DataTest(f"relationships {t}.{c}", orphans(m[t], c, m[p], pc)) for t, c, p, pc in RELATIONSHIPS
+    ]
 
 
 def rule_tests(m: Mapping[str, DataFrame]) -> list[DataTest]:
     return [
-        row_test("no_negative_amounts", m["stg_order_items"], checks.is_negative_amount()),
         DataTest("order_totals_reconcile", checks.totals_off(m["fct_orders"], m["fct_order_items"])),
         DataTest("daily_channel_matches_orders", checks.daily_channel_off(m["mart_daily_channel"], m["fct_orders"])),
         DataTest("funnel_matches_events", checks.funnel_off(m["stg_web_events"], m["mart_funnel_daily"])),
@@ -73,9 +80,15 @@ def rule_tests(m: Mapping[str, DataFrame]) -> list[DataTest]:
             checks.orders_incomplete(m["stg_orders"], m["stg_order_items"], m["fct_orders"]),
         ),
         DataTest("scd2_is_contiguous", checks.history_broken(m["dim_customers_history"])),
-        row_test("retention_is_a_rate", m["mart_cohort_retention"], checks.is_not_a_rate()),
     ]
 
 
-def declared_tests(models: Mapping[str, DataFrame]) -> list[DataTest]:
-    return generic_tests(models) + rule_tests(models)
+def declared_tests(models: Mapping[str, DataFrame], observed: Mapping[str, int] | None = None) -> list[DataTest]:
+    """All tests over the models; ``observed`` are violations by label that the build has counted."""
+    seen = observed or {}
+    rows = [
+        row_test(label, models[model], broken, observed=seen.get(label))
+        for model, tests in row_conditions().items()
+        for label, broken in tests.items()
+    ]
+    return generic_tests(models) + rows + rule_tests(models)

@@ -18,7 +18,11 @@ from tidemark.sources.tables import PartitionedTable
 
 
 class BucketedTable(PartitionedTable):
-    """For tables in which a key never changes its partition, so the partitions of a delta are all that its merge touches."""
+    """For tables in which a key never changes its partition, so the partitions of a delta are all that its merge touches.
+
+    A merge has as many tasks as there are buckets, and a partition as many files; so pick a number that the largest
+    expected delta and its partitions need.
+    """
 
     def __init__(self, spark: SparkSession, path: str, part: Column, schema: T.StructType, key: str, buckets: int = 16):
         super().__init__(spark, path, part, schema)
@@ -34,7 +38,8 @@ class BucketedTable(PartitionedTable):
             self.spark.sql(f"DROP TABLE IF EXISTS {entry}")
 
     def _spread(self, df: DataFrame) -> DataFrame:
-        return df.repartition(self.buckets, self.key)
+        # A task per partition and bucket, so a full build has as many tasks as the session likes and still one file each.
+        return df.repartition(F.col(self.PART), F.pmod(F.hash(self.key), F.lit(self.buckets)))
 
     def _register(self, parts: dict[str, int]) -> str:
         state = self._parts.version()
