@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import privacy
 from tidemark.llm.licenses import TEMPLATES, anchors, collision_probability, license_matches, plain_shingles, plain_words
-from tidemark.llm.warc import ArcParser, WarcParser, archive_pages, convert_arc, read_warc, revisits, write_arc, write_warc
+from tidemark.llm.warc import ArcParser, CutShort, WarcParser, archive_pages, convert_arc, read_warc, revisits, write_arc, write_warc
 
 
 def plain_licenses(pairs, containment=0.8):
@@ -244,3 +244,61 @@ def test_legacy_records_of_both_versions():
     assert second[1][0]["Checksum"] == "abc" and second[1][0]["Offset"] == "17" and second[1][1] == b"\n\n\n"
     with pytest.raises(ValueError):
         list(ArcParser().feed(b"no header at all\n"))
+
+
+ARC = b"filedesc://a.arc 0.0.0.0 19990101000000 text/plain 74\n1 0 Some Archive\nURL IP-address Archive-date Content-type Archive-length\n\n"
+PAGE = b"HTTP/1.1 200 OK\r\nX-Page-Id: 4\r\n\r\nsame payload\r\n\r\n"
+
+
+def arc_of(*pages):
+    return ARC + b"".join(b"http://u 1.2.3.4 19991231235959 text/html %d\n%s\n" % (len(p), p) for p in pages)
+
+
+def test_records_cut_short_are_errors(spark, tmp_path):
+    whole = arc_of(PAGE, PAGE[:-4])
+    assert len(list(ArcParser().feed(whole))) == 3
+    for cut in (1, 2, 4, 5, 30, 50, 80):
+        parser = ArcParser()
+        list(parser.feed(whole[: -cut]))
+        if cut == 1:  # the line end after the last record
+            parser.finish()
+        else:
+            with pytest.raises(CutShort):
+                parser.finish()
+    path = tmp_path / "cut" / "a.arc.gz"
+    path.parent.mkdir()
+    path.write_bytes(gzip.compress(whole[:-5]))
+    with pytest.raises(Exception, match="a.arc.gz: the last record is cut short"):
+        convert_arc(spark, str(path.parent)).collect()
+    warc = str(tmp_path / "warc")
+    path.write_bytes(gzip.compress(whole))
+    write_warc(convert_arc(spark, str(path.parent)).coalesce(1), revisits(convert_arc(spark, str(path.parent))), warc)
+    [part] = [p for p in glob.glob(f"{warc}/*.gz") if len(gzip.open(p).read())]
+    assert read_warc(spark, warc).count() == 2
+    short = tmp_path / "short"
+    short.mkdir()
+    (short / "b.warc.gz").write_bytes(gzip.compress(gzip.open(part).read()[:-9]))
+    with pytest.raises(Exception, match="b.warc.gz: the last record is cut short"):
+        read_warc(spark, str(short)).collect()
+
+
+def test_archives_of_one_name_do_not_clash(spark, tmp_path):
+    folders = []
+    for name in ("one", "two"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.arc.gz").write_bytes(gzip.compress(arc_of(PAGE, PAGE)))
+        folders.append(str(tmp_path / name))
+    records = convert_arc(spark, folders).coalesce(1)
+    ids = [r.record_id for r in records.collect()]
+    assert len(ids) == 6 == len(set(ids))
+    assert rows(records.filter("type = 'response'"), "page_id", "payload_bytes") == [(4, 16)] * 4
+    again = revisits(records).collect()
+    assert len(again) == 3 and len({r["first"]["record_id"] for r in again}) == 1
+
+
+def test_places_of_many_matches(make_docs):
+    """Strides of matches join without a seam, and a text with very many of them is no hurdle."""
+    texts = {n: " ".join(f"é{i} u{i}@ex.org" for i in range(n)) for n in (0, 1, 255, 256, 257, 1030, 20_000)}
+    got = {r.doc_id: r.base for r in privacy.personal_data(make_docs(list(texts.items()))).select("doc_id", "base").collect()}
+    for n, text in texts.items():
+        assert [(b.start, b.end) for b in got[n]] == [m.span() for m in re.finditer(r"u\d+@ex\.org", text)]

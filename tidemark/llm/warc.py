@@ -2,7 +2,7 @@
 
 An ARC file starts with a version block that declares version 1 or 2 and so the fields of the header lines: five in version 1, ten in
 version 2, always from the URL to the length. Records are cut by their declared lengths, never by content. The converter synthesises what
-WARC has and ARC lacks: record identifiers (from the archive's name and the record's place in it), ISO timestamps, record types, and
+WARC has and ARC lacks: record identifiers (from the archive's path and the record's place in it), ISO timestamps, record types, and
 block and payload digests. Records with equal payloads become one response and revisits of it.
 
 Archives are written with Spark's text writer, whose line separator is the end mark of a record, gzip-compressed, so that they can be
@@ -45,7 +45,7 @@ def sha1_base32(data: bytes) -> str:
 
 
 def record_urn(archive: str, place: int) -> str:
-    """A version 5 style UUID of the archive's name and the record's place in it."""
+    """A version 5 style UUID of the archive's path and the record's place in it."""
     h = bytearray(hashlib.sha1(f"{archive}#{place}".encode()).digest()[:16])
     h[6], h[8] = h[6] & 0x0F | 0x50, h[8] & 0x3F | 0x80
     x = h.hex()
@@ -56,14 +56,16 @@ class Pieces:
     """A byte stream put together from the pieces of one file."""
 
     def __init__(self) -> None:
-        self.data, self.at = bytearray(), 0
+        self.data, self.at, self.fed = bytearray(), 0, False
 
     def feed(self, piece: bytes) -> None:
         if self.at:
             del self.data[: self.at]
             self.at = 0
+        if self.fed:  # whether the separator stands behind the last piece is not known, so it goes before the next
+            self.data += BREAK
         self.data += piece
-        self.data += BREAK
+        self.fed = True
 
     def line_end(self, mark: bytes) -> int:
         return self.data.find(mark, self.at)
@@ -78,6 +80,17 @@ class Pieces:
         return out
 
 
+class CutShort(ValueError):
+    """A file that ends inside a record."""
+
+
+def _finish(pieces: Pieces, header: dict | None) -> None:
+    pieces.skip(b"\r\n")
+    left = len(pieces.data) - pieces.at
+    if header is not None or left:
+        raise CutShort(f"the last record is cut short, {left} bytes of it are there, its header says {header}")
+
+
 def _http_header(block: bytes, name: bytes) -> bytes | None:
     for line in block.split(b"\r\n")[1:]:
         key, _, value = line.partition(b":")
@@ -115,6 +128,10 @@ class ArcParser:
             header, self.header = self.header, None
             yield header, content
 
+    def finish(self) -> None:
+        """Raise when the file ended inside a record."""
+        _finish(self.pieces, self.header)
+
     def _header(self, line: str) -> dict:
         names = ARC_FIELDS[self.version or 1].split()
         values = line.rsplit(" ", len(names) - 1)
@@ -149,20 +166,35 @@ class WarcParser:
             header, self.header = self.header, None
             yield header, block
 
+    def finish(self) -> None:
+        """Raise when the file ended inside a record."""
+        _finish(self.pieces, self.header)
+
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     pieces = spark.read.option("lineSep", BREAK.decode()).text(path)
-    return pieces.select(F.col("_metadata.file_name").alias("file"), F.col("value").cast("binary").alias("value"))
+    return pieces.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
 
 
 def _records(batches: Iterator[pa.RecordBatch], parser: type) -> Iterator[tuple[str, dict, bytes]]:
+    """(file, header, content) of every record; files are told apart by their whole path."""
     file, parse = None, None
+
+    def end() -> None:
+        try:
+            if parse is not None:
+                parse.finish()
+        except CutShort as cut:
+            raise CutShort(f"{file}: {cut}") from None
+
     for batch in batches:
         for name, piece in zip(batch.column("file"), batch.column("value")):
             if name.as_py() != file:
+                end()
                 file, parse = name.as_py(), parser()
             for header, content in parse.feed(piece.as_py()):
                 yield file, header, content
+    end()
 
 
 def _batched(rows: Iterator[tuple], schema: pa.Schema, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -220,10 +252,11 @@ def _write(rows: DataFrame, path: str, separator: str) -> None:
     text.write.option("lineSep", separator).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
-def convert_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+def convert_arc(spark: SparkSession, path: str | list[str], payloads: bool = True) -> DataFrame:
     """The records of ARC archives with what WARC needs. Without ``payloads`` blocks are left out.
 
-    Version blocks become ``warcinfo``, HTTP documents ``response``, others ``resource``.
+    Version blocks become ``warcinfo``, HTTP documents ``response``, others ``resource``. Identifiers come from the whole path of an
+    archive, so archives of one name in several folders do not clash. An archive that ends inside a record is an error that names it.
     """
     ship(spark)
     schema = _arrow(_RECORD)
@@ -288,10 +321,10 @@ def write_warc(records: DataFrame, first: DataFrame, path: str) -> None:
     _write(marked.mapInArrow(run, "value binary"), path, BREAK.decode())
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The response, resource and revisit records of WARC archives; ``intact`` says that all digests fit the bytes read.
 
-    A revisit's payload size and digest are those of the payload that it stands for.
+    A revisit's payload size and digest are those of the payload that it stands for. An archive that ends inside a record is an error.
     """
     ship(spark)
     schema = _arrow(_READ)
