@@ -31,6 +31,18 @@ def test_new_rows_ignores_known_and_repeated_keys(spark):
     assert rows(merge.new_rows(staged, existing, ["id", "month"])) == [(2, "a", 2), (2, "b", 7)]
 
 
+def test_small_batch_filters_the_known_rows_before_they_travel(spark):
+    path = scratch_path(spark, "raw")
+    frame(spark, [(i, "a", i) for i in range(5000)]).write.parquet(path)
+    existing = spark.read.parquet(path)
+    staged = frame(spark, [(1, "a", 99), (7000, "a", 1), (7000, "a", 2), (3, "b", 5)])
+    few, many = merge.new_rows(staged, existing, ["id", "month"], 4), merge.new_rows(staged, existing, ["id", "month"], merge.BROADCAST_KEYS + 1)
+    assert rows(few) == rows(many) == [(3, "b", 5), (7000, "a", 2)]
+    plan = few._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("LeftSemi") == 1 and "BroadcastHashJoin" in plan
+    assert "LeftSemi" not in many._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_incremental_merge_replaces_by_key(spark):
     before = frame(spark, [(1, "a", 1), (2, "a", 2), (2, "b", 3)])
     delta = frame(spark, [(2, "c", 9), (5, "a", 5)])

@@ -36,11 +36,20 @@ def dedupe_batch(staged: DataFrame, key: Sequence[str]) -> DataFrame:
     return latest_version(staged, key, [])
 
 
-def new_rows(staged: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Staged rows whose key is neither in ``existing`` nor repeated inside the batch."""
-    return dedupe_batch(staged, key).join(existing.select(*key), list(key), "left_anti").select(
-        *staged.columns
-    )
+#: A batch of up to so many rows is broadcast by its keys; some tens of megabytes with the keys of the specs.
+BROADCAST_KEYS = 1_000_000
+
+
+def new_rows(staged: DataFrame, existing: DataFrame, key: Sequence[str], staged_rows: int | None = None) -> DataFrame:
+    """Staged rows whose key is neither in ``existing`` nor repeated inside the batch.
+
+    When ``staged_rows`` is known and small, the batch's keys go to the scan of ``existing``, of which then only
+    rows with such a key travel; otherwise its keys are shuffled.
+    """
+    known = existing.select(*key)
+    if staged_rows is not None and staged_rows <= BROADCAST_KEYS:
+        known = known.join(F.broadcast(staged.select(*key)), list(key), "left_semi")
+    return dedupe_batch(staged, key).join(known, list(key), "left_anti").select(*staged.columns)
 
 
 def check_same_columns(target: DataFrame, delta: DataFrame) -> None:

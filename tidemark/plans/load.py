@@ -136,7 +136,7 @@ def _insert(store, spec, rows, batch_id, watermark, upper, loaded_at) -> LoadRes
         if spec.partition_column == version:
             in_range = F.col(MONTH).between(f"{low:%Y-%m}", f"{high:%Y-%m}") | (F.col(MONTH) == DEFAULT_MONTH)
             existing = existing.filter(in_range)
-        fresh = new_rows(staged, existing, spec.raw_key)
+        fresh = new_rows(staged, existing, spec.raw_key, extracted)
         store.write_batch(spec, fresh.withColumn("_loaded_at", wall_clock(loaded_at)), batch_id)
         inserted = store.read_batch(spec, batch_id).count()
         return LoadResult(spec.name, batch_id, extracted, inserted, watermark, upper or newest)
