@@ -9,7 +9,9 @@ from odd_docs import make_docs, odd  # noqa: F401
 
 from tidemark.llm.katz import good_turing, katz_scores, pack, unpack
 from tidemark.llm.quality import drop_poor, fit_ordinal, quality_scores
-from tidemark.llm.toxicity import toxicity_scores
+from tidemark.llm.text_features import SLICE, ngrams, slices
+from tidemark.llm.toxicity import BITS as TOXIC_BITS
+from tidemark.llm.toxicity import SIZES, present, toxicity_scores
 
 
 def corpus(n=400):
@@ -68,6 +70,26 @@ def test_quality_grades(spark, make_docs, odd):  # noqa: F811
     assert quality_scores(table.limit(0), ratings).count() == 0
 
 
+def test_no_ngram_is_lost_or_counted_twice_at_a_border():
+    rng = np.random.default_rng(6)
+    for length in (0, 1, 5, SLICE - 1, SLICE, SLICE + 1, SLICE + 3, 2 * SLICE + 7):
+        raw = rng.integers(97, 123, length).astype(np.uint8)
+        for sizes in ((3,), (2, 3), (1, 2, 3, 4, 5)):
+            got = Counter()
+            for part in slices(raw, max(sizes)):
+                got.update(ngrams(part, sizes, 20).tolist())
+            want = Counter()
+            for n in sizes:  # each n-gram by itself
+                for at in {*range(0, min(9, length - n + 1)), *range(max(0, SLICE - 9), min(SLICE + 9, length - n + 1)), *range(max(0, length - n - 8), length - n + 1)}:
+                    want[int(ngrams(raw[at : at + n], (n,), 20)[0])] += 1
+            assert sum(got.values()) == sum(max(0, length - n + 1) for n in sizes) and all(got[k] >= v for k, v in want.items())
+    raw = np.full(600_000, 46, np.uint8)
+    raw[SLICE - 2 : SLICE + 2] = np.frombuffer(b"xyzw", np.uint8)
+    marks = np.zeros(1 << TOXIC_BITS, bool)
+    found = set(present(raw, marks).tolist())
+    assert {int(x) for x in ngrams(np.frombuffer(b"xyzw", np.uint8), SIZES, TOXIC_BITS)} <= found
+
+
 def test_ordinal_thresholds_stay_ordered():
     rng = np.random.default_rng(1)
     x = rng.random(600)

@@ -27,7 +27,7 @@ FEATURES = _REPEAT + 1
 def features(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Feature indices and values of one text; an empty text has none."""
     counts = np.zeros(2 << BITS, np.int64)
-    for part in slices(raw):
+    for part in slices(raw, 3):
         counts[: 1 << BITS] += np.bincount(ngrams(part, (3,), BITS, LOWER), minlength=1 << BITS)
         counts[1 << BITS :] += np.bincount(ngrams(part, (2, 3), BITS, CLASSES, 500), minlength=1 << BITS)
     index = np.flatnonzero(counts)

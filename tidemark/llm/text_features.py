@@ -20,8 +20,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+#: Starts of n-grams in a slice of a long text.
+SLICE = 1 << 18
+
+
 def ngrams(raw: np.ndarray, sizes: tuple[int, ...], bits: int, table: np.ndarray = LOWER, salt: int = 0) -> np.ndarray:
-    """Hashed bucket of every byte n-gram of the text as the table maps it, all sizes one after the other."""
+    """Hashed bucket of every byte n-gram of a slice as the table maps it, all sizes one after the other; those that start beyond it are left out."""
     mapped = table[raw].astype(np.uint64)
     out, rolling = [], np.zeros(len(mapped), np.uint64)
     for n in range(1, max(sizes) + 1):
@@ -29,7 +33,7 @@ def ngrams(raw: np.ndarray, sizes: tuple[int, ...], bits: int, table: np.ndarray
             break
         rolling = rolling[: len(mapped) - n + 1] * np.uint64(0x100000001B3) + mapped[n - 1 :] + np.uint64(1)
         if n in sizes:
-            out.append((mix(rolling + np.uint64(n * 1000 + salt)) >> np.uint64(64 - bits)).astype(np.int32))
+            out.append((mix(rolling + np.uint64(n * 1000 + salt)) >> np.uint64(64 - bits)).astype(np.int32)[:SLICE])
     return np.concatenate(out) if out else np.empty(0, np.int32)
 
 
@@ -40,10 +44,13 @@ def texts(column: pa.Array) -> Iterator[np.ndarray]:
             yield raw[offsets[i] : offsets[i + 1]]
 
 
-def slices(raw: np.ndarray, most: int = 1 << 18) -> Iterator[np.ndarray]:
-    """A long text in bounded slices, so that the memory for its features is bounded too."""
-    for at in range(0, max(1, len(raw)), most):
-        yield raw[at : at + most]
+def slices(raw: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """A long text in slices, so that the memory for its features is bounded too.
+
+    Every slice goes on into the next one as far as an n-gram of ``longest`` bytes may reach, so none is lost at a border.
+    """
+    for at in range(0, max(1, len(raw)), SLICE):
+        yield raw[at : at + SLICE + longest - 1]
 
 
 def repeats(raw: np.ndarray) -> tuple[int, int]:

@@ -24,7 +24,7 @@ BITS = 18
 
 def present(raw: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """The n-gram buckets that occur in the text; ``marks`` is a cleared table that is left cleared."""
-    for part in slices(raw):
+    for part in slices(raw, max(SIZES)):
         marks[ngrams(part, SIZES, BITS)] = True
     found = np.flatnonzero(marks)
     marks[found] = False
