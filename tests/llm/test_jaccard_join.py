@@ -5,7 +5,7 @@ import numpy as np
 from conftest import rows
 from odd_docs import make_docs, odd  # noqa: F401
 
-from tidemark.llm.jaccard_join import Group, jaccard_join, prefix_length
+from tidemark.llm.jaccard_join import Group, jaccard_join, prefix_length, shared_first
 
 
 def sets_of(text, size=4):
@@ -59,7 +59,9 @@ def test_join_equals_plain(make_docs, odd):
     assert len({r[2] for r in want}) < len(want) - 150
     assert rows(jaccard_join(make_docs(pairs)), *columns) == want
     # Small groups, hot groups that answer in many parts.
-    assert rows(jaccard_join(make_docs(pairs), group_shingles=400, query_shingles=300), *columns) == want
+    assert rows(jaccard_join(make_docs(pairs), group_classes=5, group_shingles=2000, query_shingles=300), *columns) == want
+    # Many slices, and buckets that count as hot.
+    assert rows(jaccard_join(make_docs(pairs), slice_shingles=100, hot_rows=20), *columns) == want
 
 
 def test_thresholds_and_sizes(make_docs):
@@ -71,15 +73,18 @@ def test_thresholds_and_sizes(make_docs):
     assert jaccard_join(make_docs(texts).limit(0)).count() == 0
 
 
-def test_prefixes_of_linked_sets_meet():
-    rng = np.random.default_rng(3)
-    for _ in range(300):
-        n = int(rng.integers(2, 80))
-        a = np.sort(rng.choice(1000, n, replace=False))
-        b = np.unique(np.concatenate((rng.choice(a, n - n // 12, replace=False), rng.choice(1000, n // 12))))
+def test_prefixes_of_linked_sets_share_enough():
+    rng, linked = np.random.default_rng(3), 0
+    for _ in range(400):
+        n = int(rng.integers(2, 200))
+        a = np.sort(rng.choice(2000, n, replace=False))
+        b = np.unique(np.concatenate((rng.choice(a, n - n // 12, replace=False), rng.choice(2000, n // 12))))
         both = len(np.intersect1d(a, b))
         if 100 * both >= 85 * (len(a) + len(b) - both):
-            assert set(a[: prefix_length(len(a), 85)]) & set(b[: prefix_length(len(b), 85)])
+            linked += 1
+            common = set(a[: prefix_length(len(a), 85)]) & set(b[: prefix_length(len(b), 85)])
+            assert len(common) >= min(shared_first(len(a)), shared_first(len(b))) >= shared_first(-(-85 * len(a) // 100))
+    assert linked > 100
 
 
 def test_group_answers_as_set_intersection():

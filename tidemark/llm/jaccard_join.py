@@ -1,26 +1,28 @@
 """N-gram Jaccard join over a token-group matrix.
 
-Documents with equal shingle sets are one class. Shingles have one global order, rare ones first; two sets at the threshold share a shingle
-among the first few of each, the prefix. Only classes that share such a shingle with another class go on. They are sorted by
-minimum hashes, so that similar ones lie side by side, and cut into groups of at most 64 classes and a bounded number of shingles.
-
-The matrix holds a row per group: the union of its members' shingles and, for every shingle of it, the members that have it as 64 bits. A query first counts
-its shingles in the union, an upper bound of its overlap with every member. Only when the bound reaches the threshold is the group opened: the
-bits give the exact overlap with all members at once.
-
-Queries meet groups on prefix shingles in three rounds. Members are queries of their own group, which cuts it into cells of linked classes. Then one
-class per cell asks the first group of each of its shingles, which joins what large groups of near copies have in common.
-Last, every class asks the groups that share a prefix shingle and hold a class of a larger component than its own. A pair that is left out
+Documents with equal shingle sets are one class. Shingles have one global order, rare ones first. Two sets at the threshold share at least
+``least_shared`` of the first shingles of each, their prefixes. Tasks send the prefixes packed, by slices of the hash space; what comes back
+are the shingles that several sets have in their prefix. Only classes with enough of those go on. They are sorted by
+minimum hashes, so that similar ones lie side by side, and cut into groups of a bounded number of classes and shingles.
+
+The matrix holds a row for every 64 members of a group: the union of their shingles and, for every shingle of it, the members that have it as 64 bits. A
+query first counts its shingles in the union, an upper bound of its overlap with every member. Only when the bound reaches the threshold is the row opened:
+the bits give the exact overlap with all members at once.
+
+Queries meet groups with which they share enough prefix shingles, in three rounds. Members are queries of their own group, which cuts it into cells
+of linked classes. Then one class per cell asks the first group of each of its shingles, which joins what large groups of near copies have in common.
+Last, every class asks the groups that hold a class of a larger component than its own. A pair that is left out
 is already connected, so components are exact, and the work on a hot group of near copies is not quadratic in it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship, stored
@@ -32,6 +34,8 @@ _BUCKET_BITS = 20
 _SLICES = 64
 _MEMBERS = 64
 _BIG = 1 << 16
+#: Up to so many groups (16 bytes a class) are broadcast to pick the texts of their members; beyond, texts are shuffled.
+_BROADCAST_CLASSES = 1_000_000
 
 
 def _bucket(shingles: np.ndarray) -> np.ndarray:
@@ -80,57 +84,142 @@ def frequency_levels(plain: DataFrame, size: int) -> np.ndarray:
     return np.frombuffer(b"".join(r["levels"] for r in rows), np.uint8) if rows else np.zeros(1 << _BUCKET_BITS, np.uint8)
 
 
+def shared_first(n: int) -> int:
+    """How many prefix shingles a set of n asks for: a twentieth, which costs few shingles and excludes sets that share a passage only."""
+    return max(1, n // 20)
+
+
 def prefix_length(n: int, percent: int) -> int:
-    """So many of the first shingles of a set meet the first ones of every set at the threshold."""
-    return n - -(-percent * n // 100) + 1
+    """So many of the first shingles of two sets at the threshold have ``shared_first`` of the smaller set in common."""
+    return min(n, n - -(-percent * n // 100) + shared_first(n))
+
 
+def _least_shared(n: Column, percent: int) -> Column:
+    """What a set of n shingles shares at least with the prefix of any set at the threshold."""
+    smallest = F.ceil(percent * n / F.lit(100))
+    return F.greatest(F.lit(1), F.floor(smallest / 20)).cast("long")
 
-_NARROW = "doc_id long, n_shingles long, set_a long, set_b long, near_a long, near_b long, prefix array<long>"
 
+_NARROW = "doc_id long, n_shingles long, set_a long, set_b long, near_a long, near_b long"
 
-def _narrow(levels, percent: int, size: int):
+
+def _narrow(size: int):
     seeds = np.random.default_rng(11).integers(1 << 32, 1 << 63, 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = levels.value
         for batch in batches:
-            rows, prefixes = [], []
+            rows = []
             for shingles in shingle_sets(batch.column("text"), size):
                 n, mixed = len(shingles), mix(shingles)
                 least = [int(((mixed * s) >> np.uint64(32)).min()) if n else 0 for s in seeds]
                 rows.append((n, mixed.sum(dtype=np.uint64), mix(mixed).sum(dtype=np.uint64), least[0] << 32 | least[1], least[2] << 32 | least[3]))
-                first = np.argsort(level[_bucket(shingles)], kind="stable")[: prefix_length(n, percent)] if n else []
-                prefixes.append(shingles[first])
-            ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.empty(0, np.int64)
             numbers = np.array(rows, np.uint64).reshape(-1, 5).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(numbers[:, i]) for i in range(5)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                [f.split()[0] for f in _NARROW.split(", ")],
-            )
+            columns = [batch.column("doc_id"), *(pa.array(numbers[:, i]) for i in range(5))]
+            yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _NARROW.split(", ")])
 
     return run
 
 
-def _cut(most_shingles: int):
-    """Number the rows of a sorted partition by groups of bounded size."""
+_PACKED = "slice int, sets binary, counts binary, codes binary"
+
+
+def _prefixes(levels, hot_level: int, bits: int, percent: int, size: int):
+    """The prefixes of the task's sets in ``2**bits`` slices: 32 bits of each shingle, after its set and how many it has there.
+
+    A set that a megabyte of text repeats is sent once. Shingles of hot buckets go with the task instead of with the slice.
+    """
+
+    def pack(key: int, sets: np.ndarray, row: np.ndarray, codes: np.ndarray, kind: str) -> tuple:
+        own, counts = np.unique(row, return_counts=True)
+        return key, sets[own].tobytes(), counts.astype("<u4").tobytes(), codes.astype(kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        group, members, held = TaskContext.get().partitionId() << 40, 0, 0
+        level, task = levels.value, TaskContext.get().partitionId()
+        names = [f.split()[0] for f in _PACKED.split(", ")]
         for batch in batches:
-            groups = []
-            for n in batch.column("n_shingles").to_pylist():
-                if members == _MEMBERS or (members and held + n > most_shingles):
-                    group, members, held = group + 1, 0, 0
-                members, held = members + 1, held + n
-                groups.append(group)
-            yield pa.RecordBatch.from_arrays([batch.column("class_id"), pa.array(groups, pa.int64())], ["class_id", "grp"])
+            for some in _runs(shingle_sets(batch.column("text"), size)):
+                sets, parts, heat = [], [], []
+                for key, shingles in {int(mix(s).sum(dtype=np.uint64)): s for s in some if len(s)}.items():
+                    own = level[_bucket(shingles)]
+                    first = np.argsort(own, kind="stable")[: prefix_length(len(shingles), percent)]
+                    sets.append(key)
+                    parts.append(shingles[first])
+                    heat.append(own[first] >= hot_level)
+                if not sets:
+                    continue
+                keys, row = np.array(sets, np.uint64), np.repeat(np.arange(len(sets)), [len(p) for p in parts])
+                code, hot = np.concatenate(parts) >> np.uint64(32 - bits), np.concatenate(heat)
+                where = (code >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(np.where(hot, -1, where), kind="stable")
+                order = order[np.count_nonzero(hot) :]
+                ends = np.searchsorted(where[order], np.arange((1 << bits) + 1))
+                out = [pack(-1 - task, keys, row[hot], code[hot], "<u8")] if hot.any() else []
+                out += [
+                    pack(i, keys, row[order[x:y]], code[order[x:y]] & np.uint64(0xFFFFFFFF), "<u4")
+                    for i, (x, y) in enumerate(zip(ends, ends[1:])) if y > x
+                ]
+                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     return run
 
 
+def _runs(sets: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Sets in lists of a bounded number of shingles, or of one set."""
+    some, held = [], 0
+    for s in sets:
+        some.append(s)
+        held += len(s)
+        if held > 1 << 18:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
+def _met(group: pa.Table) -> pa.Table:
+    """(token, set) of the shingles that at least two sets of the slice have; of a task's hot ones, all."""
+    slice_ = group.column("slice")[0].as_py()
+    sets, counts, codes = (b"".join(group.column(c).to_pylist()) for c in ("sets", "counts", "codes"))
+    owner = np.repeat(np.frombuffer(sets, np.int64), np.frombuffer(counts, "<u4"))
+    code = np.frombuffer(codes, "<u8" if slice_ < 0 else "<u4").astype(np.int64)
+    order = np.lexsort((owner, code))
+    code, owner = code[order], owner[order]
+    fresh = np.ones(len(code), bool)
+    fresh[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
+    code, owner = code[fresh], owner[fresh]
+    if slice_ >= 0:
+        same = code[1:] == code[:-1]
+        several = np.append(same, False) | np.append(False, same)[: len(code)]
+        code, owner = code[several] | (slice_ << 32), owner[several]
+    return pa.table({"token": pa.array(code, pa.int64()), "set_a": pa.array(owner, pa.int64())})
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the rows of a sorted partition, and sum the shingles before each."""
+    from pyspark import TaskContext
+
+    part, rows, held = TaskContext.get().partitionId(), 0, 0
+    for batch in batches:
+        n = batch.column("n_shingles").to_numpy()
+        columns = [np.full(len(n), part), np.arange(rows, rows + len(n)), held + np.cumsum(n) - n]
+        rows, held = rows + len(n), held + int(n.sum())
+        yield pa.RecordBatch.from_arrays([batch.column("class_id"), batch.column("n_shingles"), *map(pa.array, columns)], ["class_id", "n_shingles", "part", "place", "before"])
+
+
+def _cut(ranged: DataFrame, most_classes: int, most_shingles: int) -> DataFrame:
+    """(class_id, grp): the rows in their order, cut whenever so many classes or shingles are full. Groups cross partitions."""
+    placed = stored(ranged.mapInArrow(_places, "class_id long, n_shingles long, part long, place long, before long"), "places")
+    ends = placed.groupBy(F.col("part").alias("of")).agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles"))
+    earlier = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    starts = ends.select("of", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("rows", "shingles")))
+    by_rows, by_size = F.floor((F.col("rows") + F.col("place")) / most_classes), F.floor((F.col("shingles") + F.col("before")) / most_shingles)
+    # Both only grow along the order, so their sum changes wherever one of them does.
+    return placed.join(starts, F.col("part") == F.col("of")).select("class_id", (by_rows + by_size).cast("long").alias("grp"))
+
+
 def _sets_of(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,14 +279,16 @@ def _matrix(percent: int):
     def run(group: pa.Table) -> pa.Table:
         ids, sets = group.column("class_id").to_numpy(), _lists(group.column("shingles"))
         out = {name: [] for name in ("grp", "ids", "sizes", "cells", "shingles", "bits")}
-        for at in range(0, len(ids), _MEMBERS):  # one chunk, unless ids repeat with different texts
-            own, rows = ids[at : at + _MEMBERS], sets[at : at + _MEMBERS]
-            made, cell = Group.of(rows), np.arange(len(own))
-            for i, query in enumerate(rows):
-                for j in made.links(query, percent):
-                    cell[cell == cell[j]] = cell[i]
-            least = [min(own[cell == c].tolist()) for c in cell]
-            values = (group.column("grp")[0].as_py(), own, made.sizes, least, made.union, made.bits.view(np.int64))
+        starts = range(0, len(ids), _MEMBERS)
+        made, cell = [Group.of(sets[at : at + _MEMBERS]) for at in starts], np.arange(len(ids))
+        for i, query in enumerate(sets):
+            for at, chunk in zip(starts[i // _MEMBERS :], made[i // _MEMBERS :]):  # earlier ones have asked this one
+                for j in chunk.links(query, percent):
+                    cell[cell == cell[at + j]] = cell[i]
+        least = np.array([ids[cell == c].min() for c in cell])
+        for at, chunk in zip(starts, made):
+            own = slice(at, at + _MEMBERS)
+            values = (group.column("grp")[0].as_py(), ids[own], chunk.sizes, least[own], chunk.union, chunk.bits.view(np.int64))
             for name, value in zip(out, values):
                 out[name].append(value)
         kinds = {name: pa.int64() if name == "grp" else pa.list_(pa.int64()) for name in out}
@@ -237,14 +328,37 @@ def _ask(queries: DataFrame, sets: DataFrame, matrix: DataFrame, percent: int, m
     return stored(both.applyInArrow(_answer(percent), "a long, b long"), "group-links")
 
 
+def _shared_prefixes(plain, classes, narrow, percent: int, size: int, slice_shingles: int, hot_rows: int) -> DataFrame:
+    """(token, class_id, n_shingles) of the prefix shingles of classes that share enough of theirs with other classes."""
+    spark = plain.sparkSession
+    total = narrow.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    bits = max(0, math.ceil(math.log2(max(1, total * (105 - percent) / 100 / slice_shingles))))
+    hot_level = 4 * math.log2(1 + max(hot_rows, 16 * total / (1 << _BUCKET_BITS)))
+    levels = spark.sparkContext.broadcast(frequency_levels(plain, size))
+    packed = plain.mapInArrow(_prefixes(levels, math.ceil(hot_level), min(bits, 31), percent, size), _PACKED)
+    met = packed.groupBy("slice").applyInArrow(_met, "token long, set_a long").distinct()
+    keys = classes.select(F.col("set_a").alias("of"), "class_id", "n_shingles")
+    opened = stored(met.join(keys, F.col("set_a") == F.col("of")).select("token", "class_id", "n_shingles"), "shared-prefixes")
+    for _ in range(2):  # what is held by one class only, once others are out, counts no more
+        enough = opened.groupBy("class_id", "n_shingles").agg(F.count(F.lit(1)).alias("held"))
+        enough = enough.filter(F.col("held") >= _least_shared(F.col("n_shingles"), percent)).select(F.col("class_id").alias("of"))
+        left = opened.join(enough.distinct(), F.col("class_id") == F.col("of"), "left_semi")
+        several = left.groupBy(F.col("token").alias("by")).agg(F.min("class_id").alias("x"), F.max("class_id").alias("y")).filter("x < y")
+        opened = stored(left.join(several.select("by"), F.col("token") == F.col("by"), "left_semi"), "shared-prefixes")
+    return opened
+
+
 def jaccard_join(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     percent: int = 85,
     size: int = 4,
-    group_shingles: int = 300_000,
+    group_classes: int = 512,
+    group_shingles: int = 1_000_000,
     query_shingles: int = 2_000_000,
+    slice_shingles: int = 4_000_000,
+    hot_rows: int = 200_000,
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id.
 
@@ -257,20 +371,19 @@ def jaccard_join(
     spark = docs.sparkSession
     ship(spark)
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    levels = spark.sparkContext.broadcast(frequency_levels(plain, size))
-    narrow = stored(plain.mapInArrow(_narrow(levels, percent, size), _NARROW), "prefixes")
+    narrow = stored(plain.mapInArrow(_narrow(size), _NARROW), "shingle-sets")
     filled = narrow.filter("n_shingles > 0 and doc_id is not null")
-    first = [F.first(c).alias(c) for c in ("n_shingles", "near_a", "near_b", "prefix")]
+    first = [F.first(c).alias(c) for c in ("n_shingles", "near_a", "near_b")]
     classes = stored(filled.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("class_id"), *first), "classes")
+    opened = _shared_prefixes(plain.filter("doc_id is not null"), classes, narrow, percent, size, slice_shingles, hot_rows)
 
-    keyed = classes.select("class_id", "n_shingles", F.explode("prefix").alias("token"))
-    met = keyed.groupBy(F.col("token").alias("met")).agg(F.min("class_id").alias("x"), F.max("class_id").alias("y")).filter("x < y").select("met")
-    opened = stored(keyed.join(met, F.col("token") == F.col("met")).select("token", "class_id", "n_shingles"), "shared-prefixes")
     active = opened.select("class_id").distinct()
     order = ["near_a", "near_b", "class_id"]
     ranged = classes.join(active, "class_id", "left_semi").groupBy("class_id").agg(*(F.max(c).alias(c) for c in ("near_a", "near_b", "n_shingles")))
     ranged = ranged.repartitionByRange(*order).sortWithinPartitions(*order).select("class_id", "n_shingles")
-    groups = stored(ranged.mapInArrow(_cut(group_shingles), "class_id long, grp long"), "groups")
+    groups = stored(_cut(ranged, group_classes, group_shingles), "groups")
+    if groups.count() <= _BROADCAST_CLASSES:
+        groups = F.broadcast(groups)
     texts = plain.join(groups, F.col("doc_id") == F.col("class_id")).select("class_id", "grp", "text")
     sets = texts.mapInArrow(_sets_of(size), "class_id long, grp long, shingles array<long>").filter(F.size("shingles") > 0)
     sets = stored(sets, "member-sets")
@@ -298,6 +411,8 @@ def jaccard_join(
     )
     fits = (100 * F.col("high") >= percent * F.col("n_shingles")) & (percent * F.col("low") <= 100 * F.col("n_shingles"))
     meets = open_again.join(held, (F.col("token") == F.col("by")) & (F.col("grp") != F.col("asked")) & (F.col("rank") < F.col("top")) & fits)
+    meets = meets.groupBy("class_id", "n_shingles", "asked").agg(F.count(F.lit(1)).alias("common"))
+    meets = meets.filter(F.col("common") >= _least_shared(F.col("n_shingles"), percent))
     last = _ask(meets.select("class_id", F.col("asked").alias("grp")).distinct(), sets, matrix, percent, query_shingles)
 
     sides = [F.min("set_a").alias("a"), F.max("set_a").alias("b"), F.min("set_b").alias("c"), F.max("set_b").alias("d")]
