@@ -29,19 +29,44 @@ BROADCAST_ROWS = 200_000
 _NO_TERM = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
 
+_STRIDE = 256
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; inside a lambda an expression is computed anew for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _places(text: Column, pattern: str) -> Column:
-    """Start, end and text of the leftmost non-overlapping matches, from the texts between them."""
+    """Start, end and text of the leftmost non-overlapping matches, from the texts between them.
+
+    An array that grows in an ``aggregate`` is copied at every step, so the running place is kept over strides of matches and, inside a
+    stride, over its few matches.
+    """
     between, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.lit(None).cast("array<struct<start:int,end:int,match:string>>")
-    start = F.struct(F.lit(0).alias("at"), F.coalesce(empty, F.array()).alias("out"))
+    pairs = F.zip_with(F.slice(between, 1, F.size(matches)), matches, lambda b, m: F.struct(F.char_length(b).alias("gap"), m.alias("m")))
+    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
 
-    def add(acc: Column, pair: Column) -> Column:
-        first = acc["at"] + F.char_length(pair["b"])
-        last = first + F.char_length(pair["m"])
-        return F.struct(last.alias("at"), F.concat(acc["out"], F.array(F.struct(first.alias("start"), last.alias("end"), pair["m"].alias("match")))).alias("out"))
+    def strides(own: Column) -> Column:
+        count = F.floor((F.size(own) - 1) / _STRIDE).cast("int")
+        return F.transform(F.sequence(F.lit(0), count), lambda i: F.slice(own, i * _STRIDE + 1, F.lit(_STRIDE)))
 
-    pairs = F.zip_with(F.slice(between, 1, F.size(matches)), matches, lambda b, m: F.struct(b.alias("b"), m.alias("m")))
-    return F.aggregate(pairs, start, add, lambda acc: acc["out"])
+    def length(own: Column) -> Column:
+        return F.aggregate(own, F.lit(0), lambda n, p: n + p["gap"] + F.char_length(p["m"]))
+
+    def begin(acc: Column, own: Column) -> Column:
+        here = F.struct(acc["at"].alias("at"), own.alias("own"))
+        return F.struct((acc["at"] + length(own)).alias("at"), F.concat(acc["out"], F.array(here)).alias("out"))
+
+    def add(acc: Column, p: Column) -> Column:
+        first = acc["at"] + p["gap"]
+        last = first + F.char_length(p["m"])
+        return F.struct(last.alias("at"), F.concat(acc["out"], F.array(F.struct(first.alias("start"), last.alias("end"), p["m"].alias("match")))).alias("out"))
+
+    no_stride = F.array().cast("array<struct<at:int,own:array<struct<gap:int,m:string>>>>")
+    begun = F.aggregate(_let(pairs, strides), F.struct(F.lit(0).alias("at"), no_stride.alias("out")), begin, lambda acc: acc["out"])
+    placed = F.transform(begun, lambda s: F.aggregate(s["own"], F.struct(s["at"].alias("at"), none.alias("out")), add, lambda acc: acc["out"]))
+    return F.when(F.size(matches) > 0, F.flatten(placed)).otherwise(none)
 
 
 def _digits(match: Column) -> Column:
@@ -118,17 +143,25 @@ def disclosing_terms(base: DataFrame, support: int, disclosure: float) -> DataFr
     entities = owners.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity")).filter(F.col("df_entity") >= support)
     entities = stored(entities, "entities")
     shared = owners.join(entities.select("entity"), "entity", "left_semi").groupBy(F.col("row").alias("r")).agg(F.collect_list("entity").alias("entities"))
-    learned = private.join(shared, F.col("row") == F.col("r")).select("entities", _outside(F.col("text"), F.col("base")).alias("terms"))
+    learned = private.join(_small(stored(shared, "shared-entities")), F.col("row") == F.col("r")).select("entities", _outside(F.col("text"), F.col("base")).alias("terms"))
+    learned = stored(learned, "learned-terms")
     # Counted per task first, here and below: what is shuffled is a row per task and distinct pair or term.
     pairs = learned.select("terms", F.explode("entities").alias("entity")).select("entity", F.explode("terms").alias("term"))
     pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
-    pairs = stored(pairs.join(entities, "entity"), "term-pairs")
-    terms = base.select(F.explode(F.array_distinct(F.transform(_terms(F.col("text")), F.lower))).alias("word"))
-    wanted = pairs.select("term").distinct()
-    frequency = terms.groupBy("word").agg(F.count(F.lit(1)).alias("df_term")).join(wanted, F.col("word") == F.col("term"), "left_semi")
-    pmi = F.log2(F.lit(float(total)) * F.col("both") / (F.col("df_term") * F.col("df_entity")))
     information = F.log2(F.lit(float(total)) / F.col("df_entity"))
-    ratio = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
+
+    def ratio_at(df_term: str) -> Column:
+        pmi = F.log2(F.lit(float(total)) * F.col("both") / (F.col(df_term) * F.col("df_entity")))
+        return F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
+
+    # A term stands in at least as many documents as in those with a shared entity. Pairs that fall short even so are out before the corpus is counted.
+    least = learned.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_least"))
+    pairs = pairs.join(entities, "entity").join(least, "term").filter(ratio_at("df_least") >= disclosure)
+    pairs = stored(pairs.drop("df_least"), "term-pairs")
+    wanted = stored(pairs.select("term").distinct(), "wanted-terms")
+    terms = base.select(F.explode(F.array_distinct(F.transform(_terms(F.col("text")), F.lower))).alias("word"))
+    frequency = terms.join(_small(wanted), F.col("word") == F.col("term"), "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("df_term"))
+    ratio = ratio_at("df_term")
     return pairs.join(frequency, F.col("term") == F.col("word")).select("entity", "term", ratio.alias("ratio")).filter(F.col("ratio") >= disclosure)
 
 
@@ -161,8 +194,8 @@ def personal_data(
     hits = written.join(_small(reveals), F.lower("written") == F.col("t"))
     hits = hits.groupBy(F.col("row").alias("r")).agg(F.map_from_entries(F.collect_list(F.struct("written", "ratio"))).alias("ratios"))
     hits = stored(hits, "documents-with-terms")
-    # Only the texts with a hit travel.
-    texts = base.join(_small(hits.select("r")), F.col("row") == F.col("r"), "left_semi").join(hits, F.col("row") == F.col("r"))
+    # No text travels while the rows with a hit are few; otherwise only the texts with one do.
+    texts = base.join(_small(hits), F.col("row") == F.col("r"))
     any_of = F.concat(F.lit(rf"(?<![^{_NO_TERM}])(?:"), F.array_join(F.map_keys("ratios"), "|"), F.lit(rf")(?![^{_NO_TERM}])"))
     free = F.filter(_places(F.col("text"), any_of), lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
     terms = F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.col("ratios")[m["match"]].alias("ratio")))
