@@ -7,7 +7,9 @@ from conftest import rows
 from pyspark.sql import functions as F, types as T
 
 from tidemark.operators import drift
-from tidemark.plans.load import load_all, load_batch, load_table
+from tidemark.operators.merge import extract_range
+from tidemark.operators.versions import latest_version
+from tidemark.plans.load import LogSource, load_all, load_batch, load_table
 from tidemark.session import scratch_path
 from tidemark.sources.raw_store import RawStore, load_status, watermarks
 from tidemark.sources.tables import list_names
@@ -48,6 +50,19 @@ def test_incremental_versions_and_idempotence(spark, store):
     assert (full.rows_extracted, full.rows_inserted) == (2, 0)
 
 
+def test_a_log_is_cut_to_the_range_before_its_newest_versions_are_picked(spark, store):
+    log = orders(spark, (1, "pending", T1), (1, "completed", T3), (2, "pending", T1), (3, "pending", T2), (3, "refunded", T2), (4, "pending", None))
+    source = LogSource(log, lambda df: latest_version(df, ["order_id"], ["updated_at"]))
+    for bounds in ((T3,), (T3, T2), (T3, T2, 3600 * 12), (T3, T1, 0)):
+        assert rows(source.extract("updated_at", *bounds)) == rows(extract_range(source.rows, "updated_at", *bounds))
+    plan = source.extract("updated_at", T3, T2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "updated_at" in plan[plan.index("Aggregate"):].split("Filter", 1)[1].splitlines()[0]
+    upper = source.changed(lambda df: df.withColumn("status", F.upper("status")))
+    first = load_table(store, ORDERS, upper)
+    assert (first.rows_extracted, first.rows_inserted, first.watermark_to) == (3, 3, T3)
+    assert rows(store.read_raw(ORDERS), "order_id", "status") == [(1, "COMPLETED"), (2, "PENDING"), (3, "REFUNDED")]
+
+
 def test_change_without_new_cursor_is_a_duplicate(spark, store):
     load_table(store, ORDERS, orders(spark, (1, "pending", T1)))
     result = load_table(store, ORDERS, orders(spark, (1, "refunded", T1)))
