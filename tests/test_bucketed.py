@@ -70,3 +70,25 @@ def test_first_merge_builds_and_errors_change_nothing(spark, table):
     with pytest.raises(ValueError):
         table.merge(frame(spark, [(3, "2024-01", 1)]), ["month"])
     assert table.read().count() == 301
+
+
+def test_buckets_follow_the_rows(spark):
+    def open_table():
+        return BucketedTable(spark, path, F.col("month"), frame(spark, []).schema, "id", buckets=2, bucket_rows=100)
+
+    path = scratch_path(spark, "b")
+    data = [(i, f"2024-0{i % 3 + 1}", i) for i in range(620)]
+    open_table().overwrite(frame(spark, data[:300]), 300)
+    table = open_table()
+    assert table.read().count() == 300 and table.buckets == 3
+    assert table.merge(frame(spark, [(3, "2024-01", -3)]), ["id"]) == ["2024-01"] and table.buckets == 3
+    held = table.read()
+    # Twice the rows that a bucket should have, and more: all partitions are bucketed anew.
+    table.merge(frame(spark, [r for r in data if r[0] >= 300]), ["id"])
+    assert open_table().partitions().keys() == table.partitions().keys() and table.buckets == 7
+    assert held.count() == 300
+    assert rows(open_table().read()) == rows(frame(spark, [(3, "2024-01", -3), *(r for r in data if r[0] != 3)]))
+    delta = frame(spark, [(4, "2024-02", -4)])
+    text = plan(table.merge_plan(delta, ["2024-02"]))
+    assert "SelectedBucketsCount: 7 out of 7" in text and len(re.findall(r"\bExchange\b", text)) == 1
+    assert table.merge(delta, ["id"]) == ["2024-02"] and rows(open_table().read().filter("id = 4"), "v") == [(-4,)]

@@ -21,7 +21,7 @@ from tidemark.specs import FCT_ORDERS_CONTRACT, TABLES
 
 
 BUILD_THREADS = 4
-#: Buckets a month; with too few a month of the fact does not fit the memory of as many tasks.
+#: Buckets a month at least; a table of many orders gets more, so that a bucket of the fact fits the memory of a task.
 ORDER_BUCKETS = 16
 
 
@@ -108,7 +108,7 @@ class Warehouse:
         if since is None:
             full = marts.fct_orders(m["stg_orders"], m["stg_order_items"], products, history)
             enforce_contract(FCT_ORDERS_CONTRACT, full.schema, "fct_orders")
-            table.overwrite(full)
+            table.overwrite(full, raw["orders"].count())
         else:
             delta = marts.fct_orders_delta(
                 raw["orders"], raw["order_items"], products, history, wall_clock(since)

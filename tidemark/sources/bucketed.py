@@ -12,23 +12,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.operators.merge import check_same_columns
+from tidemark.operators.merge import check_same_columns, incremental_merge
 from tidemark.session import checkpointed
 from tidemark.sources.tables import PartitionedTable
 
 
+#: A bucket is one task of a merge or of a join by the key; so many rows of a table are some hundred megabytes there.
+BUCKET_ROWS = 500_000
+
+
 class BucketedTable(PartitionedTable):
     """For tables in which a key never changes its partition, so the partitions of a delta are all that its merge touches.
 
-    A merge has as many tasks as there are buckets, and a partition as many files; so pick a number that the largest
-    expected delta and its partitions need.
+    A merge has as many tasks as there are buckets, and a partition as many files. So the number of buckets follows the rows: at least
+    ``buckets``, one for every ``bucket_rows`` that a first build expects, and the table is bucketed anew when a merge leaves more than
+    twice as many rows in each. All partitions of a state have the number that its manifest names.
     """
 
-    def __init__(self, spark: SparkSession, path: str, part: Column, schema: T.StructType, key: str, buckets: int = 16):
+    def __init__(
+        self, spark: SparkSession, path: str, part: Column, schema: T.StructType, key: str, buckets: int = 16, bucket_rows: int = BUCKET_ROWS
+    ):
         super().__init__(spark, path, part, schema)
-        self.key, self.buckets = key, buckets
+        #: The number of buckets of the state last looked at, or being written.
+        self.key, self.buckets, self.least, self.bucket_rows = key, buckets, buckets, bucket_rows
         self._entry = f"tidemark_{hashlib.md5(self.path.encode()).hexdigest()[:16]}"
 
+    def partitions(self) -> dict[str, int]:
+        listed = self._parts.read().collect() if self._parts.exists() else []
+        for r in listed[:1]:
+            self.buckets = r.asDict().get("buckets", self.least)
+        return {r.part: r.version for r in listed}
+
+    def _manifest(self, parts: dict[str, int]) -> DataFrame:
+        return super()._manifest(parts).withColumn("buckets", F.lit(self.buckets))
+
+    def _fit(self, rows: int) -> int:
+        return max(self.least, -(-rows // self.bucket_rows))
+
+    def overwrite(self, df: DataFrame, expected_rows: int = 0) -> None:
+        self.buckets = self._fit(expected_rows)
+        super().overwrite(df)
+
     def _write(self, df: DataFrame, path: str) -> None:
         entry = f"{self._entry}_write_{uuid.uuid4().hex}"
         bucketed = df.write.partitionBy(self.PART).bucketBy(self.buckets, self.key).sortBy(self.key)
@@ -79,11 +103,14 @@ class BucketedTable(PartitionedTable):
             raise ValueError(f"bucketed by {self.key}, not by {list(key)}")
         stored = checkpointed(delta)
         if not self.exists():
-            self.overwrite(stored)
+            self.overwrite(stored, stored.count())
             return sorted(self.partitions())
         parts = self.partitions()
         touched = sorted(r[0] for r in stored.select(self._part).distinct().collect())  # partitions, not rows
-        if touched:
+        rows = self._read(parts).count() + stored.count()  # of files' footers
+        if touched and rows > 2 * self.bucket_rows * self.buckets:
+            self.overwrite(incremental_merge(self._read(parts).drop(self.PART), stored, [self.key]), rows)
+        elif touched:
             known = [p for p in touched if p in parts]
             merged = self.merge_plan(stored, known) if known else stored
             self._publish(merged, {p: v for p, v in parts.items() if p not in set(touched)}, spread=not known)
