@@ -107,3 +107,20 @@ def test_cycle_builds_only_after_clean_reconciliation(spark, raw):
         run_cycle(store, warehouse, sources, ("2023-01", "2023-12"), "run-2", now=datetime(2024, 2, 10))
     assert store.dq_results().filter("run_label = 'run-2' AND status = 'fail'").count() == 1
     assert warehouse.snapshot("mart_daily_channel").version() == built
+
+
+def test_delta_of_many_orders_picks_items_in_one_exchange(spark, raw):
+    products, history = staging.stg_products(raw["products"]), marts.dim_customers_history(staging.stg_customer_versions(raw["customers"]))
+    since = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    few, many = (marts.fct_orders_delta(raw["orders"], raw["order_items"], products, history, since, n) for n in (10**6, 0))
+    assert rows(few) == rows(many) and few.count() > 0
+    text = many._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LeftSemi") < few._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi")
+
+
+def test_lines_for_totals_are_those_of_the_item_fact(spark, raw):
+    products, items = staging.stg_products(raw["products"]), staging.stg_order_items(raw["order_items"])
+    orders = staging.stg_orders(raw["orders"]).filter("order_id % 3 > 0")
+    fact = marts.fct_order_items(items, orders.withColumn("country", F.lit("x")), products)
+    columns = ("order_item_id", "order_id", "line_revenue")
+    assert rows(marts.order_line_revenue(items, orders, products)) == rows(fact, *columns)

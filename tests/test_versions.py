@@ -174,3 +174,16 @@ def test_hot_null_key_is_split(spark):
     assert rows(hot.splits, "k") == [(None,)]
     same = lambda n: rows(versions.scd2(df, "k", "ts", ["a"], hot_rows=n), "k", "valid_from", "version_number", "is_current")
     assert same(60) == same(1_000_000)
+
+
+D1, D2, D3 = (DAY0 + timedelta(days=n) for n in range(3))
+
+
+def test_asof_scan_takes_points_from_a_cheaper_frame(spark):
+    history = spark.createDataFrame([(1, D1, D2, "a"), (1, D2, D3, "b"), (2, D1, D2, "c")], "k long, valid_from timestamp_ntz, valid_to timestamp_ntz, v string")
+    facts = spark.createDataFrame([(1, D1), (1, D1), (1, D2), (1, D3), (2, D2), (None, D1)], "k long, ts timestamp_ntz")
+    points = facts.union(spark.createDataFrame([(2, D1), (7, D1)], facts.schema))
+    want = rows(versions.asof_join(facts, history, "k", "ts", ["v"]))
+    for hot_rows in (1, 1000):
+        got = versions.asof_join(facts, history, "k", "ts", ["v"], max_bytes=0, hot_rows=hot_rows, points=points)
+        assert rows(got) == want == sorted([(1, D1, "a"), (1, D1, "a"), (1, D2, "b"), (1, D3, None), (2, D2, None), (None, D1, None)], key=repr)
