@@ -14,6 +14,7 @@ from tidemark.catalog.model_queries import (
     at_cutoff,
     merged_funnel,
     old_fct_orders,
+    old_order_money,
 )
 from tidemark.catalog.ops_inputs import (
     NULL_RATE_SQL,
@@ -111,14 +112,15 @@ select customer_id, 'open_periods' from {history} group by customer_id having su
 def order_totals_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order fact left behind at the cutoff against today's lines."""
     shop = Shop(spark, sf_dir)
-    return with_doubles(checks.totals_off(old_fct_orders(shop), shop.fct_order_items))
+    lines = marts.order_line_revenue(shop.items, shop.orders, shop.product_costs)
+    return with_doubles(checks.totals_off(old_order_money(shop), lines))
 
 
 @catalog.add("daily_channel_matches_orders", DAYS_OFF.format(fact="old_fct_orders"))
 def daily_channel_matches_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Today's daily mart against the order fact at the cutoff."""
     shop = Shop(spark, sf_dir)
-    return with_doubles(checks.daily_channel_off(shop.daily_channel, old_fct_orders(shop)))
+    return with_doubles(checks.daily_channel_off(shop.daily_channel, old_order_money(shop)))
 
 
 @catalog.add("funnel_matches_events", SESSIONS_OFF.format(funnel="funnel_merged"))
@@ -132,7 +134,7 @@ def funnel_matches_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fct_orders_is_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order fact at the cutoff against today's staging."""
     shop = Shop(spark, sf_dir)
-    return checks.orders_incomplete(shop.orders, shop.items, old_fct_orders(shop))
+    return checks.orders_incomplete(shop.orders, shop.items, old_order_money(shop))
 
 
 @catalog.add("scd2_is_contiguous", "with thinned as (select * from dim_customers_history where version_number <> 2)"
