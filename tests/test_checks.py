@@ -4,6 +4,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark.catalog import check_queries
+from tidemark.catalog.inputs import Shop
 from tidemark.operators import assertions, drift
 from tidemark.plans import checks, marts, staging
 from tidemark.plans.build import DataTestError, Warehouse, raise_on_failed_tests
@@ -174,3 +176,9 @@ def test_severity_and_summary(spark):
     assert rows(assertions.summarise(results)) == [(2, 1, 2)]
     with pytest.raises(DataTestError, match="c: 3 rows"):
         raise_on_failed_tests(results)
+
+
+def test_pii_scan_makes_shared_models_once(spark, sf_dir):
+    models = check_queries._models(Shop(spark, sf_dir))
+    for name in ("stg_orders", "stg_order_items", "fct_orders", "dim_customers_history"):
+        assert "Exchange" not in models[name]._jdf.queryExecution().executedPlan().toString()

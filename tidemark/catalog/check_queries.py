@@ -168,7 +168,10 @@ _HASHED = ("stg_customers", "dim_customers")
 
 
 def _models(shop: Shop) -> dict[str, DataFrame]:
-    """All fifteen models of both layers."""
+    """All fifteen models of both layers; those that others are made of are stored, so each is made once."""
+    shop.orders, shop.items = stored(shop.orders, "orders"), stored(shop.items, "items")
+    shop.history, shop.fct_orders = stored(shop.history, "periods"), stored(shop.fct_orders, "fact")
+    shop.order_money = shop.fct_orders
     return {
         "stg_customers": shop.customers,
         "stg_products": shop.products,
