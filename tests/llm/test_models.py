@@ -1,17 +1,20 @@
 import math
 import random
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from odd_docs import make_docs, odd  # noqa: F401
 
-from tidemark.llm.katz import good_turing, katz_scores, pack, unpack
+from tidemark.llm.katz import good_turing, katz_scores, pack, pack_sorted, unpack, unpack_sorted
 from tidemark.llm.quality import drop_poor, fit_ordinal, quality_scores
 from tidemark.llm.text_features import SLICE, ngrams, slices
 from tidemark.llm.toxicity import BITS as TOXIC_BITS
 from tidemark.llm.toxicity import SIZES, present, toxicity_scores
+from tidemark.session import shared_dir
 
 
 def corpus(n=400):
@@ -204,3 +207,26 @@ def test_katz_without_rows_or_training(make_docs):  # noqa: F811
 def test_arrays_survive_packing():
     for x in (np.arange(5), np.array([1 << 40]), np.array([], np.int64), np.array([0.5, -1]), np.array([2**64 - 1], np.uint64), np.array([3], np.uint8)):
         assert unpack(pack(x)).tolist() == x.tolist()
+
+
+def test_sorted_arrays_survive_packing():
+    for x in ([], [7], [0, 0, 5], [1, 2**63, 2**64 - 1]):
+        assert unpack_sorted(pack_sorted(np.array(x, np.uint64))).tolist() == x
+
+
+def test_katz_leaves_only_its_scores_on_disk(make_docs):
+    """Neither the tables between its steps nor shuffle files of steps that have ended stay, which is what ran out of disk."""
+    docs = make_docs([(i, f"a b c {i} d") for i in range(40)])
+    spark = docs.sparkSession
+    scratch = Path(shared_dir(spark).removeprefix("file:")) / "tidemark"
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+    tables, before = set(scratch.glob("lm*")), shuffled()
+    scores = katz_scores(docs, block_bytes=100, order=3)
+    made = set(scratch.glob("lm*")) - tables
+    assert [t.name for m in made for t in m.iterdir()] == ["scores"]
+    deadline = time.time() + 20  # Spark deletes them in the background
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert scores.count() == 40

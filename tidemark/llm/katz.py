@@ -15,6 +15,9 @@ into these words. What a block needs from the corpus it asks for by hash buckets
 exchanges carry a row per block and bucket and grow with the distinct words and pairs of blocks, not with documents times buckets. Pairs of
 a history with a large share of all tokens are spread over several sub-buckets. Counts are kept in tables partitioned by kind: words (with
 answers per block), pairs (the model), longer n-grams (a table for every order) and back-off weights. Arrays travel as compressed bytes.
+
+Disk is what limits the job, so little lies there at a time. Blocks meet their answers slice by slice, and n-grams are counted pass by pass, each
+over a share of the buckets of histories; every step is written before the next, its shuffle files go when it ends, and tables go after their last use.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, ship, stored
+from tidemark.llm.common import Steps, held_out, ship
 from tidemark.llm.words import WHITE, mix, rows_of_words, text_chunks
 
 START, END = np.uint64(2), np.uint64(1)  # not the hash of a word but for a chance of 2**-63
@@ -34,6 +37,9 @@ _BLOCK = "block string, doc_ids array<long>, held array<boolean>, ends array<lon
 _CHAIN = np.uint64(0xD6E8FEB86659FD93)
 _ASK = "bucket int, sub int, block string, a binary, b binary, c binary, d binary"
 _NAMES = [x.split()[0] for x in _ASK.split(", ")]
+_STATE = "block string, doc_ids array<long>, held array<boolean>, ends array<long>, words binary, stream binary, answers array<binary>"
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+_SLICES, _PASSES = 4, 2  # shares in which blocks meet their answers, and in which n-grams are counted
 
 
 _CODEC = pa.Codec("zstd", compression_level=3)
@@ -57,6 +63,15 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending integers of 64 bits, by their differences."""
+    return pack(np.diff(values.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data).astype(np.uint64), dtype=np.uint64)
+
+
 def _table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     columns = zip(*rows) if rows else [()] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
@@ -74,6 +89,16 @@ def word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
     return ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place, whichever, of every distinct key in ascending order, and per place the number of its key. Faster than np.unique, which looks for first places."""
+    order = np.argsort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    ids = np.empty(len(keys), np.int64)
+    ids[order] = np.cumsum(new) - 1
+    return order[new], ids
+
+
 def _blocks(block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -142,12 +167,17 @@ def _joined(rows: list[dict], column: str) -> np.ndarray:
     return np.concatenate([unpack(r[column]) for r in rows]) if rows else np.empty(0, np.int64)
 
 
+def _seen_log(count: np.ndarray, history: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """log10 of the probability of n-grams that occur in training."""
+    return np.log10(np.maximum(factors[np.where(count < len(factors), count, 0)] * count, 1e-300) / history)
+
+
 class Block:
     """A block's words with their corpus counts, and its distinct pairs in the order in which they are asked for."""
 
-    def __init__(self, row: dict, answers: list[dict], buckets: int, tokens: int) -> None:
+    def __init__(self, row: dict, ids: np.ndarray, counts: np.ndarray, buckets: int, tokens: int) -> None:
         self.words, self.stream = unpack(row["words"]), unpack(row["stream"]).astype(np.int64)
-        self.ids, self.counts = _joined(answers, "a").astype(np.int64), _joined(answers, "b").astype(np.int64)
+        self.ids, self.counts = ids.astype(np.int64), counts.astype(np.int64)
         self.held, self.ends = np.array(row["held"], bool), np.array(row["ends"], np.int64)
         self.doc_ids = row["doc_ids"]
         before = np.empty_like(self.stream)
@@ -178,24 +208,24 @@ class Block:
                 rows.append((int(bucket[i]), int(self.sub[i]), name, *map(pack, (self.ids[left], gid[right], counts[i:j], self.counts[right]))))
         return _asks(rows)
 
-    def by_pair(self, answers: list[dict], whole: int, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per distinct pair: its training count and log10 of its probability."""
-        weights = _by_bucket(answers, "weight")
-        alpha, more = _joined(weights, "a"), _joined(weights, "b")
-        pair = _joined(_by_bucket(answers, "pair"), "a").astype(np.int64)
+    def by_pair(self, alpha: np.ndarray, more: np.ndarray, pair: np.ndarray, whole: int, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per distinct pair: its training count, what a seen one is divided by, and log10 of its probability."""
+        pair = pair.astype(np.int64)
         history = np.maximum(self.counts + more, 1)[self.left]
-        kept = factors[np.where(pair < len(factors), pair, 0)] * pair
         single = np.log10((self.counts + 1) / whole)
-        return pair, np.where(pair > 0, np.log10(np.maximum(kept, 1e-300) / history), alpha[self.left] + single[self.right])
+        return pair, history, np.where(pair > 0, _seen_log(pair, history, factors), alpha[self.left] + single[self.right])
 
 
 class Grams:
     """A block's distinct n-grams of one order whose history occurs in training, in the order in which they are asked for.
 
-    ``count`` and ``log`` are the training count and the log10 probability of the n-gram one shorter that ends at each position.
+    ``count``, ``history`` and ``log`` are the training count, what it is divided by and the log10 probability of the n-gram one shorter that ends
+    at each position. With ``turn`` only the buckets of this pass count.
     """
 
-    def __init__(self, block: Block, order: int, count: np.ndarray, log: np.ndarray, buckets: int, tokens: int) -> None:
+    def __init__(
+        self, block: Block, order: int, count: np.ndarray, history: np.ndarray, log: np.ndarray, buckets: int, tokens: int, turn: int | None = None
+    ) -> None:
         starts, at_start = np.concatenate(([0], block.ends[:-1])), START
         words = block.words[block.stream]
         hist = block.words[block.before]
@@ -205,13 +235,16 @@ class Grams:
                 earlier[starts] = at_start
                 hist = mix(earlier * _CHAIN + block.words[block.before])
                 at_start = mix(np.array([at_start]) * _CHAIN + START)[0]
-            _, first, self.place = np.unique(mix(hist * _CHAIN + words), return_index=True, return_inverse=True)
+            grams = mix(hist * _CHAIN + words)
+        places = np.arange(len(grams)) if turn is None else np.flatnonzero(word_bucket(hist, buckets) % _PASSES == turn)
+        first, self.place = _distinct(grams[places])
+        first = places[first]
         # A history is the n-gram one shorter that ends before the word; before the first word it is that of every document.
         seen = np.roll(count, 1)
         seen[starts] = block.counts[np.searchsorted(block.words, START)]
-        own = np.repeat(~block.held, np.diff(block.ends, prepend=0))
+        own = np.repeat(~block.held, np.diff(block.ends, prepend=0))[places]
         counts = np.bincount(self.place[own], minlength=len(first))
-        self.lower = log[first]
+        self.lower, self.below, self.divisor = log[first], count[first], history[first]
         bucket = word_bucket(hist[first], buckets)
         spread = np.minimum(seen[first] * buckets * 2 // max(tokens, 1), 1 << 16)
         sub = np.where(spread > 0, 1 + (words[first] % np.maximum(spread, 1).astype(np.uint64)).astype(np.int64), 0)
@@ -223,63 +256,93 @@ class Grams:
 
     def asks(self, name: str) -> pa.RecordBatch:
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(self.bucket) | np.diff(self.sub)) + 1, [len(self.bucket)]))
-        rows, lower = [], self.lower[self.asked]
+        rows, below, divisor = [], self.below[self.asked], self.divisor[self.asked]
         for i, j in zip(cuts, cuts[1:]):
             if j > i:
-                learned = lower[i:j][self.counts[i:j] > 0]
-                rows.append((int(self.bucket[i]), int(self.sub[i]), name, *map(pack, (self.hist[i:j], self.right[i:j], self.counts[i:j], learned))))
+                learned = self.counts[i:j] > 0  # so the n-gram one shorter occurs too; what its probability is made of travels as integers
+                of_lower = pack(np.concatenate((below[i:j][learned], divisor[i:j][learned])))
+                rows.append((int(self.bucket[i]), int(self.sub[i]), name, pack_sorted(self.hist[i:j]), *map(pack, (self.right[i:j], self.counts[i:j])), of_lower))
         return _asks(rows)
 
-    def answered(self, answers: list[dict], order: int, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per position: the training count and log10 of the probability of the n-gram that ends there."""
-        grams, weights = _by_bucket(answers, f"gram{order}"), _by_bucket(answers, f"weight{order}")
-        total, more = _joined(grams, "a").astype(np.int64), _joined(grams, "b").astype(np.int64)
+    def answered(
+        self, total: np.ndarray, more: np.ndarray, alpha_weighed: np.ndarray, more_weighed: np.ndarray, factors: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per position, of the n-gram that ends there: the training count, what it is divided by, and log10 of the probability."""
+        total, more = total.astype(np.int64), more.astype(np.int64)
         weighed = (self.sub > 0) | (total == 0)
         alpha = np.zeros(len(total))
-        alpha[weighed], more[weighed] = _joined(weights, "a"), _joined(weights, "b")
-        kept = factors[np.where(total < len(factors), total, 0)] * total
-        count, log = np.zeros(len(self.lower), np.int64), self.lower.copy()
-        count[self.asked] = total
-        log[self.asked] = np.where(total > 0, np.log10(np.maximum(kept, 1e-300) / (self.seen + more)), alpha + self.lower[self.asked])
-        return count[self.place], log[self.place]
-
-
-def _folded(block: Block, answers: list[dict], factors: list[np.ndarray], buckets: int, tokens: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts and log10 probabilities by position, of the highest order that ``factors`` (from order 2 on) has."""
-    pair, log = block.by_pair(answers, whole, factors[0])
-    count, log = pair[block.pair], log[block.pair]
-    for order, own in enumerate(factors[1:], 3):
-        count, log = Grams(block, order, count, log, buckets, tokens).answered(answers, order, own)
-    return count, log
+        alpha[weighed], more[weighed] = alpha_weighed, more_weighed
+        count, history, log = np.zeros(len(self.lower), np.int64), np.ones(len(self.lower), np.int64), self.lower.copy()
+        count[self.asked], history[self.asked] = total, self.seen + more
+        log[self.asked] = np.where(total > 0, _seen_log(total, self.seen + more, factors), alpha + self.lower[self.asked])
+        return count[self.place], history[self.place], log[self.place]
+
+
+#: The answers that a block keeps, by order: kinds and their columns. Kinds of longer n-grams end in the order.
+_PAIR_ANSWERS = [("word", "a"), ("word", "b"), ("weight", "a"), ("weight", "b"), ("pair", "a")]
+
+
+def _kinds(order: int) -> list[tuple[str, str]]:
+    return _PAIR_ANSWERS if order == 2 else [(f"{kind}{order}", column) for kind in ("gram", "weight") for column in "ab"]
 
 
-def _ask_grams(buckets: int, tokens: int, whole: int, factors: list[np.ndarray]):
+def _gathered_rows(left: pa.Table, right: pa.Table, order: int) -> list[dict]:
+    """The block with the answers of this order after those that it has."""
+    answers = right.to_pylist()
+    own = [pack(_joined(_by_bucket(answers, kind), column)) for kind, column in _kinds(order)]
+    return [row | {"answers": [*(row["answers"] or []), *own]} for row in left.to_pylist()]
+
+
+def _gathered(order: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out, answers = [_asks([])], right.to_pylist()
-        for row in left.to_pylist():
-            block = Block(row, _by_bucket(answers, "word"), buckets, tokens)
-            out.append(Grams(block, len(factors) + 2, *_folded(block, answers, factors, buckets, tokens, whole), buckets, tokens).asks(row["block"]))
-        return pa.Table.from_batches(out)
+        kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.binary())]
+        names = ["block", "doc_ids", "held", "ends", "words", "stream", "answers"]
+        return pa.Table.from_batches([_table([tuple(r[n] for n in names) for r in _gathered_rows(left, right, order)], names, kinds)])
+
+    return run
+
+
+def _folded(row: dict, factors: list[np.ndarray], buckets: int, tokens: int, whole: int) -> tuple[Block, np.ndarray, np.ndarray, np.ndarray]:
+    """The block; and by position counts, what they are divided by and log10 probabilities, of the highest order that ``factors`` (from order 2 on) has."""
+    ids, counts, *answers = map(unpack, row["answers"])
+    block = Block(row, ids, counts, buckets, tokens)
+    count, history, log = (x[block.pair] for x in block.by_pair(*answers[:3], whole, factors[0]))
+    for order, own in enumerate(factors[1:], 3):
+        at = 3 + 4 * (order - 3)
+        count, history, log = Grams(block, order, count, history, log, buckets, tokens).answered(*answers[at : at + 4], own)
+    return block, count, history, log
+
+
+def _ask_grams(buckets: int, tokens: int, whole: int, factors: list[np.ndarray], turn: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                block, *lower = _folded(row, factors, buckets, tokens, whole)
+                yield Grams(block, len(factors) + 2, *lower, buckets, tokens, turn).asks(row["block"])
 
     return run
 
 
-def _count_grams(cutoff: int):
+def _count_grams(cutoff: int, factors: np.ndarray):
     """Per block the totals of its n-grams, whether their history divides by one more, and the histories whose weight it needs (kind gram);
     and the counts of counts, with the n-grams of these histories: history, probability one order below, count (kind model).
 
-    A history that is spread over groups needs its weight everywhere.
+    A history that is spread over groups needs its weight everywhere. ``factors`` are those of the order below.
     """
 
     def run(group: pa.Table) -> pa.Table:
-        lists = [[unpack(x) for x in group.column(c).to_pylist()] for c in "abcd"]
+        lists = [[read(x) for x in group.column(c).to_pylist()] for c, read in zip("abc", (unpack_sorted, unpack, unpack))]
         sizes = [len(x) for x in lists[0]]
-        hist, right, counts, lower = map(np.concatenate, lists)
-        hist, counts = hist.astype(np.uint64), counts.astype(np.int64)
+        hist, right, counts = map(np.concatenate, lists)
+        parts = [unpack(x).astype(np.int64) for x in group.column("d").to_pylist()]
+        lower = _seen_log(*(np.concatenate(x) for x in zip(*(np.split(p, 2) for p in parts))), factors)
+        del lists, parts
+        counts = counts.astype(np.int64)
         with np.errstate(over="ignore"):
-            keys, first, ids = np.unique(mix(hist * _CHAIN + right.astype(np.uint64)), return_index=True, return_inverse=True)
-        totals = np.bincount(ids, counts, len(keys)).astype(np.int64)
-        below = np.zeros(len(keys))
+            first, ids = _distinct(mix(hist * _CHAIN + right.astype(np.uint64)))
+        totals = np.bincount(ids, counts, len(first)).astype(np.int64)
+        below = np.zeros(len(first))
         below[ids[counts > 0]] = lower
         names, of = np.unique(hist[first], return_inverse=True)
         seen = totals > 0
@@ -294,7 +357,7 @@ def _count_grams(cutoff: int):
             mine = ids[at : at + n]
             at += n
             needs = names[of[mine[weighed[mine]]]]
-            out.append((bucket, sub, block, *map(pack, (totals[mine], (least[of[mine]] > cutoff).astype(np.uint8), needs)), None))
+            out.append((bucket, sub, block, *map(pack, (totals[mine], (least[of[mine]] > cutoff).astype(np.uint8))), pack_sorted(needs), None))
         kept = seen & wanted[of]
         low = np.bincount(totals[totals <= cutoff + 1], minlength=cutoff + 2)
         out.append((bucket, sub, None, *map(pack, (names[of[kept]], below[kept], totals[kept], low))))
@@ -317,7 +380,7 @@ def _gram_weights(factors: np.ndarray):
         alpha = np.log10((1 - kept / np.maximum(count + more, 1)) / (1 - seen))
         out = []
         for row in answers.select(["bucket", "sub", "block", "c"]).to_pylist():
-            at = np.searchsorted(names, unpack(row["c"]).astype(np.uint64))
+            at = np.searchsorted(names, unpack_sorted(row["c"]))
             out.append((row["bucket"], row["sub"], row["block"], pack(alpha[at]), pack(more[at].astype(np.uint8)), None, None))
         return pa.Table.from_batches([_asks(out)])
 
@@ -326,8 +389,9 @@ def _gram_weights(factors: np.ndarray):
 
 def _ask_pairs(buckets: int, tokens: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows, answers = left.to_pylist(), right.to_pylist()
-        return pa.Table.from_batches([Block(r, _by_bucket(answers, "word"), buckets, tokens).asks(r["block"]) for r in rows] or [_asks([])])
+        words = _by_bucket(right.to_pylist(), "word")
+        ids, counts = _joined(words, "a"), _joined(words, "b")
+        return pa.Table.from_batches([Block(r, ids, counts, buckets, tokens).asks(r["block"]) for r in left.to_pylist()] or [_asks([])])
 
     return run
 
@@ -338,8 +402,8 @@ def _count_pairs(group: pa.Table) -> pa.Table:
     sizes = [len(x) for x in left]
     left, right, counts, of_right = (np.concatenate(x).astype(np.int64) for x in (left, right, counts, of_right))
     names, code = np.unique(right, return_inverse=True)
-    keys, first, ids = np.unique(left * len(names) + code, return_index=True, return_inverse=True)
-    totals = np.bincount(ids, counts, len(keys)).astype(np.int64)
+    first, ids = _distinct(left * len(names) + code)
+    totals = np.bincount(ids, counts, len(first)).astype(np.int64)
     bucket, sub = group.column("bucket")[0].as_py(), group.column("sub")[0].as_py()
     out, at = [], 0
     for block, n in zip(group.column("block").to_pylist(), sizes):
@@ -413,10 +477,9 @@ def _weights(mass: pa.Table, answers: pa.Table) -> pa.Table:
 
 def _score(buckets: int, tokens: int, whole: int, factors: list[np.ndarray]):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out, answers = [], right.to_pylist()
-        for row in left.to_pylist():
-            block = Block(row, _by_bucket(answers, "word"), buckets, tokens)
-            _, log = _folded(block, answers, factors, buckets, tokens, whole)
+        out = []
+        for row in _gathered_rows(left, right, len(factors) + 1):
+            block, _, _, log = _folded(row, factors, buckets, tokens, whole)
             single = np.log10((block.counts + 1) / whole)
             starts = np.concatenate(([0], block.ends[:-1])).astype(np.int64)
             add = lambda x: np.add.reduceat(x, starts)
@@ -450,42 +513,60 @@ def katz_scores(
     ship(spark)
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out(doc_id, parts, part).alias("held"), F.col(text).alias("text"))
-    blocks = stored(plain.mapInArrow(_blocks(block_bytes), _BLOCK), "lm-blocks")
+    steps = Steps(spark, "lm")
+    share = F.pmod(F.hash("block"), F.lit(_SLICES))
+    sliced = plain.mapInArrow(_blocks(block_bytes), _BLOCK).withColumn("slice", share)
+    blocks = steps.write(sliced, "blocks", "slice")
     asked = blocks.select("block", "words", "counts").mapInArrow(_ask_words(buckets), _ASK)
-    words = stored(asked.groupBy("bucket").applyInArrow(_count_words, _ASK), "lm-words")
+    words = steps.write(asked.groupBy("bucket").applyInArrow(_count_words, _ASK), "words")
     tokens = distinct = 0
     totals = words.filter("block is null").select("c", "d").toArrow()  # one row per bucket
     for c, d in zip(totals.column("c").to_pylist(), totals.column("d").to_pylist()):
         tokens, distinct = tokens + int(unpack(c)[0]), distinct + int(unpack(d)[0])
-    words = words.filter("block is not null")
-    to_blocks = lambda df, kind: df.select(F.lit(kind).alias("kind"), *_NAMES)
-    read = blocks.select("block", "doc_ids", "held", "ends", "words", "stream")
-    asked = read.groupBy("block").cogroup(to_blocks(words, "word").groupBy("block")).applyInArrow(_ask_pairs(buckets, tokens), _ASK)
-    pairs = asked.groupBy("bucket", "sub").applyInArrow(_count_pairs, _ASK)
-    pairs = stored(pairs.withColumn("kind", F.when(F.col("block").isNull(), "model").otherwise("pair")), "lm-pairs", "kind")
+    words, whole = words.filter("block is not null"), tokens + distinct + 1
+    to_blocks = lambda df, kind: df.select(F.lit(kind).alias("kind"), "bucket", "sub", "block", "a", "b")
+    asked = blocks.select("block", "ends", "held", "doc_ids", "words", "stream").groupBy("block").cogroup(to_blocks(words, "word").groupBy("block"))
+    pairs = asked.applyInArrow(_ask_pairs(buckets, tokens), _ASK).groupBy("bucket", "sub").applyInArrow(_count_pairs, _ASK)
+    pairs = steps.write(pairs.withColumn("kind", F.when(F.col("block").isNull(), "model").otherwise("pair")), "pairs", "kind")
     model = pairs.filter("kind = 'model'")
     rows = model.select("c").mapInArrow(_counts_of_counts(cutoff + 1), "r long, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()
     factors = good_turing({r["r"]: r["n"] for r in rows}, cutoff)
     factors[0] = 1.0  # counts above the cutoff look here
-    mass = model.select("bucket", "a", "c", "d").mapInArrow(_mass(factors, float(tokens + distinct + 1)), _ASK)
-    weights = mass.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(_weights, _ASK)
-    answers = to_blocks(words, "word").unionByName(to_blocks(stored(weights, "lm-weights"), "weight")).unionByName(
-        pairs.filter("kind = 'pair'").select("kind", *_NAMES)
-    )
-    whole, every = tokens + distinct + 1, [factors]
+    mass = model.select("bucket", "a", "c", "d").mapInArrow(_mass(factors, float(whole)), _ASK)
+    weights = steps.write(mass.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(_weights, _ASK), "weights")
+    steps.drop("pairs/kind=model")
+    answers = to_blocks(words, "word").unionByName(to_blocks(weights, "weight")).unionByName(to_blocks(pairs.filter("kind = 'pair'"), "pair"))
+    state = blocks.select("block", "doc_ids", "held", "ends", "words", "stream", F.lit(None).cast("array<binary>").alias("answers"), "slice")
+    every, used = [factors], ["blocks", "words", "pairs", "weights"]
+
+    def by_slice(n: int, label: str, work, schema: str) -> DataFrame:
+        """Blocks with their answers of order ``n``, a slice after the other."""
+        for i in range(_SLICES):
+            left, right = state.filter(F.col("slice") == i).drop("slice"), answers.filter(share == i)
+            steps.write_part(left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(work, schema), label, "slice", i)
+        return steps.read_parts(label, schema, "slice int")
+
     for n in range(3, order + 1):
-        asked = read.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_grams(buckets, tokens, whole, every), _ASK)
-        grams = asked.groupBy("bucket", "sub").applyInArrow(_count_grams(cutoff), _ASK)
-        grams = stored(grams.withColumn("kind", F.when(F.col("block").isNull(), "model").otherwise(f"gram{n}")), f"lm-grams-{n}", "kind")
-        model, own = grams.filter("kind = 'model'").select(*_NAMES), grams.filter(f"kind = 'gram{n}'")
+        state = by_slice(n - 1, f"state-{n}", _gathered(n - 1), _STATE)
+        steps.drop(*used)
+        for turn in range(_PASSES):
+            asked = state.drop("slice").mapInArrow(_ask_grams(buckets, tokens, whole, every, turn), _ASK)
+            grams = asked.groupBy("bucket", "sub").applyInArrow(_count_grams(cutoff, every[-1]), _ASK)
+            steps.write_part(grams.withColumn("kind", F.when(F.col("block").isNull(), "model").otherwise("gram")), f"grams-{n}", "turn", turn, "kind")
+        grams = steps.read_parts(f"grams-{n}", _ASK, "turn int, kind string")
+        model, own = grams.filter("kind = 'model'"), grams.filter("kind = 'gram'")
         sums = np.zeros(cutoff + 2, np.int64)
         for d in model.select("d").toArrow().column("d").to_pylist():  # one row per bucket and part of a spread history
             sums += unpack(d).astype(np.int64)
         every = [*every, good_turing(dict(enumerate(sums.tolist())), cutoff)]
         every[-1][0] = 1.0
-        weights = model.groupBy("bucket").cogroup(own.select(*_NAMES).groupBy("bucket")).applyInArrow(_gram_weights(every[-1]), _ASK)
-        answers = answers.unionByName(own.select("kind", *_NAMES)).unionByName(to_blocks(stored(weights, f"lm-weights-{n}"), f"weight{n}"))
-    scored = read.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(buckets, tokens, whole, every), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    )
+        needs = own.select("bucket", "sub", "block", "c")
+        weights = model.select("bucket", "a", "b", "c").groupBy("bucket").cogroup(needs.groupBy("bucket")).applyInArrow(_gram_weights(every[-1]), _ASK)
+        weights = steps.write(weights, f"weights-{n}")
+        for turn in range(_PASSES):
+            steps.drop(f"grams-{n}/turn={turn}/kind=model")
+        answers = to_blocks(own, f"gram{n}").unionByName(to_blocks(weights, f"weight{n}"))
+        used = [f"state-{n}", f"grams-{n}", f"weights-{n}"]
+    scored = by_slice(order, "scores", _score(buckets, tokens, whole, every), _SCORES)
+    steps.drop(*used)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
