@@ -6,6 +6,7 @@ import numpy as np
 from conftest import rows
 from odd_docs import make_docs, odd  # noqa: F401
 
+from tidemark.llm import components as link_steps
 from tidemark.llm.components import components
 from tidemark.llm.exact_dedup import drop_exact_copies, exact_dedup
 from tidemark.llm.near_dedup import drop_near_copies, index_keys, near_duplicates
@@ -112,3 +113,27 @@ def test_components_of_a_chain_and_a_star(spark):
     got = dict((r.node, r.component) for r in components(spark.createDataFrame(links, "x long, y long"), "x", "y").collect())
     assert got == {**{i: 0 for i in range(1, 41)}, **{100 + i: 100 for i in range(1, 60)}}
     assert components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
+
+
+def test_components_write_little(spark, monkeypatch):
+    """Links that lie together need no round, and stars end without one; apart, or a few at a time, they need rounds and come to the same."""
+    written = []
+    monkeypatch.setattr(link_steps, "stored", lambda df, label, f=link_steps.stored: written.append(label) or f(df, label))
+    chance = random.Random(5)
+    links = [(chance.randrange(4000), chance.randrange(4000)) for _ in range(2400)] + [(5000 + i, 5001 + i) for i in range(300)] + [(9, 9), (None, 3)]
+    root = list(range(5301))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, y in links:
+        if x is not None and top(x) != top(y):
+            root[max(top(x), top(y))] = min(top(x), top(y))
+    expected = sorted((i, top(i)) for i in range(len(root)) if top(i) != i)
+    table = spark.createDataFrame(links, "x long, y long")
+    assert rows(components(table.coalesce(1), "x", "y")) == sorted(expected, key=repr)
+    assert len(written) == 4
+    for most in (7, 1000):
+        assert rows(components(table.repartition(16), "x", "y", most=most)) == sorted(expected, key=repr)

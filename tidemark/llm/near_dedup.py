@@ -181,7 +181,7 @@ def near_duplicates(
     )
     keyed = classes.select("class_id", F.explode("keys").alias("key"))
     least = F.min("class_id").over(Window.partitionBy("key"))
-    meets = keyed.select("class_id", least.alias("least")).filter("least < class_id").distinct()
+    meets = keyed.select("class_id", least.alias("least")).filter("least < class_id")
     found = components(meets, "least", "class_id", "candidates")
     clusters = stored(found.unionByName(found.select(F.col("component").alias("node"), "component").distinct()), "clusters")
     sizes = (
