@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from odd_docs import make_docs, odd  # noqa: F401
 
-from tidemark.llm.katz import good_turing, katz_scores, pack, pack_sorted, unpack, unpack_sorted
+from tidemark.llm.katz import _by_part, _distinct, good_turing, katz_scores, pack, pack_sorted, unpack, unpack_sorted
 from tidemark.llm.quality import drop_poor, fit_ordinal, quality_scores
 from tidemark.llm.text_features import SLICE, ngrams, slices
 from tidemark.llm.toxicity import BITS as TOXIC_BITS
@@ -179,6 +179,19 @@ def plain_katz_of_order(pairs, order):
     return {i: sum(math.log10(p(tuple(w[k - order + 1 : k]), w[k])) for k in range(order - 1, len(w))) for i, w in padded}, p, after, grams
 
 
+def test_katz_sorts_keys_with_their_places():
+    """Numbers and parts of n-grams are those of np.unique and np.lexsort, whether or not a key and its place fit into one number."""
+    chance = np.random.default_rng(3)
+    for keys in (chance.integers(0, 50, 400), chance.integers(0, 1 << 62, 300), chance.integers(-9, 9, 100), np.array([1 << 62, 0, 1 << 62]), np.zeros(0, np.int64)):
+        for of in (keys, keys.astype(np.uint64)):
+            first, ids = _distinct(of)
+            names, expected = np.unique(of, return_inverse=True)
+            assert np.array_equal(of[first], names) and np.array_equal(ids, expected)
+    bucket = np.sort(chance.integers(0, 9, 500))
+    for sub in (np.zeros(500, np.int64), np.where(bucket % 3 == 1, chance.integers(0, 4, 500), 0)):
+        assert np.array_equal(_by_part(bucket, sub), np.lexsort((sub, bucket)))
+
+
 @pytest.mark.parametrize("order", [3, 4])
 def test_katz_of_higher_order_equals_plain(make_docs, order):
     rng = random.Random(9)
