@@ -51,6 +51,16 @@ def test_cached_ids_are_the_tokenizer_s(name):
     assert [cache.ids(t) for t in texts] == cache._whole(texts)
 
 
+def test_words_of_latin_letters_need_no_rules():
+    """Only stretches that the rules before the merges may change go through them; capitals count as their lower-case form."""
+    cache, asked = WordCache(tokenizer_path()), []
+    texts = ["This THIS this. Erth,\tBe\nétage thisthis", "X y\u0301 \u212b 7", "Énée this7"]
+    expected = cache._whole(texts)
+    cache.known.whole = lambda s, f=cache.known.whole: asked.append(s) or f(s)
+    assert [cache.ids(t) for t in texts] == expected
+    assert sorted(asked) == sorted([".", ",", "y\u0301", "\u212b", "7", "Énée", "this7"])
+
+
 def test_pipeline_stages_follow_each_other(spark, make_docs, odd, tmp_path):  # noqa: F811
     rng = random.Random(10)
     word = lambda: f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{rng.randrange(400)}"

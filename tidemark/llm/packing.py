@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -33,60 +34,70 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Words(dict):
+    """Ids by stretch of text, as bytes; one that is missing is tokenized when it is asked for. Emptied at ``most`` stretches."""
+
+    def __init__(self, tokenizer, most: int) -> None:
+        super().__init__()
+        self.tokenizer, self.model, self.most, self.letters = tokenizer, tokenizer.model, most, _byte_letters()
+
+    def __missing__(self, s: str) -> bytes:
+        core = s.rstrip(".,")
+        if core != s and core[-1:].lower()[-1:].isalpha():
+            ids = self[core] + self[s[len(core) :]]
+        elif not s.isalpha():
+            ids = self.whole(s)
+        elif s.isascii():
+            lower = s.lower()
+            ids = self.merged(s) if lower == s else self[lower]
+        elif s.islower() and max(s) < "\u0250" and s.lower() == s and unicodedata.is_normalized("NFC", s):
+            ids = self.merged("".join(map(self.letters.get, s.encode())))
+        else:
+            ids = self.whole(s)
+        if len(s) <= 64:
+            if len(self) > self.most:
+                self.clear()
+            self[s] = ids
+        return ids
+
+    def merged(self, letters: str) -> bytes:
+        return _as_bytes([t.id for t in self.model.tokenize(letters)])
+
+    def whole(self, text: str) -> bytes:
+        return _as_bytes(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordCache:
     """Token ids of texts, with a bounded memory of words.
 
     For a lower-casing word-end vocabulary, whose tokens never span white space, text is split at blanks, tabs and line ends, and the ids
     of each distinct stretch are remembered as bytes. A full stop or comma after a letter is a token run of its own, so it is taken off first, and a
-    lower-case Latin word goes to the merges at once, since the rules before them leave it as it is. Everything else, and every text of
-    another kind of tokenizer, goes through the whole tokenizer. The memory is emptied at ``most`` words.
+    lower-case Latin word goes to the merges at once, since the rules before them leave it as it is; one of A-Z and a-z counts as its lower-case form.
+    Everything else, and every text of another kind of tokenizer, goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, most: int = 700_000) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
-        rules = json.loads(self.tokenizer.to_str())
+        tokenizer = Tokenizer.from_file(path)
+        self.known = _Words(tokenizer, most)
+        rules = json.loads(tokenizer.to_str())
         kinds = [[r["type"] for r in (rules[k] or {}).get(v, ())] for k, v in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         self.by_word = kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and rules["pre_tokenizer"]["pretokenizers"][0]["invert"]
-        self.letters = _byte_letters()
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if not self.by_word:
-            return self._whole([text])[0]
+            return self.known.whole(text)
         stretches = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        found = list(map(self.known.get, stretches))
-        if None in found:
-            fresh = self._learn({s for s, f in zip(stretches, found) if f is None})
-            found = [fresh[s] if f is None else f for s, f in zip(stretches, found)]
-            if len(self.known) > self.most:
-                self.known.clear()
-            self.known.update((s, i) for s, i in fresh.items() if len(s) <= 64)
-        return b"".join(found)
+        return b"".join(map(self.known.__getitem__, stretches))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
-    def _learn(self, stretches: set[str]) -> dict[str, bytes]:
-        cores = {}
-        for s in stretches:
-            core = s.rstrip(".,")
-            if core != s and core[-1:].lower()[-1:].isalpha():
-                cores[s] = core, s[len(core) :]
-            else:
-                cores[s] = s, ""
-        fresh = {x: self.known.get(x) for pair in cores.values() for x in pair}
-        hard = []
-        for x, known in fresh.items():
-            if known is None:
-                if x.isalpha() and x.islower() and max(x) < "\u0250" and x.lower() == x and unicodedata.is_normalized("NFC", x):
-                    tokens = self.tokenizer.model.tokenize(x if x.isascii() else "".join(map(self.letters.get, x.encode())))
-                    fresh[x] = np.array([t.id for t in tokens], "<u4").tobytes()
-                else:
-                    hard.append(x)
-        fresh.update(zip(hard, self._whole(hard)))
-        return fresh | {s: fresh[core] + fresh[tail] for s, (core, tail) in cores.items()}
+        return list(map(self.known.whole, texts))
 
 
 _caches: dict[str, WordCache] = {}
