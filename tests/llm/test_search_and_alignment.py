@@ -6,10 +6,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from odd_docs import make_docs, odd  # noqa: F401
 
+from tidemark.llm.common import stored
 from tidemark.llm.lexical_search import automaton_of, ranked_search, scan
 from tidemark.llm.token_alignment import ByteLevel, Pieces, Sides, stretches, token_alignment
 
@@ -168,3 +170,21 @@ def test_alignment_of_a_long_text(make_docs):
     assert got[0].n_a > 300_000 and got[0].n_links >= max(got[0].n_a, got[0].n_b) and got[0][1:] == got[2][1:]
     assert got[1][1:] == (0, 0, 0, 0, 0, 0, "")
     assert got[0].count_sum == 2 * got[0].n_links
+
+
+def test_blocks_lie_in_small_row_groups(spark, make_docs, monkeypatch):
+    """A reader takes the rows of a group at once, so a group must not grow with the blocks that a task makes."""
+    links = "transform(sequence(1, 100000), x -> xxhash64(x, id)) AS link_pair"  # nearly a megabyte each
+    large, groups = spark.range(24).coalesce(1).selectExpr("id AS block", links), []
+
+    def kept(df, label, *args, **more):
+        if label == "token-blocks":
+            for f in stored(large, label, *args, **more).inputFiles():
+                meta = pq.ParquetFile(f.removeprefix("file:")).metadata
+                groups.extend(meta.row_group(i) for i in range(meta.num_row_groups))
+        return stored(df, label, *args, **more)
+
+    monkeypatch.setattr("tidemark.llm.token_alignment.stored", kept)
+    result = token_alignment(make_docs([(1, "a few words"), (2, "a few more")]), A, B)
+    assert sum(g.num_rows for g in groups) == 24 and max(g.total_byte_size for g in groups) < 8 << 20
+    assert "collect_list" not in result._jdf.queryExecution().toString()  # nor are the answers of a block gathered on the heap

@@ -7,8 +7,8 @@ Offsets where tokens of both sides end cut the tokens into groups.
 
 What a block learns is stored as one row: a row's worth of numbers per document, the block's distinct pairs of ids with the
 documents that hold them, and the links as positions in that list. Corpus-wide counts then need only the distinct pairs of the blocks, not
-those of the documents, and come back as one list per block. The tables are joined by pair and by block, so no vocabulary is assumed
-to be small.
+those of the documents, and come back as a row per pair of a block. The tables are joined by pair and grouped by block, so no vocabulary is
+assumed to be small.
 """
 
 from __future__ import annotations
@@ -235,6 +235,9 @@ def align_block(texts: list[bytes], sides: Sides) -> dict[str, np.ndarray | list
     }
 
 
+#: A reader takes a row group's rows at once, and a block is a row of a megabyte or more; so a group of the file holds a few of them, however many a task makes.
+_FEW_BLOCKS = {"parquet.block.size": str(4 << 20), "parquet.page.size.row.check.min": "1"}
+
 _KINDS = {"groups_sha256": pa.string(), "link_doc": pa.int32(), "link_pair": pa.int32(), "link_n": pa.int32()}
 
 
@@ -260,24 +263,19 @@ def _blocks(byte_level: str, pieces: str, most_bytes: int):
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows per document from blocks and the (count, is best) of their pairs, in the order of the block's list."""
-    for batch in batches:
-        for at in range(batch.num_rows):
-            row = {name: batch.column(name)[at].values for name in batch.schema.names if name != "block"}
-            docs, n = len(row["doc_id"]), row["link_n"].to_numpy().astype(np.int64)
-            sums = {"n_links": n}
-            if len(n):
-                pair = row["link_pair"].to_numpy()
-                sums["n_best"] = n * row["best"].to_numpy(zero_copy_only=False)[pair]
-                sums["count_sum"] = n * row["count"].to_numpy()[pair]
-            own = {}
-            for name in ("n_links", "n_best", "count_sum"):
-                total = np.zeros(docs, np.int64)
-                np.add.at(total, row["link_doc"].to_numpy(), sums.get(name, n))
-                own[name] = pa.array(total)
-            names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-            yield pa.RecordBatch.from_arrays([own[x] if x in own else row[x] for x in names], names)
+def _finish(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+    """Rows per document from one block and the (count, is best) of its pairs, by their place in the block's list."""
+    row = {name: blocks[name][0].values for name in blocks.column_names if name != "block"}
+    docs, n, pair = len(row["doc_id"]), row["link_n"].to_numpy().astype(np.int64), row["link_pair"].to_numpy()
+    place, (count, best) = answers["place"].to_numpy(), np.zeros((2, answers.num_rows), np.int64)
+    count[place], best[place] = answers["count"].to_numpy(), answers["best"].to_numpy()
+    own = {}
+    for name, sums in (("n_links", n), ("n_best", n * best[pair]), ("count_sum", n * count[pair])):
+        total = np.zeros(docs, np.int64)
+        np.add.at(total, row["link_doc"].to_numpy(), sums)
+        own[name] = pa.array(total)
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    return pa.table([own[x] if x in own else row[x] for x in names], names)
 
 
 def token_alignment(
@@ -296,7 +294,7 @@ def token_alignment(
     """
     ship(docs.sparkSession)
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    blocks = stored(plain.mapInArrow(_blocks(byte_level, pieces, block_bytes), _BLOCK), "token-blocks")
+    blocks = stored(plain.mapInArrow(_blocks(byte_level, pieces, block_bytes), _BLOCK), "token-blocks", options=_FEW_BLOCKS)
     listed = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "holders")).alias("place", "own"))
     listed = listed.select("block", "place", "own.pairs", "own.holders").withColumnsRenamed({"pairs": "pair", "holders": "held"})
     counts = listed.groupBy("pair").agg(F.sum("held").alias("count"))
@@ -304,10 +302,6 @@ def token_alignment(
     highest = counts.groupBy(F.col("id").alias("of")).agg(F.max("count").alias("highest"))
     ranked = counts.join(highest, F.col("id") == F.col("of")).select(F.col("pair").alias("known"), "count", (F.col("count") == F.col("highest")).alias("best"))
     answers = listed.select("block", "place", "pair").join(ranked, F.col("pair") == F.col("known"))
-    answers = answers.groupBy(F.col("block").alias("of")).agg(F.sort_array(F.collect_list(F.struct("place", "count", "best"))).alias("answers"))
-    joined = blocks.join(answers, F.col("block") == F.col("of"), "left").select(
-        "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "link_doc", "link_pair", "link_n",
-        F.coalesce("answers.count", F.array().cast("array<long>")).alias("count"),
-        F.coalesce("answers.best", F.array().cast("array<boolean>")).alias("best"),
-    )
-    return joined.mapInArrow(_finish, _RESULT)
+    answers = answers.select(F.col("block").alias("of"), "place", "count", "best")
+    told = blocks.select("block", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "link_doc", "link_pair", "link_n")
+    return told.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(_finish, _RESULT)
