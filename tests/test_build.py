@@ -1,5 +1,6 @@
 """Incremental models equal full ones, and the whole cycle stops when reconciliation fails."""
 
+import time
 from datetime import datetime
 
 import pytest
@@ -13,6 +14,7 @@ from tidemark.plans.build import Warehouse, run_cycle
 from tidemark.session import scratch_path
 from tidemark.sources import shop
 from tidemark.sources.raw_store import RawStore
+from tidemark.sources.tables import list_names, write_parts
 from tidemark.specs import TABLES
 
 CUTOFF = "1998-01-01 00:00:00"
@@ -51,6 +53,56 @@ def test_incremental_build_equals_full_build(spark, raw):
         assert (a, b) == (0, 0) and left == right > 0, name
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def left_over(spark, before):
+    """Shuffle files that stay; Spark deletes them a moment after a query."""
+    for _ in range(50):
+        found = shuffle_files(spark) - before
+        if not found:
+            break
+        time.sleep(0.1)
+    return found
+
+
+def test_build_in_parts_equals_build_in_one(spark, raw):
+    odd = raw["orders"].limit(1).withColumns({"order_id": F.lit(None).cast("long"), "customer_id": F.lit(None).cast("long")})
+    raw = raw | {"orders": raw["orders"].union(odd)}
+    one = Warehouse(spark, scratch_path(spark, "one"))
+    parts = Warehouse(spark, scratch_path(spark, "parts"), part_rows=raw["order_items"].count() // 2)  # three parts
+    for step in (until(raw), raw):
+        want, got = one.build(step), parts.build(step)
+        assert parts.observed == one.observed != {}
+        for name in want:
+            left, right, a, b = table_difference(want[name], got[name]).first()
+            assert (a, b) == (0, 0) and left == right > 0, name
+
+
+def test_build_leaves_only_its_models(spark, raw):
+    """Neither shuffle files nor what its steps hand on."""
+    warehouse, before = Warehouse(spark, scratch_path(spark, "lean")), shuffle_files(spark)
+    warehouse.build(until(raw))
+    warehouse.build(raw)
+    assert not left_over(spark, before)
+    scratch = warehouse.root.rsplit("/", 1)[0]
+    assert not list_names(spark, f"{scratch}/order-*") + list_names(spark, f"{scratch}/current-items-*") + list_names(spark, f"{scratch}/merge-delta-*")
+
+
+def test_parts_are_written_one_after_the_other(spark):
+    path, seen = scratch_path(spark, "parted"), []
+
+    def frames():
+        for i in range(3):
+            seen.append((len(list_names(spark, f"{path}/part-*")), list_names(spark, f"{path}/_SUCCESS")))
+            yield spark.range(i, i + 1).coalesce(1)
+
+    assert rows(write_parts(path, frames())) == [(0,), (1,), (2,)]
+    assert seen == [(0, []), (1, []), (2, [])] and list_names(spark, f"{path}/_SUCCESS")
+
+
 def test_empty_target_counts_as_first_build(spark, raw):
     warehouse = Warehouse(spark, scratch_path(spark, "empty"))
     none = {n: df.filter(F.lit(False)) for n, df in raw.items()}

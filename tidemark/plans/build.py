@@ -13,10 +13,10 @@ from tidemark.operators.drift import enforce_contract
 from tidemark.plans import marts, reconcile, staging
 from tidemark.plans.load import LoadResult, load_all, utc_now
 from tidemark.plans.suite import declared_tests, row_conditions
-from tidemark.session import run_parallel
+from tidemark.session import run_parallel, scratch_path, shuffle_files_deleted
 from tidemark.sources.raw_store import RawStore
 from tidemark.sources.bucketed import BucketedTable
-from tidemark.sources.tables import SnapshotTable
+from tidemark.sources.tables import SnapshotTable, delete_path, write_parts
 from tidemark.specs import FCT_ORDERS_CONTRACT, TABLES
 
 
@@ -37,8 +37,8 @@ def orders_table(spark: SparkSession, path: str, buckets: int = ORDER_BUCKETS) -
 class Warehouse:
     """The stored marts below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, order_buckets: int = ORDER_BUCKETS):
-        self.spark, self.root, self.order_buckets = spark, root.rstrip("/"), order_buckets
+    def __init__(self, spark: SparkSession, root: str, order_buckets: int = ORDER_BUCKETS, part_rows: int = marts.PART_ROWS):
+        self.spark, self.root, self.order_buckets, self.part_rows = spark, root.rstrip("/"), order_buckets, part_rows
         #: Violations of row tests by label, counted while the models of the last build were written.
         self.observed: dict[str, int] = {}
 
@@ -52,8 +52,20 @@ class Warehouse:
     def build(self, raw: Mapping[str, DataFrame], full_refresh: bool = False) -> dict[str, DataFrame]:
         """Build every model; staging stays lazy, marts are written once and read back by their consumers.
 
-        The order fact and the funnel are incremental unless they are missing, empty or refreshed.
+        The order fact and the funnel are incremental unless they are missing, empty or refreshed. Each step is written, so its
+        shuffle files go with it; those of a whole build would take many times the disk of the models.
         """
+        place = scratch_path(self.spark, "current-items")
+        with shuffle_files_deleted(self.spark):
+            try:
+                return self._build(raw, full_refresh, self._parts(raw["order_items"]), place)
+            finally:
+                delete_path(self.spark, place)
+
+    def _parts(self, items: DataFrame) -> int:
+        return max(1, -(-items.count() // self.part_rows))
+
+    def _build(self, raw: Mapping[str, DataFrame], full_refresh: bool, parts: int, place: str) -> dict[str, DataFrame]:
         m = {
             "stg_customers": staging.stg_customers(raw["customers"]),
             "stg_products": staging.stg_products(raw["products"]),
@@ -69,29 +81,33 @@ class Warehouse:
 
         self.observed, conditions = {}, row_conditions()
 
-        def write(name: str, df: DataFrame) -> DataFrame:
+        def write(name: str, *frames: DataFrame) -> DataFrame:
             if name not in conditions:
-                return self.snapshot(name).write(df)
-            counts = RowCounts(conditions[name])
-            written = self.snapshot(name).write(counts.attach(df))
-            self.observed.update(counts.get())
+                return self.snapshot(name).write(*frames)
+            counts = [RowCounts(conditions[name]) for _ in frames]
+            written = self.snapshot(name).write(*[c.attach(df) for c, df in zip(counts, frames)])
+            found = [c.get() for c in counts]
+            self.observed.update((label, sum(f[label] for f in found)) for label in conditions[name] if all(label in f for f in found))
             return written
 
         def table(name: str, make: Callable[[], DataFrame]) -> tuple[str, Callable[[], DataFrame]]:
             return name, lambda: write(name, make())
 
+        def lines(i: int) -> DataFrame:
+            own = marts.in_part("order_id", parts, i)
+            return marts.fct_order_items(items.filter(own), m["fct_orders"].filter(own), m["dim_products"])
+
         build(
             table("dim_customers", lambda: marts.dim_customers(m["stg_customers"])),
             table("dim_products", lambda: marts.dim_products(m["stg_products"])),
             table("dim_customers_history", lambda: marts.dim_customers_history(m["stg_customer_versions"])),
             ("mart_funnel_daily", lambda: self._build_funnel(m, full_refresh)),
         )
-        build(("fct_orders", lambda: self._build_fct_orders(m, raw, full_refresh)))
+        # The newest versions of the items are picked once, for both facts.
+        items = write_parts(place, (m["stg_order_items"].filter(marts.in_part("order_item_id", parts, i)) for i in range(parts)))
+        build(("fct_orders", lambda: self._build_fct_orders(m, raw, items, full_refresh, parts)))
         build(
-            table(
-                "fct_order_items",
-                lambda: marts.fct_order_items(m["stg_order_items"], m["fct_orders"], m["dim_products"]),
-            ),
+            ("fct_order_items", lambda: write("fct_order_items", *[lines(i) for i in range(parts)])),
             table("mart_daily_channel", lambda: marts.mart_daily_channel(m["fct_orders"])),
             table(
                 "mart_cohort_retention",
@@ -101,20 +117,23 @@ class Warehouse:
         )
         return m
 
-    def _build_fct_orders(self, m, raw, full_refresh) -> DataFrame:
+    def _build_fct_orders(self, m, raw, items, full_refresh, parts) -> DataFrame:
         table, history, products = self.fct_orders, m["dim_customers_history"], m["dim_products"]
         current = table.read() if table.exists() and not full_refresh else None
         since = current.agg(F.max("order_updated_at")).first()[0] if current is not None else None
+        place = scratch_path(self.spark, "order-fact")
         if since is None:
-            full = marts.fct_orders(m["stg_orders"], m["stg_order_items"], products, history)
+            full = marts.write_fct_orders(place, m["stg_orders"], items, products, history, parts)
             enforce_contract(FCT_ORDERS_CONTRACT, full.schema, "fct_orders")
             table.overwrite(full, raw["orders"].count())
         else:
-            delta = marts.fct_orders_delta(
-                raw["orders"], raw["order_items"], products, history, wall_clock(since)
-            )
+            changed = marts.changed_orders(raw["orders"], raw["order_items"], wall_clock(since))
+            orders = staging.stg_orders(raw["orders"].join(changed, "order_id", "left_semi"))
+            known = items.join(changed, "order_id", "left_semi")
+            delta = marts.write_fct_orders(place, orders, known, products, history, parts)
             enforce_contract(FCT_ORDERS_CONTRACT, delta.schema, "fct_orders")
-            table.merge(delta, ["order_id"])
+            table.merge(delta, ["order_id"], at_rest=True)
+        delete_path(self.spark, place)
         return table.read()
 
     def _build_funnel(self, m, full_refresh) -> DataFrame:

@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.merge import check_same_columns, incremental_merge
-from tidemark.session import checkpointed
-from tidemark.sources.tables import PartitionedTable
+from tidemark.session import scratch_path
+from tidemark.sources.tables import PartitionedTable, delete_path
 
 
 #: A bucket is one task of a merge or of a join by the key; so many rows of a table are some hundred megabytes there.
@@ -55,7 +55,7 @@ class BucketedTable(PartitionedTable):
 
     def _write(self, df: DataFrame, path: str) -> None:
         entry = f"{self._entry}_write_{uuid.uuid4().hex}"
-        bucketed = df.write.partitionBy(self.PART).bucketBy(self.buckets, self.key).sortBy(self.key)
+        bucketed = df.write.option("compression", "zstd").partitionBy(self.PART).bucketBy(self.buckets, self.key).sortBy(self.key)
         try:
             bucketed.option("path", path).saveAsTable(entry)
         finally:
@@ -97,11 +97,20 @@ class BucketedTable(PartitionedTable):
         joined = old.join(new, F.col("_was") == F.col("_is"), "full_outer")
         return joined.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
 
-    def merge(self, delta: DataFrame, key: Sequence[str]) -> list[str]:
-        """Swap in ``delta`` by key; returns the partitions it touches."""
+    def merge(self, delta: DataFrame, key: Sequence[str], at_rest: bool = False) -> list[str]:
+        """Swap in ``delta`` by key; returns the partitions it touches. One that is ``at_rest`` is a stored table and is not stored again."""
         if list(key) != [self.key]:
             raise ValueError(f"bucketed by {self.key}, not by {list(key)}")
-        stored = checkpointed(delta)
+        if at_rest:
+            return self._merge(delta)
+        place = scratch_path(self.spark, "merge-delta")
+        delta.write.option("compression", "zstd").parquet(place)
+        try:
+            return self._merge(self.spark.read.schema(delta.schema).parquet(place))
+        finally:
+            delete_path(self.spark, place)
+
+    def _merge(self, stored: DataFrame) -> list[str]:
         if not self.exists():
             self.overwrite(stored, stored.count())
             return sorted(self.partitions())
