@@ -7,10 +7,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark.operators.assertions import run_tests
 from tidemark.operators.merge import table_difference
 from tidemark.operators.versions import latest_version
 from tidemark.plans import marts, reconcile, staging
 from tidemark.plans.build import Warehouse, run_cycle
+from tidemark.plans.suite import declared_tests
 from tidemark.session import scratch_path
 from tidemark.sources import shop
 from tidemark.sources.raw_store import RawStore
@@ -103,6 +105,16 @@ def test_parts_are_written_one_after_the_other(spark):
     assert seen == [(0, []), (1, []), (2, [])] and list_names(spark, f"{path}/_SUCCESS")
 
 
+def test_tests_of_a_build_leave_no_files(spark, raw):
+    """Each test is counted by itself, and what several tests read is stored only meanwhile."""
+    warehouse = Warehouse(spark, scratch_path(spark, "tested-marts"), part_rows=raw["order_items"].count() // 2)
+    models = warehouse.build(raw)
+    lazily, before = rows(run_tests(declared_tests(models))), shuffle_files(spark)
+    assert rows(warehouse.run_tests(models)) == lazily and len(lazily) == 47
+    assert not left_over(spark, before)
+    assert not list_names(spark, f"{warehouse.root.rsplit('/', 1)[0]}/tested-" + "[0-9a-f]" * 32)
+
+
 def test_empty_target_counts_as_first_build(spark, raw):
     warehouse = Warehouse(spark, scratch_path(spark, "empty"))
     none = {n: df.filter(F.lit(False)) for n, df in raw.items()}

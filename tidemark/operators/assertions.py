@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from tidemark.session import shuffle_files_deleted
+
 
 def not_unique(df: DataFrame, column: str) -> DataFrame:
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -92,27 +93,23 @@ def _counts(tests: Sequence[DataTest]) -> DataFrame:
 def run_tests(tests: Sequence[DataTest]) -> DataFrame:
     """One row per test: label, severity, violation count and verdict.
 
-    Row tests of one model share a scan, or none if they were observed while it was written. Every other count is aggregated where the rows are, and the union of
-    the counts runs as one job.
+    Row tests of one model share a scan, or none if they were observed while it was written. Every other count is aggregated where the rows are. The
+    counts are taken one after the other when this is called, so that the shuffle files of one test are gone before the next one runs.
     """
+    spark = tests[0].violations.sparkSession
     by_model: dict[int, list[DataTest]] = {}
-    counted = []
-    known = [(t.label, t.severity, t.observed) for t in tests if t.observed is not None]
-    if known:  # a row per test whose violations were counted before
-        counted.append(tests[0].violations.sparkSession.createDataFrame(known, "test string, severity string, violations long"))
-    for t in tests:
-        if t.observed is not None:
-            continue
-        if t.broken is not None:
-            by_model.setdefault(id(t.model), []).append(t)
-        else:
-            counted.append(
-                t.violations.agg(F.count(F.lit(1)).alias("violations")).select(
-                    F.lit(t.label).alias("test"), F.lit(t.severity).alias("severity"), "violations"
-                )
-            )
-    counted += [_counts(group) for group in by_model.values()]
-    rows = reduce(DataFrame.unionByName, counted)
+    counted = [(t.label, t.severity, t.observed) for t in tests if t.observed is not None]
+    with shuffle_files_deleted(spark):
+        for t in tests:
+            if t.observed is not None:
+                continue
+            if t.broken is not None:
+                by_model.setdefault(id(t.model), []).append(t)
+            else:
+                counted.append((t.label, t.severity, t.violations.count()))
+        for group in by_model.values():
+            counted += [tuple(r) for r in _counts(group).collect()]  # a row per declared test
+    rows = spark.createDataFrame(counted, "test string, severity string, violations long")
     verdict = F.when(F.col("violations") == 0, "pass").when(F.col("severity") == "warn", "warn")
     return rows.withColumn("verdict", verdict.otherwise("fail"))
 
